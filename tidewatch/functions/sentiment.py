@@ -79,21 +79,32 @@ def valence_scores(text, lexicon=K.VALENCE_LEXICON, negations=K.NEGATIONS,
             return F.transform(hit_idx, valence_at)
 
         def with_vals(vals):
-            total = F.aggregate(vals, F.lit(0.0), lambda a, v: a + v)
-            pos_sum = F.aggregate(vals, F.lit(0.0),
-                                  lambda a, v: a + F.when(v > 0, v + 1.0).otherwise(0.0))
-            neg_sum = F.aggregate(vals, F.lit(0.0),
-                                  lambda a, v: a + F.when(v < 0, v - 1.0).otherwise(0.0))
-            n_nonzero = F.size(F.filter(vals, lambda v: v != 0))
-            s = F.when(total > 0, total + ep).when(total < 0, total - ep).otherwise(total)
-            compound = s / F.sqrt(s * s + K.VALENCE_ALPHA)
-            pos2 = F.when(pos_sum > -neg_sum, pos_sum + ep).otherwise(pos_sum)
-            neg2 = F.when(pos_sum < -neg_sum, neg_sum - ep).otherwise(neg_sum)
-            neu = (n - n_nonzero).cast("double")
-            tot = pos2 - neg2 + neu
-            share = lambda x: F.when(tot > 0, F.abs(x / tot)).otherwise(0.0)
-            return F.struct(compound.alias("compound"), share(pos2).alias("pos"),
-                            share(neu).alias("neu"), share(neg2).alias("neg"))
+            sums = F.struct(
+                F.aggregate(vals, F.lit(0.0), lambda a, v: a + v).alias("total"),
+                F.aggregate(vals, F.lit(0.0),
+                            lambda a, v: a + F.when(v > 0, v + 1.0).otherwise(0.0)).alias("pos"),
+                F.aggregate(vals, F.lit(0.0),
+                            lambda a, v: a + F.when(v < 0, v - 1.0).otherwise(0.0)).alias("neg"),
+                F.size(F.filter(vals, lambda v: v != 0)).alias("nnz"),
+                ep.alias("ep"))
+
+            def with_sums(a):
+                total, pos_sum, neg_sum, e = a["total"], a["pos"], a["neg"], a["ep"]
+                parts = F.struct(
+                    F.when(total > 0, total + e).when(total < 0, total - e).otherwise(total).alias("s"),
+                    F.when(pos_sum > -neg_sum, pos_sum + e).otherwise(pos_sum).alias("pos2"),
+                    F.when(pos_sum < -neg_sum, neg_sum - e).otherwise(neg_sum).alias("neg2"),
+                    (n - a["nnz"]).cast("double").alias("neu"))
+
+                def with_parts(b):
+                    sv, pos2, neg2, neu = b["s"], b["pos2"], b["neg2"], b["neu"]
+                    tot = pos2 - neg2 + neu
+                    share = lambda x: F.when(tot > 0, F.abs(x / tot)).otherwise(0.0)
+                    return F.struct((sv / F.sqrt(sv * sv + K.VALENCE_ALPHA)).alias("compound"),
+                                    share(pos2).alias("pos"), share(neu).alias("neu"),
+                                    share(neg2).alias("neg"))
+                return tx.let(parts, with_parts)
+            return tx.let(sums, with_sums)
 
         return tx.let(tx.let(F.transform(toks, lambda t: F.lower(t)), with_low), with_vals)
 
@@ -107,14 +118,14 @@ def label_from(score, cut: float) -> Column:
 
 def valence_sentiment(text, **kw) -> Column:
     """T16+T17: struct(method, label, score, confidence, details)."""
-    sc = valence_scores(text, **kw)
-    empty = ~tx.has_text(text) & (F.coalesce(F.length(_col(text)), F.lit(0)) == 0)
-    return F.when(empty, _default_sentiment()).otherwise(F.struct(
-        F.lit("valence").alias("method"),
-        label_from(sc["compound"], 0.05).alias("label"),
-        sc["compound"].alias("score"),
-        F.abs(sc["compound"]).alias("confidence"),
-        sc.alias("details")))
+    empty = F.coalesce(F.length(_col(text)), F.lit(0)) == 0
+    return F.when(empty, _default_sentiment()).otherwise(tx.let(
+        valence_scores(text, **kw), lambda sc: F.struct(
+            F.lit("valence").alias("method"),
+            label_from(sc["compound"], 0.05).alias("label"),
+            sc["compound"].alias("score"),
+            F.abs(sc["compound"]).alias("confidence"),
+            sc.alias("details"))))
 
 
 def _default_sentiment() -> Column:
@@ -136,30 +147,36 @@ def trade_scores(text, urgency, pcts, moves, lexicon=K.TRADE_LEXICON) -> Column:
     entries = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(float(w)).alias("w"))
                         for t, w in lexicon])
     hits = tx.let(lt, lambda l: F.filter(entries, lambda e: F.contains(l, e["term"])))
-    s0 = F.aggregate(hits, F.lit(0.0), lambda a, e: a + e["w"])
-    nh = F.size(hits)
     u = _col(urgency)
-    s1 = F.when(u > 1.0, s0 * 1.3).otherwise(s0)
     maxp = F.array_max(_col(pcts))
-    s2 = F.when(F.coalesce(maxp > 10, F.lit(False)), s1 * (1 + maxp / 100)).otherwise(s1)
     low_moves = F.transform(_col(moves), lambda m: F.lower(m))
     up = F.size(F.filter(low_moves, lambda m: m.isin(K.POSITIVE_MOVEMENTS)))
     down = F.size(F.filter(low_moves, lambda m: m.isin(K.NEGATIVE_MOVEMENTS)))
-    s3 = s2 + F.lit(0.5) * (up - down)
-    norm = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s3 / F.greatest(nh, F.lit(1))))
-    return F.struct(s3.alias("raw_score"), nh.alias("word_count"), norm.alias("score"),
-                    (u > 1.0).alias("urgency_boost"))
+
+    def from_hits(h):
+        nh = F.size(h)
+        s0 = F.aggregate(h, F.lit(0.0), lambda a, e: a + e["w"])
+
+        def from_s1(s1):
+            s2 = F.when(F.coalesce(maxp > 10, F.lit(False)), s1 * (1 + maxp / 100)).otherwise(s1)
+            return tx.let(s2 + F.lit(0.5) * (up - down), lambda s3: F.struct(
+                s3.alias("raw_score"), nh.alias("word_count"),
+                F.greatest(F.lit(-1.0), F.least(F.lit(1.0), s3 / F.greatest(nh, F.lit(1)))).alias("score"),
+                (u > 1.0).alias("urgency_boost")))
+        return tx.let(s0, lambda v: tx.let(F.when(u > 1.0, v * 1.3).otherwise(v), from_s1))
+
+    return tx.let(hits, from_hits)
 
 
 def trade_sentiment(text, urgency, pcts, moves, **kw) -> Column:
     """T18+T19: struct(method, label, score, confidence, details)."""
-    sc = trade_scores(text, urgency, pcts, moves, **kw)
     empty = F.coalesce(F.length(_col(text)), F.lit(0)) == 0
-    res = F.struct(F.lit("trade_context").alias("method"),
-                   label_from(sc["score"], 0.1).alias("label"),
-                   sc["score"].alias("score"),
-                   F.least(F.abs(sc["score"]) + 0.3, F.lit(1.0)).alias("confidence"),
-                   sc.alias("details"))
+    res = tx.let(trade_scores(text, urgency, pcts, moves, **kw), lambda sc: F.struct(
+        F.lit("trade_context").alias("method"),
+        label_from(sc["score"], 0.1).alias("label"),
+        sc["score"].alias("score"),
+        F.least(F.abs(sc["score"]) + 0.3, F.lit(1.0)).alias("confidence"),
+        sc.alias("details")))
     default = F.struct(F.lit("default").alias("method"), F.lit("neutral").alias("label"),
                        F.lit(0.0).alias("score"), F.lit(0.0).alias("confidence"),
                        F.struct(F.lit(0.0).alias("raw_score"), F.lit(0).alias("word_count"),
@@ -183,14 +200,20 @@ def ensemble(methods: dict, weights: dict) -> Column:
     """Weighted score and confidence over method structs, label cut
     at +/-0.1, confidence scaled by the agreement."""
     names = list(methods)
-    score = sum([methods[m]["score"] * weights[m] for m in names[1:]],
-                methods[names[0]]["score"] * weights[names[0]])
-    conf = sum([methods[m]["confidence"] * weights[m] for m in names[1:]],
-               methods[names[0]]["confidence"] * weights[names[0]])
-    agr = agreement([methods[m]["label"] for m in names], [methods[m]["score"] for m in names])
-    return F.struct(label_from(score, 0.1).alias("label"), score.alias("score"),
-                    (conf * agr).alias("confidence"), agr.alias("agreement_score"),
-                    F.struct(*[methods[m].alias(m) for m in names]).alias("methods"))
+
+    def body(ms):
+        score = sum([ms[m]["score"] * weights[m] for m in names[1:]],
+                    ms[names[0]]["score"] * weights[names[0]])
+        conf = sum([ms[m]["confidence"] * weights[m] for m in names[1:]],
+                   ms[names[0]]["confidence"] * weights[names[0]])
+        agr = agreement([ms[m]["label"] for m in names], [ms[m]["score"] for m in names])
+        return tx.let(F.struct(score.alias("score"), conf.alias("conf"), agr.alias("agr")),
+                      lambda v: F.struct(label_from(v["score"], 0.1).alias("label"),
+                                         v["score"].alias("score"),
+                                         (v["conf"] * v["agr"]).alias("confidence"),
+                                         v["agr"].alias("agreement_score"), ms.alias("methods")))
+
+    return tx.let(F.struct(*[methods[m].alias(m) for m in names]), body)
 
 
 def with_text_analysis(df: DataFrame, text_col: str = "text", lang_col: str = "language",
@@ -206,16 +229,18 @@ def with_text_analysis(df: DataFrame, text_col: str = "text", lang_col: str = "l
              .withColumn("features", tx.text_features(text_col, "_lang", "_clean"))
              .drop("_clean"))
     f = F.col("features")
-    val = valence_sentiment(text_col, **(valence_kw or {}))
-    trade = trade_sentiment(text_col, f["urgency_score"],
-                            f["financial_entities"]["percentages"],
-                            f["financial_entities"]["stock_movements"])
+    out = out.withColumns({
+        "_valence": valence_sentiment(text_col, **(valence_kw or {})),
+        "_trade": trade_sentiment(text_col, f["urgency_score"],
+                                  f["financial_entities"]["percentages"],
+                                  f["financial_entities"]["stock_movements"])})
+    val, trade = F.col("_valence"), F.col("_trade")
     ens = ensemble({"valence": val, "trade": trade}, weights)
     neutral = F.struct(F.lit("neutral").alias("label"), F.lit(0.0).alias("score"),
                        F.lit(0.0).alias("confidence"), F.lit(0.0).alias("agreement_score"),
                        F.struct(val.alias("valence"), trade.alias("trade")).alias("methods"))
     return (out.withColumn("sentiment", F.when(tx.has_text(text_col), ens).otherwise(neutral))
-               .withColumn(lang_col, F.col("_lang")).drop("_lang"))
+               .withColumn(lang_col, F.col("_lang")).drop("_lang", "_valence", "_trade"))
 
 
 # ---- U1: pluggable model scorer ---------------------------------------------

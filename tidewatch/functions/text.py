@@ -131,11 +131,11 @@ def readability(cleaned) -> Column:
     """T4: Flesch reading ease 206.835 - 1.015 w/s - 84.6 syl/w, with
     syllables counted as vowel groups; 50 for empty text."""
     c = _col(cleaned)
-    w = word_count(c).cast("double")
-    s = sentence_count(c).cast("double")
-    syl = F.regexp_count(F.lower(c), F.lit(VOWEL_GROUP_RE)).cast("double")
-    return F.when(w == 0, F.lit(50.0)).otherwise(
-        F.lit(206.835) - F.lit(1.015) * (w / s) - F.lit(84.6) * (syl / w))
+    parts = F.struct(word_count(c).cast("double").alias("w"),
+                     sentence_count(c).cast("double").alias("s"),
+                     F.regexp_count(F.lower(c), F.lit(VOWEL_GROUP_RE)).cast("double").alias("syl"))
+    return let(parts, lambda p: F.when(p["w"] == 0, F.lit(50.0)).otherwise(
+        F.lit(206.835) - F.lit(1.015) * (p["w"] / p["s"]) - F.lit(84.6) * (p["syl"] / p["w"])))
 
 
 # ---- T5 -------------------------------------------------------------------

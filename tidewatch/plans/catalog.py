@@ -174,3 +174,133 @@ def t21_ensemble(spark, sf):
                     r6(s["agreement_score"]).alias("agreement"),
                     r6(s["confidence"]).alias("confidence"))
 FLAGSHIP = "t21_ensemble"
+
+
+# ---- metrics, windows, detectors ------------------------------------------------
+
+from tidewatch.operators import anomaly as an  # noqa: E402
+from tidewatch.operators import keywords as kwo  # noqa: E402
+from tidewatch.plans import scoring as sc  # noqa: E402
+
+
+def _metrics(spark, sf):
+    return sc.metric_rows(posts(spark, sf))
+
+
+@query("c01_metrics")
+def c01_metrics(spark, sf):
+    m = _metrics(spark, sf)
+    return m.select("tweet_id", r6("engagement").alias("engagement"), r6("volume").alias("volume"),
+                    joined("kw").alias("keywords"))
+
+
+@query("c03_frames")
+def c03_frames(spark, sf):
+    f = an.with_frames(_metrics(spark, sf))
+    ok = F.col("n") >= K.MIN_SAMPLES
+    return f.select("tweet_id", big("n").alias("n"),
+                    *[r6(F.when(ok, F.col(c))).alias(c)
+                      for c in ("vol_last3", "eng_last3", "sent_last5", "sent_hist")])
+
+
+@query("c04_baselines")
+def c04_baselines(spark, sf):
+    s = an.bucket_baselines(_metrics(spark, sf))
+    force = an.baselines_in_force(s)
+    j = s.join(force, ["country", "bucket"])
+    cols = [f"{m}_{x}" for m in an.METRICS for x in ("mean", "std")]
+    return j.select("country", "bucket", big("n").alias("n"), *[r6(c).alias(c) for c in cols],
+                    *[r6(f"b_{c}").alias(f"b_{c}") for c in cols])
+
+
+def _detected(spark, sf):
+    return an.with_detectors(_metrics(spark, sf))
+
+
+@query("c06_volume")
+def c06_volume(spark, sf):
+    d = _detected(spark, sf)
+    v = F.col("volume_anomaly")
+    return d.select("tweet_id", big("n").alias("n"), r6(v["current"]).alias("current"),
+                    r6(v["z_score"]).alias("z"), r6(v["score"]).alias("score"),
+                    v["is_spike"].alias("is_spike"))
+
+
+@query("c07_sentiment")
+def c07_sentiment(spark, sf):
+    d = _detected(spark, sf)
+    v = F.col("sentiment_anomaly")
+    return d.select("tweet_id", big("n").alias("n"), r6(v["current"]).alias("current"),
+                    r6(v["historical"]).alias("historical"), r6(v["shift"]).alias("shift"),
+                    r6(v["score"]).alias("score"), v["is_sudden_shift"].alias("sudden"))
+
+
+@query("c10_engagement")
+def c10_engagement(spark, sf):
+    d = _detected(spark, sf)
+    v = F.col("engagement_anomaly")
+    return d.select("tweet_id", big("n").alias("n"), r6(v["current"]).alias("current"),
+                    r6(v["z_score"]).alias("z"), r6(v["score"]).alias("score"),
+                    v["is_spike"].alias("is_spike"))
+
+
+@query("c08_keyword_decay")
+def c08_keyword_decay(spark, sf):
+    m = _metrics(spark, sf)
+    mg, vals, *_ = sc.keyword_path(m)
+    last_g = mg.groupBy("country").agg(F.max("g").alias("g_end"))
+    per = vals.groupBy("country", "keyword").agg(
+        F.count(F.lit(1)).alias("n_occ"), F.max("g").alias("g_last"),
+        F.max_by("value", "g").alias("c_last"))
+    v = F.col("c_last") * F.pow(F.lit(K.KEYWORD_DECAY), (F.col("g_end") - F.col("g_last")).cast("double"))
+    return per.join(last_g, "country").select(
+        "country", "keyword", big("n_occ").alias("n_occ"),
+        r6(F.when(v >= K.KEYWORD_FLOOR, v).otherwise(0.0)).alias("value"))
+
+
+@query("c09_keyword_burst")
+def c09_keyword_burst(spark, sf):
+    bursts = sc.keyword_path(_metrics(spark, sf))[3]
+    return bursts.select("country", "bucket", big("n_live").alias("n_live"),
+                         r6("max_z").alias("max_z"), r6("score").alias("score"),
+                         joined("reported").alias("reported"))
+
+
+def _scored(spark, sf):
+    return sc.score_posts(_metrics(spark, sf))
+
+
+@query("c11_composite")
+def c11_composite(spark, sf):
+    s = _scored(spark, sf)
+    return s.select("tweet_id", r6("keyword_anomaly.score").alias("keyword_score"),
+                    r6("composite_score").alias("composite"), "severity", "alert_required")
+
+
+@query("c14_retention")
+def c14_retention(spark, sf):
+    r = an.significant_recent(_scored(spark, sf))
+    return r.select("country", "tweet_id", big("recent_rank").alias("recent_rank"),
+                    r6("composite_score").alias("composite"))
+
+
+@query("c15_summary")
+def c15_summary(spark, sf):
+    r = an.anomaly_summary(_scored(spark, sf).filter(F.col("composite_score") >= K.MEDIUM_CUT))
+    return r.select("country", big("total").alias("total"),
+                    *[big(f"n_{s}").alias(f"n_{s}") for s in ("low", "medium", "high", "critical")],
+                    r6("average_score").alias("average_score"), r6("max_score").alias("max_score"),
+                    "trend")
+
+
+@query("c16_expected_volume")
+def c16_expected_volume(spark, sf):
+    e = an.expected_volume(posts(spark, sf))
+    return e.select("hour_ts", big("n").alias("n"), r6("expected").alias("expected"),
+                    r6("ratio").alias("ratio"))
+
+
+@query("c17_scenario_change")
+def c17_scenario_change(spark, sf):
+    c = an.scenario_changes(posts(spark, sf))
+    return c.select("tweet_id", "previous", "scenario")

@@ -286,3 +286,223 @@ SELECT tweet_id, {r6('raw_score')} AS raw_score, CAST(hits AS BIGINT) AS hits, {
 ORACLE["t21_ensemble"] = with_posts(valence_cte(), trade_cte(), ensemble_cte()) + f"""
 SELECT tweet_id, {r6('score')} AS score, label, {r6('agreement')} AS agreement,
        {r6('confidence')} AS confidence FROM sent"""
+
+
+# ---- metrics, frames, baselines, detectors ------------------------------------------
+
+def D(x) -> str:
+    return f"CAST({x} AS DOUBLE)"
+
+
+def kw_sql(t: str = "text") -> str:
+    topics = f"list_filter({lst(K.TOPIC_VOCABULARY)}, lambda n: contains(lower(coalesce({t}, '')), lower(n)))[1:5]"
+    allk = f"list_concat({topics}, {tags(t, K.ORGANISATIONS)}, {tags(t, K.PRODUCER_COUNTRIES)})"
+    kept = f"list_transform(list_filter({allk}, lambda k: length(k) > 2), lambda k: trim(lower(k)))"
+    return f"list_filter({kept}, lambda k: regexp_full_match(regexp_replace(k, '[-_]', '', 'g'), '[\\p{{L}}\\p{{N}}]+'))"
+
+
+def metrics_ctes() -> tuple:
+    pf = " ".join(f"WHEN {q(k)} THEN {D(v)}" for k, v in K.PRIORITY_FACTORS.items())
+    return (valence_cte(), trade_cte(), ensemble_cte(), f"""
+m0 AS (
+  SELECT p.tweet_id, p.post_seq, p.ts, p.country, p.priority, p.scenario, p.is_anomaly,
+         s.score AS sentiment,
+         {D(0.3)} * coalesce(p.likes, 0) + {D(0.5)} * coalesce(p.retweets, 0) + {D(0.2)} * coalesce(p.replies, 0) AS engagement,
+         {kw_sql('p.text')} AS kw
+  FROM posts p JOIN sent s USING (tweet_id)),
+m2 AS (SELECT *, (CASE priority {pf} ELSE {D(1.0)} END) * (1 + engagement / 100) AS volume FROM m0)""")
+
+
+FRAMES_CTE = f"""
+f0 AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts, post_seq) AS rn FROM m2),
+f1 AS (
+  SELECT *,
+         min(rn) OVER (PARTITION BY country ORDER BY ts
+                       RANGE BETWEEN INTERVAL {K.SHORT_WINDOW_S} SECONDS PRECEDING AND CURRENT ROW) AS lo,
+         avg(volume) OVER w3 AS vol_last3, avg(engagement) OVER w3 AS eng_last3,
+         avg(sentiment) OVER w5 AS sent_last5
+  FROM f0
+  WINDOW w3 AS (PARTITION BY country ORDER BY ts, post_seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+         w5 AS (PARTITION BY country ORDER BY ts, post_seq ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)),
+f2 AS (SELECT *, least(rn - lo + 1, {K.SHORT_CAP}) AS n FROM f1),
+fsum AS (
+  SELECT a.tweet_id, sum(b.sentiment) AS sum_frame
+  FROM f2 a JOIN f2 b ON b.country = a.country AND b.rn BETWEEN a.rn - a.n + 1 AND a.rn
+  GROUP BY a.tweet_id),
+frames AS (
+  SELECT f2.*, CASE WHEN n > 5 THEN (sum_frame - sent_last5 * least(n, 5)) / (n - 5) ELSE 0.0 END AS sent_hist
+  FROM f2 JOIN fsum USING (tweet_id))"""
+
+
+def baseline_ctes() -> str:
+    q_cols = ", ".join(f"quantile_cont({m}, [0.25, 0.75]) AS q_{m}" for m in ("volume", "sentiment", "engagement"))
+    aggs, stats, force = [], [], []
+    for m in ("volume", "sentiment", "engagement"):
+        inside = (f"{m} >= q_{m}[1] - 1.5 * (q_{m}[2] - q_{m}[1]) "
+                  f"AND {m} <= q_{m}[2] + 1.5 * (q_{m}[2] - q_{m}[1])")
+        aggs.append(f"avg({m}) FILTER (WHERE {inside}) AS {m}_mean, "
+                    f"stddev_pop({m}) FILTER (WHERE {inside}) AS {m}_std")
+        stats.append(f"CASE WHEN n >= {K.MIN_SAMPLES} THEN {m}_mean END AS {m}_mean, "
+                     f"CASE WHEN n >= {K.MIN_SAMPLES} AND {m}_mean IS NOT NULL "
+                     f"THEN greatest({m}_std, 0.01) END AS {m}_std")
+        dm, ds = K.DEFAULT_BASELINES[m]
+        force.append(f"coalesce(last_value({m}_mean IGNORE NULLS) OVER wb, {D(dm)}) AS b_{m}_mean, "
+                     f"coalesce(last_value({m}_std IGNORE NULLS) OVER wb, {D(ds)}) AS b_{m}_std")
+    return f"""
+bk AS (SELECT *, CAST(date_trunc('day', ts) AS TIMESTAMP) AS bucket FROM m2),
+bq AS (SELECT country, bucket, count(*) AS n, {q_cols} FROM bk GROUP BY country, bucket),
+bs AS (
+  SELECT bk.country, bk.bucket, any_value(bq.n) AS n, {", ".join(aggs)}
+  FROM bk JOIN bq USING (country, bucket) GROUP BY bk.country, bk.bucket),
+bstats AS (SELECT country, bucket, n, {", ".join(stats)} FROM bs),
+bforce AS (
+  SELECT country, bucket, {", ".join(force)} FROM bstats
+  WINDOW wb AS (PARTITION BY country ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
+
+
+DETECT_CTE = f"""
+det0 AS (
+  SELECT fr.*, bf.* EXCLUDE (country, bucket),
+         (vol_last3 - b_volume_mean) / greatest(b_volume_std, 0.01) AS vz,
+         (eng_last3 - b_engagement_mean) / greatest(b_engagement_std, 0.01) AS ez,
+         abs(sent_last5 - sent_hist) AS shift
+  FROM frames fr LEFT JOIN bforce bf
+    ON bf.country = fr.country AND bf.bucket = CAST(date_trunc('day', fr.ts) AS TIMESTAMP)),
+det AS (
+  SELECT *, n >= {K.MIN_SAMPLES} AS ok,
+         CASE WHEN n >= {K.MIN_SAMPLES} THEN least(abs(vz) / 4.0, 1.0) ELSE 0.0 END AS vol_score,
+         CASE WHEN n >= {K.MIN_SAMPLES} THEN least(abs(ez) / 4.0, 1.0) ELSE 0.0 END AS eng_score,
+         CASE WHEN n >= {K.MIN_SAMPLES} THEN least(least(shift / 0.8, 1.0)
+              + CASE WHEN abs(sent_last5) > 0.7 THEN 0.2 ELSE 0.0 END, 1.0) ELSE 0.0 END AS sent_score
+  FROM det0)"""
+
+
+def fold_sql(lst_expr: str) -> str:
+    d, fl = D(K.KEYWORD_DECAY), D(K.KEYWORD_FLOOR)
+    return (f"list_reduce({lst_expr}, lambda a, x: {{'g': x.g, 'c': (CASE WHEN a.c * pow({d}, x.g - a.g) < {fl} "
+            f"THEN 0.0 ELSE a.c * pow({d}, x.g - a.g) END) + x.c}})")
+
+
+KEYWORD_CTES = f"""
+mg AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts, post_seq) AS g FROM m2),
+occ AS (
+  SELECT country, g, ts, keyword, CAST(count(*) AS DOUBLE) AS m
+  FROM (SELECT country, g, ts, unnest(kw) AS keyword FROM mg) GROUP BY country, g, ts, keyword),
+dends AS (SELECT country, CAST(date_trunc('day', ts) AS TIMESTAMP) AS bucket, max(g) AS g_end
+          FROM mg GROUP BY country, CAST(date_trunc('day', ts) AS TIMESTAMP)),
+kv AS (
+  SELECT d.country, d.bucket, d.g_end, o.keyword,
+         {fold_sql("list({'g': o.g, 'c': o.m} ORDER BY o.g)")} AS st
+  FROM dends d JOIN occ o ON o.country = d.country AND o.g <= d.g_end
+  GROUP BY d.country, d.bucket, d.g_end, o.keyword),
+klive AS (
+  SELECT country, bucket, keyword, st.c * pow({D(K.KEYWORD_DECAY)}, g_end - st.g) AS value FROM kv
+  WHERE st.c * pow({D(K.KEYWORD_DECAY)}, g_end - st.g) >= {D(K.KEYWORD_FLOOR)}),
+kz AS (
+  SELECT *, (value - avg(value) OVER w)
+            / (CASE WHEN count(*) OVER w > 1 THEN greatest(stddev_pop(value) OVER w, 0.1) ELSE 1.0 END) AS z
+  FROM klive WINDOW w AS (PARTITION BY country, bucket)),
+bursts AS (
+  SELECT country, bucket, count(*) AS n_live,
+         coalesce(max(z) FILTER (WHERE z > {K.KEYWORD_Z}), 0.0) AS max_z,
+         coalesce(bool_or(regexp_matches(keyword, {q('|'.join(K.CRISIS_TERMS))})) FILTER (WHERE z > {K.KEYWORD_Z}), false) AS crisis,
+         coalesce(list(keyword ORDER BY z DESC, keyword) FILTER (WHERE z > {K.KEYWORD_Z}), []) AS rep
+  FROM kz GROUP BY country, bucket),
+bursts2 AS (
+  SELECT *, least(CASE WHEN max_z > 0 THEN least(max_z / 5.0, 1.0) ELSE 0.0 END
+                  + CASE WHEN crisis THEN 0.3 ELSE 0.0 END, 1.0) AS score FROM bursts),
+kforce AS (
+  SELECT d.country, d.bucket,
+         coalesce(lag(coalesce(b.score, 0.0)) OVER (PARTITION BY d.country ORDER BY d.bucket), 0.0) AS kscore
+  FROM dends d LEFT JOIN bursts2 b USING (country, bucket))"""
+
+COMPOSITE_CTE = f"""
+sc0 AS (
+  SELECT det.*, coalesce(kf.kscore, 0.0) AS kscore,
+         vol_score * {K.COMPOSITE_WEIGHTS['volume']} + sent_score * {K.COMPOSITE_WEIGHTS['sentiment']}
+           + coalesce(kf.kscore, 0.0) * {K.COMPOSITE_WEIGHTS['keyword']} + eng_score * {K.COMPOSITE_WEIGHTS['engagement']} AS raw
+  FROM det LEFT JOIN kforce kf
+    ON kf.country = det.country AND kf.bucket = CAST(date_trunc('day', det.ts) AS TIMESTAMP)),
+scored AS (
+  SELECT *,
+         CASE WHEN coalesce(is_anomaly, false) THEN least(raw * 1.5, 1.0) ELSE raw END AS composite,
+         CASE WHEN coalesce(is_anomaly, false) THEN 'critical'
+              WHEN raw >= {K.CRITICAL_CUT} THEN 'critical' WHEN raw >= {K.HIGH_CUT} THEN 'high'
+              WHEN raw >= {K.MEDIUM_CUT} THEN 'medium' ELSE 'low' END AS severity,
+         coalesce(is_anomaly, false) OR raw >= {K.HIGH_CUT} AS alert_required
+  FROM sc0)"""
+
+
+def all_scored() -> str:
+    return with_posts(*metrics_ctes(), FRAMES_CTE, baseline_ctes(), DETECT_CTE, KEYWORD_CTES, COMPOSITE_CTE)
+
+
+ORACLE["c01_metrics"] = with_posts(*metrics_ctes()) + f"""
+SELECT tweet_id, {r6('engagement')} AS engagement, {r6('volume')} AS volume, {jn('kw')} AS keywords FROM m2"""
+ORACLE["c03_frames"] = with_posts(*metrics_ctes(), FRAMES_CTE) + f"""
+SELECT tweet_id, CAST(n AS BIGINT) AS n,
+       {", ".join(f"{r6(f'CASE WHEN n >= {K.MIN_SAMPLES} THEN {c} END')} AS {c}" for c in ("vol_last3", "eng_last3", "sent_last5", "sent_hist"))}
+FROM frames"""
+_bcols = [f"{m}_{x}" for m in ("volume", "sentiment", "engagement") for x in ("mean", "std")]
+ORACLE["c04_baselines"] = with_posts(*metrics_ctes(), baseline_ctes()) + f"""
+SELECT s.country, s.bucket, CAST(s.n AS BIGINT) AS n, {", ".join(f"{r6('s.' + c)} AS {c}" for c in _bcols)},
+       {", ".join(f"{r6('f.b_' + c)} AS b_{c}" for c in _bcols)}
+FROM bstats s JOIN bforce f USING (country, bucket)"""
+_det = with_posts(*metrics_ctes(), FRAMES_CTE, baseline_ctes(), DETECT_CTE)
+ORACLE["c06_volume"] = _det + f"""
+SELECT tweet_id, CAST(n AS BIGINT) AS n, {r6('CASE WHEN ok THEN vol_last3 END')} AS current,
+       {r6('CASE WHEN ok THEN vz END')} AS z, {r6('vol_score')} AS score, ok AND vz > {K.VOLUME_SPIKE_Z} AS is_spike
+FROM det"""
+ORACLE["c07_sentiment"] = _det + f"""
+SELECT tweet_id, CAST(n AS BIGINT) AS n, {r6('CASE WHEN ok THEN sent_last5 END')} AS current,
+       {r6('CASE WHEN ok THEN sent_hist END')} AS historical, {r6('CASE WHEN ok THEN shift END')} AS shift,
+       {r6('sent_score')} AS score, ok AND shift > {K.SENTIMENT_SHIFT} AS sudden
+FROM det"""
+ORACLE["c10_engagement"] = _det + f"""
+SELECT tweet_id, CAST(n AS BIGINT) AS n, {r6('CASE WHEN ok THEN eng_last3 END')} AS current,
+       {r6('CASE WHEN ok THEN ez END')} AS z, {r6('eng_score')} AS score, ok AND ez > {K.ENGAGEMENT_SPIKE_Z} AS is_spike
+FROM det"""
+ORACLE["c08_keyword_decay"] = with_posts(*metrics_ctes(), KEYWORD_CTES) + f"""
+, kd AS (
+  SELECT country, keyword, count(*) AS n_occ, {fold_sql("list({'g': g, 'c': m} ORDER BY g)")} AS st
+  FROM occ GROUP BY country, keyword),
+ce AS (SELECT country, max(g) AS g_end FROM mg GROUP BY country)
+SELECT country, keyword, CAST(n_occ AS BIGINT) AS n_occ,
+       {r6(f"CASE WHEN st.c * pow({D(K.KEYWORD_DECAY)}, g_end - st.g) >= {D(K.KEYWORD_FLOOR)} THEN st.c * pow({D(K.KEYWORD_DECAY)}, g_end - st.g) ELSE 0.0 END")} AS value
+FROM kd JOIN ce USING (country)"""
+ORACLE["c09_keyword_burst"] = with_posts(*metrics_ctes(), KEYWORD_CTES) + f"""
+SELECT country, bucket, CAST(n_live AS BIGINT) AS n_live, {r6('max_z')} AS max_z, {r6('score')} AS score,
+       array_to_string(rep[1:5], '|') AS reported
+FROM bursts2"""
+ORACLE["c11_composite"] = all_scored() + f"""
+SELECT tweet_id, {r6('kscore')} AS keyword_score, {r6('composite')} AS composite, severity, alert_required FROM scored"""
+ORACLE["c14_retention"] = all_scored() + f"""
+SELECT country, tweet_id, CAST(rk AS BIGINT) AS recent_rank, {r6('composite')} AS composite FROM (
+  SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts DESC, post_seq DESC) AS rk
+  FROM scored WHERE composite >= {K.MEDIUM_CUT}) WHERE rk <= 100"""
+ORACLE["c15_summary"] = all_scored() + f"""
+, sig AS (SELECT *, max(ts) OVER (PARTITION BY country) AS last_ts FROM scored WHERE composite >= {K.MEDIUM_CUT}),
+rec AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts DESC, post_seq DESC) AS rk
+        FROM sig WHERE ts > last_ts - INTERVAL 30 MINUTES),
+agg AS (
+  SELECT country, count(*) AS total,
+         count(*) FILTER (WHERE severity = 'low') AS n_low, count(*) FILTER (WHERE severity = 'medium') AS n_medium,
+         count(*) FILTER (WHERE severity = 'high') AS n_high, count(*) FILTER (WHERE severity = 'critical') AS n_critical,
+         avg(composite) AS average_score, max(composite) AS max_score,
+         avg(composite) FILTER (WHERE rk <= 10) AS r10, avg(composite) FILTER (WHERE rk > 10 AND rk <= 20) AS p10
+  FROM rec GROUP BY country)
+SELECT country, CAST(total AS BIGINT) AS total, CAST(n_low AS BIGINT) AS n_low, CAST(n_medium AS BIGINT) AS n_medium,
+       CAST(n_high AS BIGINT) AS n_high, CAST(n_critical AS BIGINT) AS n_critical,
+       {r6('average_score')} AS average_score, {r6('max_score')} AS max_score,
+       CASE WHEN total < 20 THEN 'insufficient_data' WHEN r10 > p10 * 1.2 THEN 'increasing'
+            WHEN r10 < p10 * 0.8 THEN 'decreasing' ELSE 'stable' END AS trend
+FROM agg"""
+_prof = "[" + ", ".join(D(v) for v in K.HOUR_PROFILE) + "]"
+ORACLE["c16_expected_volume"] = with_posts() + f"""
+, hh AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS hour_ts, count(*) AS n FROM posts GROUP BY 1),
+he AS (SELECT *, {_prof}[hour(hour_ts) + 1] * 1.0 * (CASE WHEN isodow(hour_ts) >= 6 THEN {K.WEEKEND_FACTOR} ELSE 1.0 END) AS expected FROM hh)
+SELECT hour_ts, CAST(n AS BIGINT) AS n, {r6('expected')} AS expected, {r6('n / expected')} AS ratio FROM he"""
+ORACLE["c17_scenario_change"] = with_posts() + """
+SELECT tweet_id, previous, scenario FROM (
+  SELECT tweet_id, scenario, lag(scenario) OVER (PARTITION BY country ORDER BY ts, post_seq) AS previous FROM posts)
+WHERE previous IS NOT NULL AND previous <> scenario"""
