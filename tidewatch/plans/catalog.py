@@ -304,3 +304,74 @@ def c16_expected_volume(spark, sf):
 def c17_scenario_change(spark, sf):
     c = an.scenario_changes(posts(spark, sf))
     return c.select("tweet_id", "previous", "scenario")
+
+
+# ---- alerts -------------------------------------------------------------------------
+
+from tidewatch.operators import alerts as al  # noqa: E402
+from tidewatch.sources.tables import load_table  # noqa: E402
+
+
+def _alerts(spark, sf):
+    return al.build_alerts(_scored(spark, sf))
+
+
+@query("d01_alerts")
+def d01_alerts(spark, sf):
+    a = _alerts(spark, sf)
+    return a.select("alert_id", "severity", r6("score").alias("score"), "description",
+                    joined("recommended_actions").alias("actions"),
+                    F.col("requires_immediate_attention").alias("immediate"))
+
+
+@query("d04_enriched")
+def d04_enriched(spark, sf):
+    e = al.enrich(_alerts(spark, sf))
+    return e.select("alert_id", "final_priority", joined("tags").alias("tags"),
+                    big("time_context.hour").alias("hour"),
+                    big("time_context.weekday").alias("weekday"),
+                    F.col("time_context.is_business_hours").alias("business"))
+
+
+@query("d06_gate")
+def d06_gate(spark, sf):
+    g = al.gate(_alerts(spark, sf))
+    return g.select("alert_id", "route", "should_send", "filters")
+
+
+@query("d13_outbox")
+def d13_outbox(spark, sf):
+    a = al.enrich(_alerts(spark, sf))
+    sent = a.join(al.gate(a).filter("should_send").select("alert_id"), "alert_id", "left_semi")
+    o = al.outbox(sent)
+    return o.select("alert_id", "channel", "time_ms", "time_end_ms", "title", "colour")
+
+
+@query("j07_fan_in")
+def j07_fan_in(spark, sf):
+    s = _scored(spark, sf)
+    u = al.fan_in(al.build_alerts(s), al.alert_required(s))
+    return u.groupBy("kind", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b05_time_flags")
+def b05_time_flags(spark, sf):
+    e = load_table(spark, sf, "events")
+    return e.select("event_id", big(F.hour("ts")).alias("hour"), big(F.weekday("ts")).alias("weekday"),
+                    al.is_market_hours("ts").alias("market"), al.is_business_hours("ts").alias("business"),
+                    r6(al.weekend_factor("ts")).alias("weekend_factor"))
+
+
+@query("t25_parse_time")
+def t25_parse_time(spark, sf):
+    from tidewatch.functions.timefn import parse_event_time, time_strings
+    e = load_table(spark, sf, "events").withColumn("s", time_strings("event_id", "ts"))
+    return e.select("event_id", "s", parse_event_time("s").alias("parsed"))
+
+
+@query("a04_defaults")
+def a04_defaults(spark, sf):
+    from tidewatch.sources.envelope import with_defaults, with_gaps
+    d = with_defaults(with_gaps(posts(spark, sf)))
+    return d.select("tweet_id", "language", "scenario", "priority", "is_anomaly",
+                    r6("engagement").alias("engagement"), F.col("has_text"))

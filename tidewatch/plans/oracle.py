@@ -506,3 +506,102 @@ ORACLE["c17_scenario_change"] = with_posts() + """
 SELECT tweet_id, previous, scenario FROM (
   SELECT tweet_id, scenario, lag(scenario) OVER (PARTITION BY country ORDER BY ts, post_seq) AS previous FROM posts)
 WHERE previous IS NOT NULL AND previous <> scenario"""
+
+
+# ---- alerts ------------------------------------------------------------------------
+
+def jfmt2(x: str) -> str:
+    """'%.2f' as Java prints it: HALF_UP on the shortest decimal form."""
+    dec = f"round(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), 2)"
+    return (f"(CASE WHEN {x} < 0 AND {dec} = 0 THEN '-0.00' "
+            f"ELSE CAST(CAST({dec} AS DECIMAL(38,2)) AS VARCHAR) END)")
+
+
+def _actions(sev: str) -> str:
+    return (f"CASE WHEN {sev} = 'critical' THEN {lst(K.ACTIONS['critical'])} "
+            f"WHEN {sev} = 'high' THEN {lst(K.ACTIONS['high'])} ELSE {lst(K.ACTIONS['other'])} END")
+
+
+ALERTS_CTE = f"""
+al0 AS (
+  SELECT sc.*, sent.label AS sent_label,
+         list_filter([CASE WHEN vol_score > 0.5 THEN 'volume' END, CASE WHEN sent_score > 0.5 THEN 'sentiment' END,
+                      CASE WHEN kscore > 0.5 THEN 'keyword' END, CASE WHEN eng_score > 0.5 THEN 'engagement' END],
+                     lambda x: x IS NOT NULL) AS factors
+  FROM scored sc JOIN sent USING (tweet_id) WHERE alert_required),
+alerts AS (
+  SELECT concat('alert_', strftime(ts, '%Y%m%d_%H%M%S'), '_', tweet_id) AS alert_id, ts, severity,
+         composite AS score,
+         concat(upper(severity), ' anomaly detected (score: ', {jfmt2('composite')}, ') driven by ',
+                CASE WHEN len(factors) > 0 THEN array_to_string(factors, ', ') ELSE 'multiple factors' END,
+                '. Tweet sentiment: ', coalesce(sent_label, 'unknown'), ' (', {jfmt2('coalesce(sentiment, 0.0)')}, ')') AS description,
+         {_actions('severity')} AS actions, severity = 'critical' AS immediate
+  FROM al0)"""
+
+ORACLE["d01_alerts"] = all_scored() + "," + ALERTS_CTE + f"""
+SELECT alert_id, severity, {r6('score')} AS score, description, {jn('actions')} AS actions, immediate FROM alerts"""
+
+_base = " ".join(f"WHEN {q(k)} THEN {D(v)}" for k, v in K.SEVERITY_BASE.items())
+ORACLE["d04_enriched"] = all_scored() + "," + ALERTS_CTE + f"""
+, en AS (
+  SELECT *, hour(ts) AS h, isodow(ts) - 1 AS wd,
+         hour(ts) BETWEEN 9 AND 17 AND isodow(ts) - 1 < 5 AS business
+  FROM alerts),
+en2 AS (
+  SELECT *, (CASE severity {_base} ELSE 2.0 END) + (CASE WHEN score > 0.9 THEN 1.0 ELSE 0.0 END)
+            + (CASE WHEN business THEN 0.5 ELSE 0.0 END) AS p
+  FROM en)
+SELECT alert_id,
+       CASE WHEN p >= 4 THEN 'critical' WHEN p >= 3 THEN 'high' WHEN p >= 2 THEN 'medium' ELSE 'low' END AS final_priority,
+       array_to_string(list_filter([
+         CASE WHEN contains({q(K.ALERT_TYPE)}, 'sentiment') THEN 'sentiment' END,
+         CASE WHEN contains({q(K.ALERT_TYPE)}, 'trade') THEN 'trade' END,
+         CASE WHEN contains({q(K.ALERT_TYPE)}, 'anomaly') THEN 'anomaly' END,
+         'severity:' || severity,
+         CASE WHEN contains(lower(description), 'volume') THEN 'volume-spike' END,
+         CASE WHEN contains(lower(description), 'sentiment') THEN 'sentiment-shift' END,
+         CASE WHEN h BETWEEN 9 AND 17 THEN 'business-hours' ELSE 'after-hours' END], lambda x: x IS NOT NULL), '|') AS tags,
+       CAST(h AS BIGINT) AS hour, CAST(wd AS BIGINT) AS weekday, business
+FROM en2"""
+
+ORACLE["j07_fan_in"] = all_scored() + """
+SELECT kind, severity, count(*) AS n FROM (
+  SELECT 'alert' AS kind, severity FROM scored WHERE alert_required
+  UNION ALL SELECT 'anomaly' AS kind, severity FROM scored WHERE alert_required)
+GROUP BY kind, severity"""
+
+ORACLE["b05_time_flags"] = f"""
+SELECT event_id, CAST(hour(ts) AS BIGINT) AS hour, CAST(isodow(ts) - 1 AS BIGINT) AS weekday,
+       (hour(ts) BETWEEN 8 AND 12) OR (hour(ts) BETWEEN 13 AND 17) OR hour(ts) >= 22 OR hour(ts) <= 2 AS market,
+       hour(ts) BETWEEN 9 AND 17 AND isodow(ts) - 1 < 5 AS business,
+       {r6(f"CASE WHEN isodow(ts) - 1 >= 5 THEN {K.WEEKEND_FACTOR} ELSE 1.0 END")} AS weekend_factor
+FROM events"""
+
+ORACLE["t25_parse_time"] = """
+WITH s AS (
+  SELECT event_id,
+         CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+                           WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
+                           WHEN 2 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
+                           ELSE 'not-a-time-' || CAST(event_id AS VARCHAR) END AS s
+  FROM events)
+SELECT event_id, s,
+       CASE WHEN regexp_full_match(trim(s), '-?[0-9]+') THEN make_timestamp(CAST(trim(s) AS BIGINT) * 1000)
+            ELSE TRY_CAST(regexp_replace(trim(s), 'Z$', '') AS TIMESTAMP) END AS parsed
+FROM s"""
+
+ORACLE["a04_defaults"] = with_posts() + f"""
+, g AS (
+  SELECT tweet_id,
+         CASE WHEN post_seq % 7 = 0 THEN NULL ELSE language END AS language,
+         CASE WHEN post_seq % 7 = 1 THEN NULL ELSE text END AS text,
+         CASE WHEN post_seq % 7 = 2 THEN NULL ELSE priority END AS priority,
+         CASE WHEN post_seq % 7 = 3 THEN NULL ELSE scenario END AS scenario,
+         CASE WHEN post_seq % 7 = 4 THEN NULL ELSE is_anomaly END AS is_anomaly,
+         CASE WHEN post_seq % 7 = 5 THEN NULL ELSE likes END AS likes, retweets, replies
+  FROM posts)
+SELECT tweet_id, coalesce(language, 'en') AS language, coalesce(scenario, 'normal') AS scenario,
+       coalesce(priority, 'normal') AS priority, coalesce(is_anomaly, false) AS is_anomaly,
+       {r6(f"{D(0.3)} * coalesce(likes, 0) + {D(0.5)} * coalesce(retweets, 0) + {D(0.2)} * coalesce(replies, 0)")} AS engagement,
+       text IS NOT NULL AND length(trim(text)) > 0 AS has_text
+FROM g"""
