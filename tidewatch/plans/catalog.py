@@ -375,3 +375,82 @@ def a04_defaults(spark, sf):
     d = with_defaults(with_gaps(posts(spark, sf)))
     return d.select("tweet_id", "language", "scenario", "priority", "is_anomaly",
                     r6("engagement").alias("engagement"), F.col("has_text"))
+
+
+# ---- reports ---------------------------------------------------------------------------
+
+from tidewatch.plans import reports as rp  # noqa: E402
+from tidewatch.operators.lookups import regions_table, with_region  # noqa: E402
+
+
+@query("e01_sentiment_distribution")
+def e01_sentiment_distribution(spark, sf):
+    d = rp.sentiment_distribution(_metrics(spark, sf))
+    return d.select(F.col("sentiment_label").alias("label"), big("n").alias("n"), r6("share").alias("share"))
+
+
+@query("e02_geographic")
+def e02_geographic(spark, sf):
+    g = rp.geographic(_metrics(spark, sf))
+    return g.select("country", big("n").alias("n"), r6("mean_score").alias("mean_score"))
+
+
+@query("e03_top_companies")
+def e03_top_companies(spark, sf):
+    p = posts(spark, sf).withColumn("orgs", tx.organisations("text"))
+    t = rp.top_terms(p, "orgs", 10, "organisation")
+    return t.select("organisation", big("n").alias("n"))
+
+
+@query("e04_time_histogram")
+def e04_time_histogram(spark, sf):
+    h = rp.time_histogram(_metrics(spark, sf), "1 hour")
+    return h.select("bucket", big("n").alias("n"), r6("mean_score").alias("mean_score"))
+
+
+@query("e05_latest")
+def e05_latest(spark, sf):
+    return rp.latest(posts(spark, sf), 3).select("tweet_id", "ts", "country")
+
+
+@query("e06_anomaly_sample")
+def e06_anomaly_sample(spark, sf):
+    s = rp.anomaly_sample(_scored(spark, sf), 10)
+    return s.select("tweet_id", r6("composite_score").alias("composite"), "severity")
+
+
+@query("e07_alert_overview")
+def e07_alert_overview(spark, sf):
+    o = rp.alert_overview(_alerts(spark, sf))
+    return o.select("bucket", "severity", big("n").alias("n"), big("n_negative").alias("n_negative"),
+                    big("n_volume").alias("n_volume"))
+
+
+@query("e08_hot_keywords")
+def e08_hot_keywords(spark, sf):
+    p = posts(spark, sf).withColumn("c", tx.clean_text("text")) \
+        .withColumn("kws", tx.top_keywords("c", "language"))
+    t = rp.top_terms(p, "kws", 20, "keyword")
+    return t.select("keyword", big("n").alias("n"))
+
+
+@query("j01_regions")
+def j01_regions(spark, sf):
+    p = with_region(posts(spark, sf), regions_table(spark))
+    return p.groupBy("country", "region_name", "coordinates").agg(F.count(F.lit(1)).alias("n")) \
+            .select("country", "region_name", r6(F.col("coordinates")[0]).alias("lat"),
+                    r6(F.col("coordinates")[1]).alias("lon"), big("n").alias("n"))
+
+
+@query("a14_month_scan")
+def a14_month_scan(spark, sf):
+    import os
+    from tidewatch.session import ensure_checkpoint_dir
+    from tidewatch.sources.sinks import upsert_monthly
+    base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base.replace("file:", ""), "tidewatch", "posts_by_month",
+                        os.path.basename(sf.rstrip("/")))
+    src = posts(spark, sf).select("tweet_id", "post_seq", "ts", "country")
+    upsert_monthly(spark, src, path, "tweet_id", "ts")
+    scan = rp.month_partitioned_scan(spark, path, ["2024-01"])
+    return scan.groupBy("country").agg(F.count(F.lit(1)).alias("n")).select("country", big("n").alias("n"))

@@ -605,3 +605,41 @@ SELECT tweet_id, coalesce(language, 'en') AS language, coalesce(scenario, 'norma
        {r6(f"{D(0.3)} * coalesce(likes, 0) + {D(0.5)} * coalesce(retweets, 0) + {D(0.2)} * coalesce(replies, 0)")} AS engagement,
        text IS NOT NULL AND length(trim(text)) > 0 AS has_text
 FROM g"""
+
+
+# ---- reports ----------------------------------------------------------------------------
+
+_m = with_posts(*metrics_ctes())
+ORACLE["e01_sentiment_distribution"] = with_posts(valence_cte(), trade_cte(), ensemble_cte()) + f"""
+SELECT label, CAST(count(*) AS BIGINT) AS n, {r6('count(*) / sum(count(*)) OVER ()')} AS share
+FROM sent GROUP BY label"""
+ORACLE["e02_geographic"] = _m + f"""
+SELECT country, CAST(count(*) AS BIGINT) AS n, {r6('avg(sentiment)')} AS mean_score FROM m2 GROUP BY country"""
+ORACLE["e03_top_companies"] = with_posts() + f"""
+SELECT organisation, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT unnest({tags('text', K.ORGANISATIONS)}) AS organisation FROM posts)
+GROUP BY organisation ORDER BY n DESC, organisation LIMIT 10"""
+ORACLE["e04_time_histogram"] = _m + f"""
+SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS bucket, CAST(count(*) AS BIGINT) AS n,
+       {r6('avg(sentiment)')} AS mean_score FROM m2 GROUP BY 1"""
+ORACLE["e05_latest"] = with_posts() + """
+SELECT tweet_id, ts, country FROM posts ORDER BY ts DESC, post_seq DESC LIMIT 3"""
+ORACLE["e06_anomaly_sample"] = all_scored() + f"""
+SELECT tweet_id, {r6('composite')} AS composite, severity FROM scored ORDER BY composite DESC, tweet_id LIMIT 10"""
+ORACLE["e07_alert_overview"] = all_scored() + "," + ALERTS_CTE + """
+SELECT CAST(date_trunc('day', a.ts) AS TIMESTAMP) AS bucket, a.severity, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) FILTER (WHERE s.sent_label = 'negative') AS BIGINT) AS n_negative,
+       CAST(count(*) FILTER (WHERE s.vol_score > 0.5) AS BIGINT) AS n_volume
+FROM alerts a JOIN al0 s ON s.tweet_id = regexp_extract(a.alert_id, '_(post_[0-9]+)$', 1)
+GROUP BY 1, 2"""
+ORACLE["e08_hot_keywords"] = with_posts(keywords_cte()) + """
+SELECT w AS keyword, CAST(count(*) AS BIGINT) AS n FROM krank WHERE rn <= 10
+GROUP BY w ORDER BY n DESC, keyword LIMIT 20"""
+_reg = ", ".join(f"({q(c.upper())}, {q(r)}, {D(a)}, {D(o)})" for c, r, a, o in K.REGIONS)
+ORACLE["j01_regions"] = with_posts() + f"""
+, reg(k, region_name, lat, lon) AS (VALUES {_reg})
+SELECT p.country, reg.region_name, {r6('coalesce(reg.lat, 0.0)')} AS lat, {r6('coalesce(reg.lon, 0.0)')} AS lon,
+       CAST(count(*) AS BIGINT) AS n
+FROM posts p LEFT JOIN reg ON reg.k = upper(p.country) GROUP BY 1, 2, 3, 4"""
+ORACLE["a14_month_scan"] = with_posts() + """
+SELECT country, CAST(count(*) AS BIGINT) AS n FROM posts WHERE strftime(ts, '%Y-%m') = '2024-01' GROUP BY country"""
