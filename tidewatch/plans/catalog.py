@@ -173,7 +173,7 @@ def t21_ensemble(spark, sf):
     return a.select("tweet_id", r6(s["score"]).alias("score"), s["label"].alias("label"),
                     r6(s["agreement_score"]).alias("agreement"),
                     r6(s["confidence"]).alias("confidence"))
-FLAGSHIP = "t21_ensemble"
+
 
 
 # ---- metrics, windows, detectors ------------------------------------------------
@@ -454,3 +454,88 @@ def a14_month_scan(spark, sf):
     upsert_monthly(spark, src, path, "tweet_id", "ts")
     scan = rp.month_partitioned_scan(spark, path, ["2024-01"])
     return scan.groupBy("country").agg(F.count(F.lit(1)).alias("n")).select("country", big("n").alias("n"))
+
+
+@query("flagship_country_alerts")
+def flagship_country_alerts(spark, sf):
+    """Flagship: posts -> text analysis -> detectors -> alerts, reduced to
+    posts, mean sentiment, anomalies and alerts per country."""
+    s = _scored(spark, sf)
+    return s.groupBy("country").agg(
+        big(F.count(F.lit(1))).alias("posts"), r6(F.avg("sentiment")).alias("mean_sentiment"),
+        big(F.count(F.when(F.col("composite_score") >= K.MEDIUM_CUT, 1))).alias("anomalies"),
+        big(F.count(F.when(F.col("alert_required"), 1))).alias("alerts"))
+
+
+FLAGSHIP = "flagship_country_alerts"
+
+
+# ---- streaming ---------------------------------------------------------------------------
+
+import os as _os  # noqa: E402
+import uuid as _uuid  # noqa: E402
+
+from tidewatch.streaming import stream as sm  # noqa: E402
+
+
+def _feed(spark, sf, copies: int = 1):
+    path = sm.scratch_path(spark, "feed", _os.path.basename(sf.rstrip("/")) + f"_x{copies}")
+    p = posts(spark, sf)
+    src = p
+    for _ in range(copies - 1):
+        src = src.unionByName(p)
+    sm.write_feed(src, path)
+    return path
+
+
+def _run(spark, df, mode="append"):
+    run_id = _uuid.uuid4().hex[:12]
+    out = sm.scratch_path(spark, "out", run_id)
+    sm.run_available(df, out, sm.scratch_path(spark, "ckpt", run_id), mode)
+    return spark.read.parquet(out)
+
+
+@query("s01_stream_enrich")
+def s01_stream_enrich(spark, sf):
+    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf), "maxFilesPerTrigger": 2})
+    e = sm.enrich(sm.decoded_posts(raw))
+    out = _run(spark, e.select("tweet_id", "country", F.col("sentiment.label").alias("label"),
+                               F.col("sentiment.score").alias("score")))
+    return out.select("tweet_id", "country", "label", r6("score").alias("score"))
+
+
+@query("s02_stream_buckets")
+def s02_stream_buckets(spark, sf):
+    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf)})
+    agg = sm.bucket_counts(sm.decoded_posts(raw), "1 hour")
+    out = _run(spark, agg.select("country", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                                 "n", "mean_engagement"))
+    return out.select("country", "window_start", big("n").alias("n"),
+                      r6("mean_engagement").alias("mean_engagement"))
+
+
+@query("s03_stream_sliding")
+def s03_stream_sliding(spark, sf):
+    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf)})
+    agg = sm.bucket_counts(sm.decoded_posts(raw), "2 hours", "1 hour")
+    out = _run(spark, agg.select("country", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                                 "n", "mean_engagement"))
+    return out.select("country", "window_start", big("n").alias("n"),
+                      r6("mean_engagement").alias("mean_engagement"))
+
+
+@query("s06_stream_dedupe")
+def s06_stream_dedupe(spark, sf):
+    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf, copies=2)})
+    d = sm.dedupe(sm.decoded_posts(raw))
+    return _run(spark, d.select("tweet_id", "country")).select("tweet_id", "country")
+
+
+@query("s04_stream_detector")
+def s04_stream_detector(spark, sf):
+    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf), "maxFilesPerTrigger": 4})
+    e = sm.enrich(sm.decoded_posts(raw))
+    m = an.with_metrics(e.withColumn("sentiment_score", F.col("sentiment.score")).drop("sentiment"))
+    out = _run(spark, sm.keyed_detector(m))
+    return out.select("country", "tweet_id", big("n").alias("n"), r6("composite_score").alias("composite"),
+                      "severity", "alert_required")

@@ -643,3 +643,30 @@ SELECT p.country, reg.region_name, {r6('coalesce(reg.lat, 0.0)')} AS lat, {r6('c
 FROM posts p LEFT JOIN reg ON reg.k = upper(p.country) GROUP BY 1, 2, 3, 4"""
 ORACLE["a14_month_scan"] = with_posts() + """
 SELECT country, CAST(count(*) AS BIGINT) AS n FROM posts WHERE strftime(ts, '%Y-%m') = '2024-01' GROUP BY country"""
+
+ORACLE["flagship_country_alerts"] = all_scored() + f"""
+SELECT country, CAST(count(*) AS BIGINT) AS posts, {r6('avg(sentiment)')} AS mean_sentiment,
+       CAST(count(*) FILTER (WHERE composite >= {K.MEDIUM_CUT}) AS BIGINT) AS anomalies,
+       CAST(count(*) FILTER (WHERE alert_required) AS BIGINT) AS alerts
+FROM scored GROUP BY country"""
+
+
+# ---- streaming (read-back equals the batch result) -------------------------------------------
+
+ORACLE["s01_stream_enrich"] = with_posts(valence_cte(), trade_cte(), ensemble_cte()) + f"""
+SELECT p.tweet_id, p.country, s.label, {r6('s.score')} AS score
+FROM posts p JOIN sent s USING (tweet_id) WHERE length(trim(coalesce(p.text, ''))) > 0"""
+_eng = f"{D(0.3)} * coalesce(likes, 0) + {D(0.5)} * coalesce(retweets, 0) + {D(0.2)} * coalesce(replies, 0)"
+ORACLE["s02_stream_buckets"] = with_posts() + f"""
+, mx AS (SELECT max(ts) - INTERVAL 10 MINUTES AS wm FROM posts)
+SELECT country, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, CAST(count(*) AS BIGINT) AS n,
+       {r6(f'avg({_eng})')} AS mean_engagement
+FROM posts, mx GROUP BY country, 2, wm HAVING CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR <= wm"""
+ORACLE["s03_stream_sliding"] = with_posts() + f"""
+, mx AS (SELECT max(ts) - INTERVAL 10 MINUTES AS wm FROM posts),
+ws AS (SELECT country, {_eng} AS engagement,
+              unnest([CAST(date_trunc('hour', ts) AS TIMESTAMP) - INTERVAL 1 HOUR,
+                      CAST(date_trunc('hour', ts) AS TIMESTAMP)]) AS window_start FROM posts)
+SELECT country, window_start, CAST(count(*) AS BIGINT) AS n, {r6('avg(engagement)')} AS mean_engagement
+FROM ws, mx GROUP BY country, window_start, wm HAVING window_start + INTERVAL 2 HOUR <= wm"""
+ORACLE["s06_stream_dedupe"] = with_posts() + "\nSELECT tweet_id, country FROM posts"
