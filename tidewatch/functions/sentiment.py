@@ -250,14 +250,14 @@ LABEL_ALIASES = {"pos": "positive", "positive": "positive", "label_2": "positive
                  "neu": "neutral", "neutral": "neutral", "label_1": "neutral"}
 
 
-def model_scorer(load_model, max_chars: int = 512):
+def model_scorer(load_model, max_chars: int | None = None):
     """Wrap a caller's model as an Arrow-batched pandas UDF.
 
     ``load_model()`` runs once per Python worker and returns a callable that
-    maps a list of texts to a list of (label, score) pairs.  Texts are cut to
-    ``max_chars`` characters, as the model input limit requires; labels are
-    normalised; the score is signed (negative labels give negative scores);
-    a missing model gives the neutral default.
+    maps a list of texts to a list of (label, score) pairs.  Whole texts are
+    passed unless the caller's model needs an input limit (``max_chars``);
+    labels are normalised; the score is signed (negative labels give negative
+    scores); a missing model gives the neutral default.
     """
     import pandas as pd
 
@@ -266,8 +266,7 @@ def model_scorer(load_model, max_chars: int = 512):
                            T.StructField("confidence", T.DoubleType())])
     state = {}
 
-    @F.pandas_udf(schema)
-    def score(texts: pd.Series) -> pd.DataFrame:
+    def score(texts):
         if "model" not in state:
             try:
                 state["model"] = load_model()
@@ -277,7 +276,7 @@ def model_scorer(load_model, max_chars: int = 512):
         if model is None:
             return pd.DataFrame({"label": ["neutral"] * len(texts),
                                  "score": [0.0] * len(texts), "confidence": [0.0] * len(texts)})
-        preds = model([(t or "")[:max_chars] for t in texts])
+        preds = model([(t or "") if max_chars is None else (t or "")[:max_chars] for t in texts])
         labels, scores, confs = [], [], []
         for lab, conf in preds:
             lab = LABEL_ALIASES.get(str(lab).lower(), "neutral")
@@ -287,4 +286,5 @@ def model_scorer(load_model, max_chars: int = 512):
                           -float(conf) if lab == "negative" else 0.0)
         return pd.DataFrame({"label": labels, "score": scores, "confidence": confs})
 
-    return score
+    score.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
+    return F.pandas_udf(score, schema)

@@ -539,3 +539,37 @@ def s04_stream_detector(spark, sf):
     out = _run(spark, sm.keyed_detector(m))
     return out.select("country", "tweet_id", big("n").alias("n"), r6("composite_score").alias("composite"),
                       "severity", "alert_required")
+
+
+# ---- U1, U2: pluggable model -----------------------------------------------------------------
+
+def load_stub_model():
+    """A deterministic stand-in for a caller's model (tests and queries)."""
+    def predict(texts):
+        out = []
+        for t in texts:
+            lt = t.lower()
+            if "growth" in lt or "deal" in lt:
+                out.append(("POS", 0.9))
+            elif "crisis" in lt or "disruption" in lt:
+                out.append(("NEG", 0.8))
+            else:
+                out.append(("NEU", 0.5))
+        return out
+    return predict
+
+
+@query("u01_model_scorer")
+def u01_model_scorer(spark, sf):
+    m = st.model_scorer(load_stub_model)(F.col("text"))
+    return posts(spark, sf).select("tweet_id", m["label"].alias("label"), r6(m["score"]).alias("score"))
+
+
+@query("u02_three_methods")
+def u02_three_methods(spark, sf):
+    a = st.with_text_analysis(posts(spark, sf))
+    a = a.withColumn("model", st.model_scorer(load_stub_model)(F.col("text")))
+    e = st.ensemble({"model": F.col("model"), "valence": F.col("sentiment.methods.valence"),
+                     "trade": F.col("sentiment.methods.trade")}, K.THREE_METHOD_WEIGHTS)
+    return a.select("tweet_id", r6(e["score"]).alias("score"), e["label"].alias("label"),
+                    r6(e["agreement_score"]).alias("agreement"), r6(e["confidence"]).alias("confidence"))

@@ -670,3 +670,35 @@ ws AS (SELECT country, {_eng} AS engagement,
 SELECT country, window_start, CAST(count(*) AS BIGINT) AS n, {r6('avg(engagement)')} AS mean_engagement
 FROM ws, mx GROUP BY country, window_start, wm HAVING window_start + INTERVAL 2 HOUR <= wm"""
 ORACLE["s06_stream_dedupe"] = with_posts() + "\nSELECT tweet_id, country FROM posts"
+
+
+# ---- U1, U2 -------------------------------------------------------------------------------------
+
+STUB_CTE = """
+model AS (
+  SELECT tweet_id,
+         CASE WHEN contains(lower(text), 'growth') OR contains(lower(text), 'deal') THEN 'positive'
+              WHEN contains(lower(text), 'crisis') OR contains(lower(text), 'disruption') THEN 'negative'
+              ELSE 'neutral' END AS ml,
+         CASE WHEN contains(lower(text), 'growth') OR contains(lower(text), 'deal') THEN 0.9
+              WHEN contains(lower(text), 'crisis') OR contains(lower(text), 'disruption') THEN 0.8
+              ELSE 0.5 END AS mc
+  FROM posts),
+model2 AS (SELECT *, CASE ml WHEN 'positive' THEN mc WHEN 'negative' THEN -mc ELSE 0.0 END AS ms FROM model)"""
+ORACLE["u01_model_scorer"] = with_posts(STUB_CTE) + f"\nSELECT tweet_id, ml AS label, {r6('ms')} AS score FROM model2"
+_w = K.THREE_METHOD_WEIGHTS
+ORACLE["u02_three_methods"] = with_posts(valence_cte(), trade_cte(), ensemble_cte(), STUB_CTE) + f"""
+, u0 AS (
+  SELECT s.tweet_id, m.ml, m.ms, m.mc, s.vl, s.vs, s.vc, s.tl, s.ts, s.tc,
+         ((m.ms + s.vs) + s.ts) / 3.0 AS mu
+  FROM sent0 s JOIN model2 m USING (tweet_id)),
+u1 AS (
+  SELECT *, (m_s * {_w['model']} + vs * {_w['valence']}) + ts * {_w['trade']} AS score,
+         (mc * {_w['model']} + vc * {_w['valence']}) + tc * {_w['trade']} AS wconf,
+         0.6 * (CASE WHEN vl = ml AND tl = ml THEN 1.0 ELSE 0.5 END)
+           + 0.4 / (1.0 + sqrt((((m_s - mu) * (m_s - mu) + (vs - mu) * (vs - mu)) + (ts - mu) * (ts - mu)) / 3.0)) AS agr
+  FROM (SELECT *, ms AS m_s FROM u0))
+SELECT tweet_id, {r6('score')} AS score,
+       CASE WHEN score >= 0.1 THEN 'positive' WHEN score <= -0.1 THEN 'negative' ELSE 'neutral' END AS label,
+       {r6('agr')} AS agreement, {r6('wconf * agr')} AS confidence
+FROM u1"""
