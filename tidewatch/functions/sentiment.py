@@ -224,23 +224,25 @@ def with_text_analysis(df: DataFrame, text_col: str = "text", lang_col: str = "l
     neutral default (B1)."""
     weights = weights or K.ENSEMBLE_WEIGHTS
     lang = tx.language_or_detect(lang_col, text_col, force=detect)
-    out = (df.withColumn("_lang", lang)
-             .withColumn("_clean", tx.clean_text(text_col))
-             .withColumn("features", tx.text_features(text_col, "_lang", "_clean"))
-             .drop("_clean"))
-    f = F.col("features")
+    # Inputs shared by sentiment and features are separate columns, so a
+    # query that needs only the sentiment prunes the rest of the features.
+    out = df.withColumns({"_lang": lang, "_urg": tx.urgency_score(text_col),
+                          "_pcts": tx.percentages(text_col), "_moves": tx.movements(text_col),
+                          "_orgs": tx.organisations(text_col)})
     out = out.withColumns({
         "_valence": valence_sentiment(text_col, **(valence_kw or {})),
-        "_trade": trade_sentiment(text_col, f["urgency_score"],
-                                  f["financial_entities"]["percentages"],
-                                  f["financial_entities"]["stock_movements"])})
+        "_trade": trade_sentiment(text_col, "_urg", "_pcts", "_moves")})
     val, trade = F.col("_valence"), F.col("_trade")
     ens = ensemble({"valence": val, "trade": trade}, weights)
     neutral = F.struct(F.lit("neutral").alias("label"), F.lit(0.0).alias("score"),
                        F.lit(0.0).alias("confidence"), F.lit(0.0).alias("agreement_score"),
                        F.struct(val.alias("valence"), trade.alias("trade")).alias("methods"))
-    return (out.withColumn("sentiment", F.when(tx.has_text(text_col), ens).otherwise(neutral))
-               .withColumn(lang_col, F.col("_lang")).drop("_lang", "_valence", "_trade"))
+    out = out.withColumn("sentiment", F.when(tx.has_text(text_col), ens).otherwise(neutral))
+    out = (out.withColumn("_clean", tx.clean_text(text_col))
+              .withColumn("features", tx.text_features(text_col, "_lang", "_clean", "_urg",
+                                                       "_pcts", "_moves", "_orgs")))
+    return (out.withColumn(lang_col, F.col("_lang"))
+               .drop("_lang", "_valence", "_trade", "_urg", "_pcts", "_moves", "_clean", "_orgs"))
 
 
 # ---- U1: pluggable model scorer ---------------------------------------------

@@ -226,9 +226,11 @@ def topic_keywords(text, vocabulary=K.TOPIC_VOCABULARY, limit: int = 5) -> Colum
     return let(lt, lambda l: F.slice(F.filter(arr, lambda n: F.contains(l, F.lower(n))), 1, limit))
 
 
-def producer_entities(text, companies=K.ORGANISATIONS) -> Column:
-    """struct(companies, countries, persons) as the feed producer tags it."""
-    return F.struct(tag_substrings(text, companies).alias("companies"),
+def producer_entities(text, tagged=None, companies=K.ORGANISATIONS) -> Column:
+    """struct(companies, countries, persons) as the feed producer tags it
+    (``tagged``: organisation tags already computed for this text)."""
+    comp = tag_substrings(text, companies) if tagged is None else tagged
+    return F.struct(comp.alias("companies"),
                     tag_substrings(text, K.PRODUCER_COUNTRIES).alias("countries"),
                     F.array().cast("array<string>").alias("persons"))
 
@@ -302,11 +304,13 @@ def urls(text) -> Column:
 
 # ---- T22 part: the feature struct -------------------------------------------
 
-def text_features(text, lang, cleaned=None) -> Column:
+def text_features(text, lang, cleaned=None, urgency=None, pcts=None, moves=None,
+                  orgs=None) -> Column:
     """All preprocessing features of one post as one struct.
-    Pass ``cleaned`` as a column computed once beforehand (see
-    ``with_text_analysis``); otherwise it is derived here."""
+    Pre-computed columns may be passed (see ``with_text_analysis``) so each
+    feature is computed once per row; missing ones are derived here."""
     cleaned = clean_text(text) if cleaned is None else _col(cleaned)
+    pick = lambda c, f: f(text) if c is None else _col(c)
     return F.struct(
         _col(text).alias("original_text"),
         cleaned.alias("cleaned_text"),
@@ -316,9 +320,11 @@ def text_features(text, lang, cleaned=None) -> Column:
         F.length(cleaned).alias("char_count"),
         sentence_count(cleaned).alias("sentence_count"),
         readability(cleaned).alias("readability_score"),
-        urgency_score(text).alias("urgency_score"),
-        financial_entities(text).alias("financial_entities"),
-        F.struct(organisations(text).alias("organizations"),
+        pick(urgency, urgency_score).alias("urgency_score"),
+        F.struct(pick(pcts, percentages).alias("percentages"),
+                 currencies(text).alias("currencies"),
+                 pick(moves, movements).alias("stock_movements")).alias("financial_entities"),
+        F.struct(pick(orgs, organisations).alias("organizations"),
                  places(text).alias("locations"),
                  money_mentions(text).alias("money")).alias("entities"),
         top_keywords(cleaned, lang).alias("keywords"),

@@ -59,8 +59,9 @@ def normalise_keywords(keywords, companies, countries) -> Column:
 
 def with_metrics(df: DataFrame, sentiment: str = "sentiment_score") -> DataFrame:
     """C1+C2 on posts: engagement, volume, sentiment (the ensemble score),
-    keyword list (producer tags: topics, companies, countries)."""
-    ent = tx.producer_entities("text")
+    keyword list (producer tags: topics, companies, countries).  Reuses the
+    organisation tags of the text analysis when present."""
+    ent = tx.producer_entities("text", F.col("_orgs") if "_orgs" in df.columns else None)
     return df.withColumns({
         "engagement": engagement_score("likes", "retweets", "replies"),
         "volume": volume_score("priority", engagement_score("likes", "retweets", "replies")),
@@ -72,13 +73,15 @@ def with_metrics(df: DataFrame, sentiment: str = "sentiment_score") -> DataFrame
 # ---- C3, C18, C6, C7, C10: bounded frames -------------------------------------------
 
 def with_halo(df: DataFrame, chunk_s: int, halo_s: int) -> DataFrame:
-    """Tag rows with a time chunk and append halo copies for the next chunk."""
+    """Tag rows with their time chunk, plus halo copies for every later chunk
+    whose first ``halo_s`` seconds they fall in (one copy when the halo is
+    shorter than a chunk)."""
     us = F.col("_ts_us")
     chunk_us, halo_us = chunk_s * MICROS, halo_s * MICROS
-    base = df.withColumns({"_chunk": F.floor(us / chunk_us), "_halo": F.lit(False)})
-    halo = (df.filter(F.pmod(us, F.lit(chunk_us)) >= chunk_us - halo_us)
-              .withColumns({"_chunk": F.floor(us / chunk_us) + 1, "_halo": F.lit(True)}))
-    return base.unionByName(halo)
+    own = F.floor(us / chunk_us)
+    last = F.floor((us + halo_us) / chunk_us)
+    return (df.withColumn("_chunk", F.explode(F.sequence(own, last)))
+              .withColumn("_halo", F.col("_chunk") != own))
 
 
 def with_frames(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WINDOW_S,
@@ -88,6 +91,8 @@ def with_frames(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WINDOW
 
     Adds n (frame size), vol_last3, eng_last3, sent_last5 (C18 means) and
     sent_hist (mean of the frame without its last 5 rows, 0 when n <= 5).
+    Partitions are (keys, time chunk) with a ``window_s`` halo, so frames
+    are exact and hot keys are split.
     """
     keys = list(keys)
     d = with_halo(df.withColumn("_ts_us", ts_micros("ts")), chunk_s, window_s)
@@ -199,9 +204,10 @@ def sentiment_anomaly(n, current, hist) -> Column:
                     F.when(enough, hist).alias("historical"))
 
 
-def with_detectors(df: DataFrame, keys=("country",), chunk_s: int = 3600) -> DataFrame:
+def with_detectors(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WINDOW_S,
+                   cap: int = K.SHORT_CAP, chunk_s: int = 3600) -> DataFrame:
     """C3-C7, C10 on metric rows: frames, baselines, three detectors."""
-    f = with_frames(df, keys, chunk_s=chunk_s)
+    f = with_frames(df, keys, window_s=window_s, cap=cap, chunk_s=chunk_s)
     f = attach_baselines(f, keys)
     return f.withColumns({
         "volume_anomaly": volume_anomaly(F.col("n"), F.col("vol_last3"), F.col("b_volume_mean"),

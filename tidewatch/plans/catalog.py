@@ -187,6 +187,12 @@ def _metrics(spark, sf):
     return sc.metric_rows(posts(spark, sf))
 
 
+# Detector parameters of the query catalogue: posts of one
+# country are minutes to hours apart in the driver tables, so the frame is
+# 2 days (cap 100) and partitions are (country, 1-day chunk) + 2-day halo.
+WINDOW_S, CAP, CHUNK_S = 2 * 86400, 100, 86400
+
+
 @query("c01_metrics")
 def c01_metrics(spark, sf):
     m = _metrics(spark, sf)
@@ -196,7 +202,7 @@ def c01_metrics(spark, sf):
 
 @query("c03_frames")
 def c03_frames(spark, sf):
-    f = an.with_frames(_metrics(spark, sf))
+    f = an.with_frames(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP, chunk_s=CHUNK_S)
     ok = F.col("n") >= K.MIN_SAMPLES
     return f.select("tweet_id", big("n").alias("n"),
                     *[r6(F.when(ok, F.col(c))).alias(c)
@@ -214,7 +220,7 @@ def c04_baselines(spark, sf):
 
 
 def _detected(spark, sf):
-    return an.with_detectors(_metrics(spark, sf))
+    return an.with_detectors(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP, chunk_s=CHUNK_S)
 
 
 @query("c06_volume")
@@ -267,7 +273,7 @@ def c09_keyword_burst(spark, sf):
 
 
 def _scored(spark, sf):
-    return sc.score_posts(_metrics(spark, sf))
+    return sc.score_posts(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP, chunk_s=CHUNK_S)
 
 
 @query("c11_composite")

@@ -313,12 +313,13 @@ m0 AS (
 m2 AS (SELECT *, (CASE priority {pf} ELSE {D(1.0)} END) * (1 + engagement / 100) AS volume FROM m0)""")
 
 
+QUERY_WINDOW_S = 2 * 86400  # the catalogue's detector frame (SURVEY 7.1)
 FRAMES_CTE = f"""
 f0 AS (SELECT *, row_number() OVER (PARTITION BY country ORDER BY ts, post_seq) AS rn FROM m2),
 f1 AS (
   SELECT *,
          min(rn) OVER (PARTITION BY country ORDER BY ts
-                       RANGE BETWEEN INTERVAL {K.SHORT_WINDOW_S} SECONDS PRECEDING AND CURRENT ROW) AS lo,
+                       RANGE BETWEEN INTERVAL {QUERY_WINDOW_S} SECONDS PRECEDING AND CURRENT ROW) AS lo,
          avg(volume) OVER w3 AS vol_last3, avg(engagement) OVER w3 AS eng_last3,
          avg(sentiment) OVER w5 AS sent_last5
   FROM f0

@@ -21,10 +21,10 @@ METRIC_COLS = ["tweet_id", "post_seq", "ts", "country", "region", "priority", "s
 
 def metric_rows(posts: DataFrame, persist: bool = True) -> DataFrame:
     """Text analysis + C1/C2, narrowed to what the detectors need."""
-    a = st.with_text_analysis(posts)
+    a = st.with_text_analysis(posts).withColumn("_orgs", F.col("features.entities.organizations"))
     m = an.with_metrics(a.withColumn("sentiment_score", F.col("sentiment.score"))
                          .withColumn("sentiment_label", F.col("sentiment.label"))
-                         .drop("sentiment"))
+                         .drop("sentiment", "features"))
     m = m.withColumn("snippet", tx.truncate("text", 200)).select(*METRIC_COLS)
     return m.persist(StorageLevel.MEMORY_AND_DISK) if persist else m
 
@@ -43,10 +43,11 @@ def keyword_path(m: DataFrame, keys=("country",)):
     return mg, vals, live, bursts, kwo.keyword_scores_in_force(all_b, keys)
 
 
-def score_posts(m: DataFrame, keys=("country",)) -> DataFrame:
+def score_posts(m: DataFrame, keys=("country",), window_s: int = 300, cap: int = 100,
+                chunk_s: int = 3600) -> DataFrame:
     """Detectors, keyword burst in force, composite and severity."""
     keys = list(keys)
-    det = an.with_detectors(m, keys)
+    det = an.with_detectors(m, keys, window_s=window_s, cap=cap, chunk_s=chunk_s)
     force = keyword_path(m, keys)[4]
     s = det.join(force, keys + ["bucket"], "left")
     s = s.withColumn("keyword_anomaly", F.struct(
