@@ -26,8 +26,10 @@ def query(name):
 
 
 def r6(c) -> Column:
+    """Round to 6 places through a 9-place decimal: both engines then agree
+    on exact decimal ties, whatever their last-ulp float noise."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast("double"), 6)
+    return F.round(c.cast("double").try_cast("decimal(38,9)"), 6).cast("double")
 
 
 def big(c) -> Column:

@@ -32,7 +32,8 @@ def with_posts(*ctes: str) -> str:
 
 
 def r6(x: str) -> str:
-    return f"round(CAST({x} AS DOUBLE), 6)"
+    """Round to 6 places through a 9-place decimal (see catalog.r6)."""
+    return f"CAST(round(TRY_CAST(CAST({x} AS DOUBLE) AS DECIMAL(38,9)), 6) AS DOUBLE)"
 
 
 def jn(x: str) -> str:
@@ -257,9 +258,9 @@ SELECT tweet_id, CAST(length(text) AS BIGINT) AS length, CAST({wcount('c')} AS B
 ORACLE["t04_readability"] = with_posts(f"c AS (SELECT tweet_id, {clean('text')} AS c FROM posts)") + \
     f"\nSELECT tweet_id, {r6(readability('c'))} AS readability FROM c"
 _simple("t05_urgency", f"{r6(urgency('text'))} AS urgency")
-ORACLE["t06_percentages"] = with_posts(f"p AS (SELECT tweet_id, {pcts('text')} AS p FROM posts)") + """
-SELECT tweet_id, CAST(len(p) AS BIGINT) AS n_pct, round(list_max(p), 6) AS max_pct,
-       round(coalesce(list_sum(p), 0.0), 6) AS sum_pct FROM p"""
+ORACLE["t06_percentages"] = with_posts(f"p AS (SELECT tweet_id, {pcts('text')} AS p FROM posts)") + f"""
+SELECT tweet_id, CAST(len(p) AS BIGINT) AS n_pct, {r6('list_max(p)')} AS max_pct,
+       {r6('coalesce(list_sum(p), 0.0)')} AS sum_pct FROM p"""
 TXT = "coalesce(text, '')"
 _simple("t07_currencies",
         jn(f"list_transform(list_zip(regexp_extract_all({TXT}, {q(CURRENCY_RE)}, 1), "
