@@ -274,8 +274,8 @@ def anomaly_summary(df: DataFrame, keys=("country",), minutes: int = 30) -> Data
     total, count per severity, mean, max, and the trend of the newest 10
     against the 10 before (needs 20)."""
     keys = list(keys)
-    last = F.max("ts").over(Window.partitionBy(*keys))
-    recent = (df.withColumn("_last", last)
+    last = df.groupBy(*keys).agg(F.max("ts").alias("_last"))  # one row per key
+    recent = (df.join(last, keys)
                 .filter(F.col("ts") > F.col("_last") - F.expr(f"INTERVAL {minutes} MINUTES")))
     w = Window.partitionBy(*keys).orderBy(F.col("ts").desc(), F.col("post_seq").desc())
     r = recent.withColumn("_rk", F.row_number().over(w))
@@ -306,8 +306,21 @@ def expected_volume(df: DataFrame, profile=K.HOUR_PROFILE, scenario_factor: floa
     return h.withColumns({"expected": exp, "ratio": F.col("n") / exp})
 
 
-def scenario_changes(df: DataFrame, keys=("country",)) -> DataFrame:
-    """C17: rows whose scenario differs from the previous row of the key."""
-    w = Window.partitionBy(*keys).orderBy("ts", "post_seq")
-    return (df.withColumn("previous", F.lag("scenario").over(w))
-              .filter(F.col("previous").isNotNull() & (F.col("previous") != F.col("scenario"))))
+def scenario_changes(df: DataFrame, keys=("country",), chunk_s: int = 86400) -> DataFrame:
+    """C17: rows whose scenario differs from the previous row of the key.
+
+    ``lag`` runs inside (key, time chunk) partitions; the first row of a
+    chunk takes its predecessor from the small per-chunk table (last row of
+    the latest earlier chunk), so no task holds a whole key."""
+    keys = list(keys)
+    d = df.withColumn("_chunk", F.floor(ts_micros("ts") / (chunk_s * MICROS)))
+    ends = d.groupBy(*keys, "_chunk").agg(
+        F.max_by("scenario", F.struct("ts", "post_seq")).alias("_end"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk")
+    carry = ends.select(*keys, "_chunk", F.lag("_end").over(wc).alias("_carry"))
+    w = Window.partitionBy(*keys, "_chunk").orderBy("ts", "post_seq")
+    prev = F.coalesce(F.lag("scenario").over(w), F.col("_carry"))
+    return (d.join(carry, keys + ["_chunk"])
+             .withColumn("previous", prev)
+             .filter(F.col("previous").isNotNull() & (F.col("previous") != F.col("scenario")))
+             .drop("_chunk", "_carry"))
