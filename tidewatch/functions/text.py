@@ -32,6 +32,14 @@ MONEY_RE = r"(?i)\$\d+(?:,\d{3})*(?:\.\d{2})?(?:\s*(?:billion|million|trillion))
 SYMBOL_RUN_RE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in K.URGENCY_SYMBOLS) + "]+"
 KEEP_CLASS_RE = r"[^\p{L}\p{N}_\s.!?,\-%$]"
 VOWEL_GROUP_RE = "[aeiouyàâäéèêëîïôöùûüÿœæ]+"
+VOWEL_GROUP_ANYCASE_RE = "[aeiouyàâäéèêëîïôöùûüÿœæAEIOUYÀÂÄÉÈÊËÎÏÔÖÙÛÜŸŒÆ]+"
+NOT_WORD_BEFORE, NOT_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+
+
+def whole_words_re(words) -> str:
+    """Java regex for any of ``words`` as a whole word (maximal run of word
+    characters), ASCII case-insensitive: one pass, no token array."""
+    return "(?i)" + NOT_WORD_BEFORE + "(?:" + "|".join(words) + ")" + NOT_WORD_AFTER
 
 
 def _col(c) -> Column:
@@ -108,8 +116,9 @@ def clean_text(text) -> Column:
 
 
 def word_count(cleaned) -> Column:
+    """Words of cleaned text (single-spaced and trimmed): spaces + 1."""
     c = _col(cleaned)
-    return F.when(c == "", F.lit(0)).otherwise(F.size(F.split(c, " ")))
+    return F.when(c == "", F.lit(0)).otherwise(count_char(c, " ") + 1)
 
 
 def sentence_count(cleaned) -> Column:
@@ -133,7 +142,7 @@ def readability(cleaned) -> Column:
     c = _col(cleaned)
     parts = F.struct(word_count(c).cast("double").alias("w"),
                      sentence_count(c).cast("double").alias("s"),
-                     F.regexp_count(F.lower(c), F.lit(VOWEL_GROUP_RE)).cast("double").alias("syl"))
+                     F.regexp_count(c, F.lit(VOWEL_GROUP_ANYCASE_RE)).cast("double").alias("syl"))
     return let(parts, lambda p: F.when(p["w"] == 0, F.lit(50.0)).otherwise(
         F.lit(206.835) - F.lit(1.015) * (p["w"] / p["s"]) - F.lit(84.6) * (p["syl"] / p["w"])))
 
@@ -144,11 +153,11 @@ def urgency_score(text) -> Column:
     """T5: 0.3 per urgency word or symbol run, + 0.5 x upper-case share,
     + 0.2 per '!', capped at 2."""
     t = F.coalesce(_col(text), F.lit(""))
-    toks = word_tokens(F.lower(t))
     words = [w for g in K.URGENCY_WORD_GROUPS for w in g]
-    hits = F.size(F.filter(toks, lambda x: x.isin(words)))
+    hits = F.regexp_count(t, F.lit(whole_words_re(words)))
     runs = F.regexp_count(t, F.lit(SYMBOL_RUN_RE))
-    caps = F.regexp_count(t, F.lit(r"\p{Lu}")) / F.greatest(F.length(t), F.lit(1))
+    upper = F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))
+    caps = upper / F.greatest(F.length(t), F.lit(1))
     raw = F.lit(0.3) * (hits + runs) + F.lit(0.5) * caps + F.lit(0.2) * count_char(t, "!")
     return F.least(raw.cast("double"), F.lit(2.0))
 
@@ -173,8 +182,8 @@ def currencies(text) -> Column:
 
 def movements(text) -> Column:
     """up/down verbs as whole words, any case, original spelling kept."""
-    toks = word_tokens(F.coalesce(_col(text), F.lit("")))
-    return F.filter(toks, lambda x: F.lower(x).isin(K.MOVEMENT_WORDS))
+    return F.regexp_extract_all(F.coalesce(_col(text), F.lit("")),
+                                F.lit(whole_words_re(K.MOVEMENT_WORDS)), F.lit(0))
 
 
 def money_mentions(text, limit: int = 5) -> Column:
@@ -250,9 +259,9 @@ def default_stop_words(language: str) -> tuple:
 
 
 def _candidate_tokens(cleaned, stop_words) -> Column:
-    toks = F.split(F.lower(_col(cleaned)), " ")
-    return F.filter(toks, lambda w: (F.length(w) > 3) & w.rlike(r"^\p{L}+$")
-                    & ~w.isin(list(stop_words)))
+    """Space-separated tokens of 4+ letters (one regex pass), minus stop words."""
+    toks = F.regexp_extract_all(F.lower(_col(cleaned)), F.lit(r"(?<![^ ])\p{L}{4,}(?![^ ])"), F.lit(0))
+    return F.filter(toks, lambda w: ~w.isin(list(stop_words)))
 
 
 def top_keywords(cleaned, lang, k: int = 10, stop_words=None) -> Column:
