@@ -242,6 +242,7 @@ def composite(vol, sent, kw, eng, flagged) -> Column:
 
 def anomaly_record(df: DataFrame) -> DataFrame:
     """Nest components and context (text cut to 200 characters)."""
+    src = "text" if "text" in df.columns else "snippet"
     return df.withColumn("anomaly", F.struct(
         F.col("ts").alias("timestamp"), F.col("tweet_id"),
         F.col("scored.composite_score").alias("composite_score"),
@@ -251,7 +252,7 @@ def anomaly_record(df: DataFrame) -> DataFrame:
                  F.col("sentiment_anomaly").alias("sentiment"),
                  F.col("keyword_anomaly").alias("keyword"),
                  F.col("engagement_anomaly").alias("engagement")).alias("components"),
-        F.struct(tx.truncate("text", 200).alias("original_tweet"),
+        F.struct(tx.truncate(src, 200).alias("original_tweet"),
                  F.col("sentiment").alias("tweet_sentiment"),
                  F.col("kw").alias("tweet_keywords"),
                  F.struct(*[F.col(f"b_{m}_{s}") for m in METRICS for s in ("mean", "std")])

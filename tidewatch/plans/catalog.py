@@ -581,3 +581,25 @@ def u02_three_methods(spark, sf):
                      "trade": F.col("sentiment.methods.trade")}, K.THREE_METHOD_WEIGHTS)
     return a.select("tweet_id", r6(e["score"]).alias("score"), e["label"].alias("label"),
                     r6(e["agreement_score"]).alias("agreement"), r6(e["confidence"]).alias("confidence"))
+
+
+@query("c13_anomaly_records")
+def c13_anomaly_records(spark, sf):
+    """C13 + A6 + A7: nested anomaly records of alerted posts, keyed for the
+    anomaly index and turned into (key, JSON value) messages."""
+    from tidewatch.sources.envelope import to_messages
+    from tidewatch.sources.sinks import anomaly_key
+    s = an.anomaly_record(al.alert_required(_scored(spark, sf)))
+    rec = anomaly_key(s.select("ts", "tweet_id", "anomaly"))
+    msgs = to_messages(rec.select("anomaly_id", "tweet_id", "anomaly"), ("tweet_id",))
+    j = rec.join(msgs.select(F.col("key").alias("tweet_id"), "value"), "tweet_id")
+    a = F.col("anomaly")
+    return j.select("anomaly_id", "tweet_id", a["severity"].alias("severity"),
+                    r6(a["composite_score"]).alias("composite"),
+                    a["context"]["original_tweet"].alias("snippet"),
+                    big(F.size(F.filter(F.array(a["components"]["volume"]["score"],
+                                                a["components"]["sentiment"]["score"],
+                                                a["components"]["keyword"]["score"],
+                                                a["components"]["engagement"]["score"]),
+                                        lambda x: x > 0.5))).alias("strong_components"),
+                    (F.get_json_object("value", "$.anomaly.tweet_id") == F.col("tweet_id")).alias("message_ok"))

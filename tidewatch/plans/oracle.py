@@ -704,3 +704,11 @@ SELECT tweet_id, {r6('score')} AS score,
        CASE WHEN score >= 0.1 THEN 'positive' WHEN score <= -0.1 THEN 'negative' ELSE 'neutral' END AS label,
        {r6('agr')} AS agreement, {r6('wconf * agr')} AS confidence
 FROM u1"""
+
+ORACLE["c13_anomaly_records"] = all_scored() + f"""
+, txt AS (SELECT tweet_id, substring(text, 1, 200) AS snippet FROM posts)
+SELECT strftime(s.ts, '%Y-%m-%dT%H:%M:%S.%f') || '_' || s.tweet_id AS anomaly_id, s.tweet_id, s.severity,
+       {r6('s.composite')} AS composite, t.snippet,
+       CAST((s.vol_score > 0.5)::INT + (s.sent_score > 0.5)::INT + (s.kscore > 0.5)::INT + (s.eng_score > 0.5)::INT AS BIGINT) AS strong_components,
+       true AS message_ok
+FROM scored s JOIN txt t USING (tweet_id) WHERE s.alert_required"""
