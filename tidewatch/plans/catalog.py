@@ -603,3 +603,16 @@ def c13_anomaly_records(spark, sf):
                                                 a["components"]["engagement"]["score"]),
                                         lambda x: x > 0.5))).alias("strong_components"),
                     (F.get_json_object("value", "$.anomaly.tweet_id") == F.col("tweet_id")).alias("message_ok"))
+
+
+@query("t16_valence_join")
+def t16_valence_join(spark, sf):
+    """T16 join form (lexicon as a table); must equal t16_valence."""
+    lex = spark.createDataFrame(K.VALENCE_LEXICON, "term string, weight double")
+    v = st.valence_scores_join(posts(spark, sf), lex)
+    c = F.col("valence.compound")
+    empty = F.coalesce(F.length("text"), F.lit(0)) == 0
+    return v.select("tweet_id", r6(F.when(empty, 0.0).otherwise(c)).alias("compound"),
+                    r6("valence.pos").alias("pos"), r6("valence.neu").alias("neu"),
+                    r6("valence.neg").alias("neg"),
+                    F.when(empty, "neutral").otherwise(st.label_from(c, 0.05)).alias("label"))

@@ -712,3 +712,4 @@ SELECT strftime(s.ts, '%Y-%m-%dT%H:%M:%S.%f') || '_' || s.tweet_id AS anomaly_id
        CAST((s.vol_score > 0.5)::INT + (s.sent_score > 0.5)::INT + (s.kscore > 0.5)::INT + (s.eng_score > 0.5)::INT AS BIGINT) AS strong_components,
        true AS message_ok
 FROM scored s JOIN txt t USING (tweet_id) WHERE s.alert_required"""
+ORACLE["t16_valence_join"] = ORACLE["t16_valence"]
