@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions import text as tx
-from tidewatch.operators.lookups import map_lookup
+from tidewatch.operators.lookups import map_lookup, small_side
 
 MICROS = 1_000_000
 EPOCH_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
@@ -208,7 +208,9 @@ def with_detectors(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WIN
                    cap: int = K.SHORT_CAP, chunk_s: int = 3600) -> DataFrame:
     """C3-C7, C10 on metric rows: frames, baselines, three detectors."""
     f = with_frames(df, keys, window_s=window_s, cap=cap, chunk_s=chunk_s)
-    f = attach_baselines(f, keys)
+    force = small_side(baselines_in_force(bucket_baselines(df, keys), keys))
+    f = (f.withColumn("bucket", F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
+          .join(force, list(keys) + ["bucket"], "left"))
     return f.withColumns({
         "volume_anomaly": volume_anomaly(F.col("n"), F.col("vol_last3"), F.col("b_volume_mean"),
                                          F.col("b_volume_std")),

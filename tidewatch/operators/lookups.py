@@ -18,6 +18,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Materialise a derived table that is small by construction (one row
+    per key and bucket, ...), count it, and hint it for broadcast when it is
+    within ``max_rows``; beyond that it stays a shuffle-join side.  The
+    persisted copy is reused by the join, so it is computed once."""
+    from pyspark import StorageLevel
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
     """A small constant table; its size is fixed by the literal, so it is
     always safe to broadcast."""

@@ -13,6 +13,7 @@ from tidewatch.functions import sentiment as st
 from tidewatch.functions import text as tx
 from tidewatch.operators import anomaly as an
 from tidewatch.operators import keywords as kwo
+from tidewatch.operators.lookups import small_side
 
 METRIC_COLS = ["tweet_id", "post_seq", "ts", "country", "region", "priority", "scenario",
                "is_anomaly", "volume", "engagement", "sentiment", "sentiment_label", "kw",
@@ -48,7 +49,7 @@ def score_posts(m: DataFrame, keys=("country",), window_s: int = 300, cap: int =
     """Detectors, keyword burst in force, composite and severity."""
     keys = list(keys)
     det = an.with_detectors(m, keys, window_s=window_s, cap=cap, chunk_s=chunk_s)
-    force = keyword_path(m, keys)[4]
+    force = small_side(keyword_path(m, keys)[4])
     s = det.join(force, keys + ["bucket"], "left")
     s = s.withColumn("keyword_anomaly", F.struct(
         F.coalesce("keyword_score", F.lit(0.0)).alias("score"),
