@@ -38,8 +38,22 @@ NOT_WORD_BEFORE, NOT_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 def whole_words_re(words) -> str:
     """Java regex for any of ``words`` as a whole word (maximal run of word
-    characters), ASCII case-insensitive: one pass, no token array."""
-    return "(?i)" + NOT_WORD_BEFORE + "(?:" + "|".join(words) + ")" + NOT_WORD_AFTER
+    characters), ASCII case-insensitive: one pass, no token array.  A
+    lookahead on the possible first letters rejects most positions before
+    the look-behind and the alternation are tried."""
+    first = "".join(sorted({w[0].lower() for w in words} | {w[0].upper() for w in words}))
+    return ("(?i)(?=[" + first + "])" + NOT_WORD_BEFORE + "(?:" + "|".join(words) + ")"
+            + NOT_WORD_AFTER)
+
+
+def _gate(t: Column, needles, expr: Column, empty: Column) -> Column:
+    """Run the (costly) regex ``expr`` only on texts containing one of the
+    literal ``needles``; others get ``empty`` (same result, cheaper)."""
+    cond = None
+    for n in needles:
+        c = F.contains(t, F.lit(n))
+        cond = c if cond is None else cond | c
+    return F.when(cond, expr).otherwise(empty)
 
 
 def _col(c) -> Column:
@@ -155,8 +169,8 @@ def urgency_score(text) -> Column:
     t = F.coalesce(_col(text), F.lit(""))
     words = [w for g in K.URGENCY_WORD_GROUPS for w in g]
     hits = F.regexp_count(t, F.lit(whole_words_re(words)))
-    runs = F.regexp_count(t, F.lit(SYMBOL_RUN_RE))
-    upper = F.length(t) - F.length(F.regexp_replace(t, r"\p{Lu}+", ""))
+    runs = _gate(t, K.URGENCY_SYMBOLS, F.regexp_count(t, F.lit(SYMBOL_RUN_RE)), F.lit(0))
+    upper = F.length(F.regexp_replace(t, r"[^\p{Lu}]+", ""))
     caps = upper / F.greatest(F.length(t), F.lit(1))
     raw = F.lit(0.3) * (hits + runs) + F.lit(0.5) * caps + F.lit(0.2) * count_char(t, "!")
     return F.least(raw.cast("double"), F.lit(2.0))
@@ -166,7 +180,9 @@ def urgency_score(text) -> Column:
 
 def percentages(text) -> Column:
     """Every 'n%' number, as double."""
-    raw = F.regexp_extract_all(F.coalesce(_col(text), F.lit("")), F.lit(PERCENT_RE), F.lit(1))
+    t = F.coalesce(_col(text), F.lit(""))
+    raw = _gate(t, ["%"], F.regexp_extract_all(t, F.lit(PERCENT_RE), F.lit(1)),
+                F.array().cast("array<string>"))
     return F.transform(raw, lambda x: x.cast("double"))
 
 
@@ -188,7 +204,9 @@ def movements(text) -> Column:
 
 def money_mentions(text, limit: int = 5) -> Column:
     """Full money strings, first ``limit``."""
-    allm = F.regexp_extract_all(F.coalesce(_col(text), F.lit("")), F.lit(MONEY_RE), F.lit(0))
+    t = F.coalesce(_col(text), F.lit(""))
+    allm = _gate(t, ["$"], F.regexp_extract_all(t, F.lit(MONEY_RE), F.lit(0)),
+                 F.array().cast("array<string>"))
     return F.slice(allm, 1, limit)
 
 
