@@ -47,3 +47,15 @@ def test_detector_restart_equals_single_run(spark, tmp_path):
     assert len(a) == len(pdf)
     pd.testing.assert_frame_equal(a.reset_index(drop=True), b.reset_index(drop=True))
     assert (a["n"] >= 10).any() and a["alert_required"].any()
+
+
+def test_progress_counters(spark, tmp_path):
+    """Per-batch input rows from the query progress."""
+    pdf = fixture(60)
+    src = str(tmp_path / "src")
+    spark.createDataFrame(pdf).write.parquet(src)
+    s = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    q = sm.run_available(s.select("tweet_id"), str(tmp_path / "o"), str(tmp_path / "c"))
+    pc = sm.ProgressCounters()
+    pc.record(q)
+    assert sum(b["input_rows"] for b in pc.batches) == 60

@@ -616,3 +616,18 @@ def t16_valence_join(spark, sf):
                     r6("valence.pos").alias("pos"), r6("valence.neu").alias("neu"),
                     r6("valence.neg").alias("neg"),
                     F.when(empty, "neutral").otherwise(st.label_from(c, 0.05)).alias("label"))
+
+
+@query("a08_alert_archive")
+def a08_alert_archive(spark, sf):
+    """Alerts archived by month with alert_id as the document id; the
+    upsert runs twice to show it is idempotent (last write wins per id)."""
+    from tidewatch.sources.sinks import upsert_monthly
+    a = _alerts(spark, sf).select("alert_id", "timestamp", "severity", "score")
+    path = sm.scratch_path(spark, "alerts_by_month", _os.path.basename(sf.rstrip("/")),
+                           _uuid.uuid4().hex[:8])
+    upsert_monthly(spark, a, path, "alert_id", "timestamp")
+    upsert_monthly(spark, a, path, "alert_id", "timestamp")
+    back = spark.read.parquet(path)
+    return back.groupBy("month", "severity").agg(big(F.count(F.lit(1))).alias("n"),
+                                                 r6(F.max("score")).alias("max_score"))

@@ -713,3 +713,7 @@ SELECT strftime(s.ts, '%Y-%m-%dT%H:%M:%S.%f') || '_' || s.tweet_id AS anomaly_id
        true AS message_ok
 FROM scored s JOIN txt t USING (tweet_id) WHERE s.alert_required"""
 ORACLE["t16_valence_join"] = ORACLE["t16_valence"]
+
+ORACLE["a08_alert_archive"] = all_scored() + "," + ALERTS_CTE + f"""
+SELECT strftime(ts, '%Y-%m') AS month, severity, CAST(count(*) AS BIGINT) AS n, {r6('max(score)')} AS max_score
+FROM alerts GROUP BY 1, 2"""
