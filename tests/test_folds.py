@@ -105,3 +105,24 @@ def test_stream_gate_equals_batch(spark, tmp_path):
     want = {r["alert_id"]: (r["should_send"], r["filters"])
             for r in al.gate(spark.createDataFrame(pdf)).collect()}
     assert got == want
+
+
+def test_native_chunked_fold_equals_python(spark):
+    """bucket_end_counts over chunks with a halo == the unchunked fold."""
+    t0 = datetime(2024, 1, 1)
+    occ, g = [], 1
+    while g <= 9000:
+        occ.append((g, 2.0 if g % 97 == 0 else 1.0))
+        g += 1 + (g * 7919) % 60           # gaps 1..60: resets and long runs
+    rows = [("X", gg, t0 + timedelta(minutes=gg), "w", m) for gg, m in occ]
+    df = spark.createDataFrame(rows, "country string, g long, ts timestamp_ntz, keyword string, m double")
+    got = {(r["bucket"], r["g_last"]): r["c_last"]
+           for r in kwo.bucket_end_counts(df, chunk=3000, halo=1000).collect()}
+    vals = python_decay(occ)
+    want = {}
+    for (gg, _), v in zip(occ, vals):
+        day = (t0 + timedelta(minutes=gg)).replace(hour=0, minute=0)
+        want[day] = (gg, v)
+    assert {(d, gl): c for d, (gl, c) in want.items()}.keys() == got.keys()
+    for (d, gl), c in got.items():
+        assert abs(c - want[d][1]) < 1e-9

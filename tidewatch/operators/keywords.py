@@ -7,11 +7,13 @@ number of key posts between them (``g``, the per-key post index):
 
     c_j = (c_{j-1} * 0.95^(g_j - g_{j-1}), or 0 if that is < 0.1) + m_j
 
-The fold is sequential, so it runs as ``applyInPandas`` over bounded groups:
-(key, keyword, index chunk), each chunk also fed the occurrences of the
-``HALO_POSTS`` preceding posts.  A counter value is at most 20x the largest
-per-post count, so anything older than the halo contributes less than
-0.95^1000 (1e-22) of it: below double precision for any live counter.
+The fold is sequential, so it runs over bounded groups: (key, keyword, index
+chunk), each chunk also fed the occurrences of the ``HALO_POSTS`` preceding
+posts.  A counter value is at most 20x the largest per-post count, so
+anything older than the halo contributes less than 0.95^1000 (1e-22) of it:
+below double precision for any live counter.  ``bucket_end_counts`` folds
+with Spark's native ``aggregate`` (used by the plans); ``decayed_counts``
+gives every occurrence's value with ``applyInPandas`` (API and test oracle).
 """
 from __future__ import annotations
 
@@ -83,20 +85,19 @@ def decayed_counts(occ: DataFrame, keys=("country",), decay: float = K.KEYWORD_D
                .applyInPandas(_fold_group(decay, floor), schema))
 
 
-def live_counts_at_bucket_end(values: DataFrame, posts_g: DataFrame, keys=("country",),
+def live_counts_at_bucket_end(last: DataFrame, posts_g: DataFrame, keys=("country",),
                               bucket: str = "day", decay: float = K.KEYWORD_DECAY,
                               floor: float = K.KEYWORD_FLOOR) -> DataFrame:
     """Counter values at the end of every bucket of a key.
 
-    ``values`` are C8 rows; ``posts_g`` the posts with ``g``.  A keyword's
-    last value is carried over buckets on the (key, keyword, bucket) grid,
-    whose size is bounded by the keyword dictionaries times the buckets.
+    ``last`` are ``bucket_end_counts`` rows; ``posts_g`` the posts with
+    ``g``.  A keyword's last value is carried over buckets on the (key,
+    keyword, bucket) grid, whose size is bounded by the keyword dictionaries
+    times the buckets.
     """
     keys = list(keys)
     bk = lambda c: F.date_trunc(bucket, F.col(c)).cast("timestamp_ntz")
     ends = posts_g.groupBy(*keys, bk("ts").alias("bucket")).agg(F.max("g").alias("g_end"))
-    last = (values.groupBy(*keys, "keyword", bk("ts").alias("bucket"))
-                  .agg(F.max("g").alias("g_last"), F.max_by("value", "g").alias("c_last")))
     grid = (last.select(*keys, "keyword").distinct().join(ends, keys)
                 .join(last, keys + ["keyword", "bucket"], "left"))
     w = Window.partitionBy(*keys, "keyword").orderBy("bucket").rowsBetween(
@@ -144,3 +145,53 @@ def keyword_scores_in_force(bursts: DataFrame, keys=("country",)) -> DataFrame:
                          .alias("keyword_score"),
                          F.coalesce(F.lag("reported").over(w), F.array().cast("array<string>"))
                          .alias("keyword_reported"))
+
+
+FOLD_STATE = ("struct<c:double,last_g:bigint,cur_b:timestamp_ntz,cur_h:boolean,"
+              "out:array<struct<bucket:timestamp_ntz,g_last:bigint,c_last:double>>>")
+
+
+def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str = "day",
+                      decay: float = K.KEYWORD_DECAY, floor: float = K.KEYWORD_FLOOR,
+                      chunk: int = CHUNK_POSTS, halo: int = HALO_POSTS) -> DataFrame:
+    """C8, JVM-side: the counter value after the last occurrence of each
+    (keys, keyword, bucket): (keys, keyword, bucket, g_last, c_last).
+
+    One native ``aggregate`` per bounded group (key, keyword, index chunk +
+    halo) over its occurrences sorted by g.  The state is a declared struct
+    (value, last index, current bucket, halo flag, outputs); a bucket's last
+    value is appended when the bucket changes, so the output array grows
+    once per bucket, not per occurrence.  Halo rows feed the value but never
+    emit."""
+    keys = list(keys)
+    b = occ.withColumn("bucket", F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"))
+    base = b.withColumns({"_gchunk": F.floor((F.col("g") - 1) / chunk), "_halo": F.lit(False)})
+    extra = (b.filter(F.pmod(F.col("g") - 1, F.lit(chunk)) >= chunk - halo)
+              .withColumns({"_gchunk": F.floor((F.col("g") - 1) / chunk) + 1, "_halo": F.lit(True)}))
+    grouped = base.unionByName(extra).groupBy(*keys, "keyword", "_gchunk").agg(
+        F.array_sort(F.collect_list(F.struct("g", "m", "bucket", "_halo"))).alias("_occ"))
+    init = F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("bigint").alias("last_g"),
+                    F.lit(None).cast("timestamp_ntz").alias("cur_b"), F.lit(True).alias("cur_h"),
+                    F.array().alias("out")).cast(FOLD_STATE)
+
+    def emit(acc):
+        return F.concat(acc["out"], F.array(F.struct(acc["cur_b"].alias("bucket"),
+                                                     acc["last_g"].alias("g_last"),
+                                                     acc["c"].alias("c_last"))))
+
+    def step(acc, x):
+        dec = F.when(acc["last_g"].isNull(), F.lit(0.0)).otherwise(
+            acc["c"] * F.pow(F.lit(decay), (x["g"] - acc["last_g"]).cast("double")))
+        kept = F.when(dec < floor, F.lit(0.0)).otherwise(dec)
+        flush = acc["cur_b"].isNotNull() & (acc["cur_b"] != x["bucket"]) & ~acc["cur_h"]
+        return F.struct((kept + x["m"]).alias("c"), x["g"].alias("last_g"),
+                        x["bucket"].alias("cur_b"), x["_halo"].alias("cur_h"),
+                        F.when(flush, emit(acc)).otherwise(acc["out"]).alias("out")).cast(FOLD_STATE)
+
+    def finish(acc):
+        return F.when(acc["cur_b"].isNotNull() & ~acc["cur_h"], emit(acc)).otherwise(acc["out"])
+
+    res = grouped.select(*keys, "keyword", F.explode(F.aggregate("_occ", init, step, finish)).alias("o"))
+    # a bucket crossing a chunk boundary is emitted by both chunks: keep the later
+    return (res.groupBy(*keys, "keyword", F.col("o.bucket").alias("bucket"))
+               .agg(F.max("o.g_last").alias("g_last"), F.max_by("o.c_last", "o.g_last").alias("c_last")))

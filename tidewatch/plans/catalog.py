@@ -257,9 +257,11 @@ def c08_keyword_decay(spark, sf):
     m = _metrics(spark, sf)
     mg, vals, *_ = sc.keyword_path(m)
     last_g = mg.groupBy("country").agg(F.max("g").alias("g_end"))
+    n_occ = kwo.keyword_occurrences(mg).groupBy("country", "keyword").agg(
+        F.count(F.lit(1)).alias("n_occ"))
     per = vals.groupBy("country", "keyword").agg(
-        F.count(F.lit(1)).alias("n_occ"), F.max("g").alias("g_last"),
-        F.max_by("value", "g").alias("c_last"))
+        F.max("g_last").alias("g_last"), F.max_by("c_last", "g_last").alias("c_last")).join(
+        n_occ, ["country", "keyword"])
     v = F.col("c_last") * F.pow(F.lit(K.KEYWORD_DECAY), (F.col("g_end") - F.col("g_last")).cast("double"))
     return per.join(last_g, "country").select(
         "country", "keyword", big("n_occ").alias("n_occ"),

@@ -31,11 +31,12 @@ def metric_rows(posts: DataFrame, persist: bool = True) -> DataFrame:
 
 
 def keyword_path(m: DataFrame, keys=("country",)):
-    """C8 + C9: (values per occurrence, live counters per bucket end,
-    bursts per bucket, keyword score in force per bucket)."""
+    """C8 + C9: (posts with index, counter value at each bucket's last
+    occurrence, live counters per bucket end, bursts per bucket, keyword
+    score in force per bucket)."""
     keys = list(keys)
     mg = kwo.with_key_index(m, keys)
-    vals = kwo.decayed_counts(kwo.keyword_occurrences(mg, keys), keys)
+    vals = kwo.bucket_end_counts(kwo.keyword_occurrences(mg, keys), keys)
     live = kwo.live_counts_at_bucket_end(vals, mg, keys)
     bursts = kwo.keyword_bursts(live, keys)
     ends = mg.groupBy(*keys, F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("bucket")) \
