@@ -205,9 +205,9 @@ def movements(text) -> Column:
 def money_mentions(text, limit: int = 5) -> Column:
     """Full money strings, first ``limit``."""
     t = F.coalesce(_col(text), F.lit(""))
-    allm = _gate(t, ["$"], F.regexp_extract_all(t, F.lit(MONEY_RE), F.lit(0)),
+    found = _gate(t, ["$"], F.regexp_extract_all(t, F.lit(MONEY_RE), F.lit(0)),
                  F.array().cast("array<string>"))
-    return F.slice(allm, 1, limit)
+    return F.slice(found, 1, limit)
 
 
 def financial_entities(text) -> Column:
