@@ -313,10 +313,12 @@ def valence_scores_join(df: DataFrame, lexicon: DataFrame, id_col: str = "tweet_
                             max_broadcast_rows)
     boost = dict(boosters)
     boost_map = _map(boost.items())
+    # Per-post columns are computed before the explode: a non-generator
+    # expression in the exploding select would run once per token.
     base = df.withColumn("_toks", valence_tokens(text_col))
-    caps_diff = F.exists("_toks", _all_caps) & ~F.forall("_toks", _all_caps)
+    base = base.withColumn("_cd", F.exists("_toks", _all_caps) & ~F.forall("_toks", _all_caps))
     ctx = base.select(
-        F.col(id_col).alias("_id"), caps_diff.alias("_cd"),
+        F.col(id_col).alias("_id"), "_cd",
         F.posexplode(F.transform("_toks", lambda t, i: F.struct(
             t.alias("t"), F.lower(t).alias("lt"),
             *[F.when(i - d >= 0, F.lower(F.get(F.col("_toks"), i - d))).alias(f"p{d}")
@@ -349,4 +351,4 @@ def valence_scores_join(df: DataFrame, lexicon: DataFrame, id_col: str = "tweet_
     return (j.withColumn("valence", F.struct((s / F.sqrt(s * s + K.VALENCE_ALPHA)).alias("compound"),
                                              share(pos2).alias("pos"), share(neu).alias("neu"),
                                              share(neg2).alias("neg")))
-             .drop("_toks", "_id", "_total", "_pos_sum", "_neg_sum", "_nnz"))
+             .drop("_toks", "_cd", "_id", "_total", "_pos_sum", "_neg_sum", "_nnz"))
