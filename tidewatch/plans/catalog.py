@@ -156,7 +156,7 @@ def t16_valence(spark, sf):
         v["label"].alias("label"))
 
 
-def _trade(df: DataFrame) -> Column:
+def _trade(df: DataFrame) -> Column:  # noqa: ARG001  (text columns of df)
     return st.trade_sentiment("text", tx.urgency_score("text"), tx.percentages("text"),
                               tx.movements("text"))
 
