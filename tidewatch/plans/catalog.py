@@ -396,15 +396,24 @@ from tidewatch.plans import reports as rp  # noqa: E402
 from tidewatch.operators.lookups import regions_table, with_region  # noqa: E402
 
 
+def _sentiment_rows(spark, sf):
+    """Posts with their ensemble label and score only (no metrics, nothing
+    persisted): what the sentiment reports need."""
+    a = st.with_text_analysis(posts(spark, sf))
+    return a.select("tweet_id", "post_seq", "ts", "country",
+                    F.col("sentiment.label").alias("sentiment_label"),
+                    F.col("sentiment.score").alias("sentiment"))
+
+
 @query("e01_sentiment_distribution")
 def e01_sentiment_distribution(spark, sf):
-    d = rp.sentiment_distribution(_metrics(spark, sf))
+    d = rp.sentiment_distribution(_sentiment_rows(spark, sf))
     return d.select(F.col("sentiment_label").alias("label"), big("n").alias("n"), r6("share").alias("share"))
 
 
 @query("e02_geographic")
 def e02_geographic(spark, sf):
-    g = rp.geographic(_metrics(spark, sf))
+    g = rp.geographic(_sentiment_rows(spark, sf))
     return g.select("country", big("n").alias("n"), r6("mean_score").alias("mean_score"))
 
 
@@ -417,7 +426,7 @@ def e03_top_companies(spark, sf):
 
 @query("e04_time_histogram")
 def e04_time_histogram(spark, sf):
-    h = rp.time_histogram(_metrics(spark, sf), "1 hour")
+    h = rp.time_histogram(_sentiment_rows(spark, sf), "1 hour")
     return h.select("bucket", big("n").alias("n"), r6("mean_score").alias("mean_score"))
 
 
