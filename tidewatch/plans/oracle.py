@@ -532,7 +532,7 @@ al0 AS (
                      lambda x: x IS NOT NULL) AS factors
   FROM scored sc JOIN sent USING (tweet_id) WHERE alert_required),
 alerts AS (
-  SELECT concat('alert_', strftime(ts, '%Y%m%d_%H%M%S'), '_', tweet_id) AS alert_id, ts, severity,
+  SELECT concat('alert_', strftime(ts, '%Y%m%d_%H%M%S'), '_', tweet_id) AS alert_id, tweet_id, ts, severity,
          composite AS score,
          concat(upper(severity), ' anomaly detected (score: ', {jfmt2('composite')}, ') driven by ',
                 CASE WHEN len(factors) > 0 THEN array_to_string(factors, ', ') ELSE 'multiple factors' END,
@@ -717,3 +717,57 @@ ORACLE["t16_valence_join"] = ORACLE["t16_valence"]
 ORACLE["a08_alert_archive"] = all_scored() + "," + ALERTS_CTE + f"""
 SELECT strftime(ts, '%Y-%m') AS month, severity, CAST(count(*) AS BIGINT) AS n, {r6('max(score)')} AS max_score
 FROM alerts GROUP BY 1, 2"""
+
+
+# ---- D6-D12: the gate as a recursive CTE (one alert per route per step) ---------------
+
+GATE_CTE = f"""
+gsrc AS (
+  SELECT a.alert_id, p.region AS route, a.ts, {q(K.ALERT_TYPE)} AS type, a.severity,
+         list_distinct(list_filter(string_split_regex(lower(a.description || printf('%.4f', round(a.score, 4))), '\\s+'),
+                                   lambda x: x <> '')) AS toks,
+         row_number() OVER (PARTITION BY p.region ORDER BY a.ts, a.alert_id) AS rn
+  FROM alerts a JOIN posts p USING (tweet_id)),
+gstep AS (
+  SELECT route, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS alert_id,
+         CAST([] AS STRUCT(k VARCHAR, t TIMESTAMP)[]) AS last, CAST(NULL AS TIMESTAMP) AS hr,
+         CAST(0 AS BIGINT) AS cnt, CAST([] AS VARCHAR[][]) AS recent,
+         CAST(NULL AS BOOLEAN) AS should_send, CAST(NULL AS VARCHAR) AS filters
+  FROM (SELECT DISTINCT route FROM gsrc)
+  UNION ALL
+  SELECT g.route, g.rn, g.alert_id,
+         CASE WHEN d.send THEN list_append(list_filter(s.last, lambda x: x.k <> d.key), {{'k': d.key, 't': g.ts}}) ELSE s.last END,
+         CASE WHEN d.send THEN d.h ELSE s.hr END,
+         CASE WHEN d.send THEN d.c + 1 ELSE s.cnt END,
+         CASE WHEN d.send THEN list_append(s.recent, g.toks)[-{K.RECENT_SENT_CONSULTED}:] ELSE s.recent END,
+         d.send,
+         CASE WHEN d.ovr THEN 'override'
+              ELSE concat_ws('|', CASE WHEN d.cool THEN 'cooldown' END, CASE WHEN d.rate THEN 'rate_limit' END,
+                             CASE WHEN d.dup THEN 'duplicate' END) END
+  FROM gstep s JOIN gsrc g ON g.route = s.route AND g.rn = s.rn + 1,
+  LATERAL (
+    SELECT *, (NOT cool AND NOT rate AND NOT dup) OR ovr AS send FROM (
+      SELECT key, h, c,
+             lst IS NOT NULL AND g.ts - lst < INTERVAL {K.COOLDOWN_MINUTES} MINUTES AS cool,
+             c >= {K.MAX_ALERTS_PER_HOUR} AND g.severity <> 'critical' AS rate,
+             coalesce(list_bool_or(list_transform(s.recent, lambda r:
+                 CASE WHEN len(r) = 0 OR len(g.toks) = 0 THEN false
+                      ELSE len(list_intersect(g.toks, r)) / len(list_distinct(list_concat(g.toks, r))) > {K.SIMILARITY_CUT} END)), false) AS dup,
+             g.severity = 'critical' AND lst IS NOT NULL AND g.ts - lst < INTERVAL {K.COOLDOWN_MINUTES} MINUTES
+               AND g.ts - lst > INTERVAL {K.CRITICAL_OVERRIDE_MINUTES} MINUTES AS ovr
+      FROM (SELECT g.type || '_' || g.severity AS key, date_trunc('hour', g.ts) AS h,
+                   (list_filter(s.last, lambda x: x.k = g.type || '_' || g.severity))[1].t AS lst,
+                   CASE WHEN s.hr = date_trunc('hour', g.ts) THEN s.cnt ELSE 0 END AS c))) d
+)"""
+_gate_sql = all_scored() + "," + ALERTS_CTE + "," + GATE_CTE
+ORACLE["d06_gate"] = "WITH RECURSIVE " + _gate_sql[len("WITH "):] + """
+SELECT alert_id, route, should_send, filters FROM gstep WHERE rn > 0"""
+
+_colours = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in K.SEVERITY_COLOURS.items())
+ORACLE["d13_outbox"] = "WITH RECURSIVE " + _gate_sql[len("WITH "):] + f"""
+, gate_sent AS (SELECT a.alert_id, a.ts, a.severity FROM gstep s JOIN alerts a USING (alert_id) WHERE s.rn > 0 AND s.should_send)
+SELECT alert_id, channel, epoch_us(ts) // 1000 AS time_ms, epoch_us(ts) // 1000 + 300000 AS time_end_ms,
+       CASE WHEN channel = 'annotation' THEN 'Alert: ' || upper(severity)
+            ELSE 'Trade Sentiment Alert: ' || upper(severity) END AS title,
+       CASE WHEN channel = 'email' THEN (CASE severity {_colours} ELSE {q(K.DEFAULT_COLOUR)} END) END AS colour
+FROM gate_sent, (VALUES ('annotation'), ('email')) ch(channel)"""
