@@ -119,9 +119,11 @@ def judge(measured: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataF
     The bounds are one row per (lang, source); they are joined null-safely,
     so rows with a null lang or source form groups of their own.  A group with
     fewer than ``min_group`` rows takes its language's bounds, a language with
-    fewer the bounds of all rows.
+    fewer the bounds of all rows.  The bounds are checkpointed: the measures
+    are computed once for them and once for the verdicts (once in all if
+    ``measured`` is itself a checkpoint).
     """
-    bounds = fit_bounds(measured, rules)
+    bounds = fit_bounds(measured, rules).checkpoint()
     groups = bounds.where("level = 0").select(F.col("lang").alias("_l"), F.col("source").alias("_s"), F.col("n").alias("_n0"), F.col("q").alias("_q0"))
     langs = bounds.where("level = 1").select(F.col("lang").alias("_l1"), F.col("n").alias("_n1"), F.col("q").alias("_q1"))
     whole = bounds.where("level = 2").select(F.col("q").alias("_q2"))
@@ -149,6 +151,6 @@ def quality_filter(docs: DataFrame, rules=RULES) -> DataFrame:
 
 def quality_report(docs: DataFrame) -> DataFrame:
     """Per document: its counts, base_failed, kept, the rules it broke."""
-    d = judge(with_measures(docs.select("doc_id", "text", "lang", "source")))
+    d = judge(with_measures(docs.select("doc_id", "text", "lang", "source")).drop("text").checkpoint())
     return d.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                     "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
