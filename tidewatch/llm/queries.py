@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import pii, quality, secrets
+from tidewatch.llm import packing, pii, quality, secrets, simhash, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,13 +15,25 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op3_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark, sf_dir):
     return pii.pii_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash_near_dedup(spark, sf_dir):
+    return simhash.simhash_report(_table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark, sf_dir):
+    return winnow.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_rules(spark, sf_dir):
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_pii, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_packing, op4_pii, op7_simhash_near_dedup, op9_decontamination, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
