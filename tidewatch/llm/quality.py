@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.text import SPACE_CLASS, let, space_words
+from tidewatch.llm.sizes import broadcast_if_small
+from tidewatch.llm.text import let, space_words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -57,9 +58,11 @@ def repeated_words(words: Column, width: int = 3) -> Column:
         return F.transform(F.sequence(F.lit(0), F.size(w) - width),
                            lambda i: F.xxhash64(*[w[i + j] for j in range(width)]))
 
-    return F.when(F.size(words) <= width, F.lit(0)).otherwise(
-        let(hashes(words), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
-    ).cast("bigint")
+    def count(w):
+        return F.when(F.size(w) <= width, F.lit(0)).otherwise(
+            let(hashes(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h))))
+
+    return let(words, count).cast("bigint")
 
 
 def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -131,10 +134,13 @@ def judge(measured: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataF
     table = (groups.join(langs, F.col("_l").eqNullSafe(F.col("_l1")), "left").join(whole, F.lit(True), "left")
              .select("_l", "_s", F.when(F.col("_n0") >= min_group, F.col("_q0"))
                      .when(F.col("_n1") >= min_group, F.col("_q1")).otherwise(F.col("_q2")).alias("_q")))
+    table = broadcast_if_small(table.checkpoint(), 200 + 50 * len(rules))
     joined = measured.join(table, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
     return (joined.withColumn("base_failed", base_failed).withColumn("failed_rules", _fails(F.col("_q"), rules))
-            .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_l", "_s", "_q"))
+            # One expression over both sides of the join, so the filter on it stays
+            # above the join and the measures are not computed a second time below it.
+            .withColumn("kept", F.when(F.size("failed_rules") > 0, False).otherwise(~F.col("base_failed"))).drop("_l", "_s", "_q"))
 
 
 def quality_filter(docs: DataFrame, rules=RULES) -> DataFrame:
