@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import packing, pii, quality, secrets, simhash, winnow
+from tidewatch.llm import chat, licenses, packing, passages, pii, quality, secrets, simhash, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_secret_scan(spark, sf_dir):
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir):
+    return passages.passage_report(_table(spark, sf_dir, "documents"))
+
+
 def op3_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -23,6 +27,14 @@ def op4_pii(spark, sf_dir):
     return pii.pii_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark, sf_dir):
+    return licenses.license_report(_table(spark, sf_dir, "documents"), spark)
+
+
+def op6_chat_format(spark, sf_dir):
+    return chat.chat_report(_table(spark, sf_dir, "conversations"))
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
@@ -35,5 +47,7 @@ def op10_quality_rules(spark, sf_dir):
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op3_packing, op4_pii, op7_simhash_near_dedup, op9_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op1_secret_scan, op2_substring_dedup, op3_packing, op4_pii, op5_license_scan, op6_chat_format,
+    op7_simhash_near_dedup, op9_decontamination, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
