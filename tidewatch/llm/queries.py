@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import chat, licenses, packing, passages, pii, quality, secrets, simhash, winnow
+from tidewatch.llm import chat, katz, licenses, packing, passages, pii, quality, secrets, simhash, winnow
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op7_simhash_near_dedup(spark, sf_dir):
     return simhash.simhash_report(_table(spark, sf_dir, "documents"))
 
 
+def op8_katz_scores(spark, sf_dir):
+    return katz.katz_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark, sf_dir):
     return winnow.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -49,5 +53,5 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_substring_dedup, op3_packing, op4_pii, op5_license_scan, op6_chat_format,
-    op7_simhash_near_dedup, op9_decontamination, op10_quality_rules)}
+    op7_simhash_near_dedup, op8_katz_scores, op9_decontamination, op10_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
