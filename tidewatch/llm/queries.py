@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import chat, katz, licenses, packing, passages, pii, quality, secrets, simhash, winnow
+from tidewatch.llm.sql import ORACLE_SQL  # noqa: F401
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,4 +55,3 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_substring_dedup, op3_packing, op4_pii, op5_license_scan, op6_chat_format,
     op7_simhash_near_dedup, op8_katz_scores, op9_decontamination, op10_quality_rules)}
-ORACLE_SQL: dict[str, str] = {}
