@@ -23,8 +23,8 @@ def frame_rows(n=900):
 def test_frames_chunked_equal_unchunked(spark):
     df = spark.createDataFrame(frame_rows())
     cols = ["tweet_id", "n", "vol_last3", "eng_last3", "sent_last5", "sent_hist"]
-    small = an.with_frames(df, window_s=1800, cap=40, chunk_s=600).select(*cols).toPandas()
-    whole = an.with_frames(df, window_s=1800, cap=40, chunk_s=10 ** 8).select(*cols).toPandas()
+    small = an.with_frames(df, window_s=1800, cap=40, chunk=50).select(*cols).toPandas()
+    whole = an.with_frames(df, window_s=1800, cap=40, chunk=10 ** 8).select(*cols).toPandas()
     a = small.sort_values("tweet_id").reset_index(drop=True)
     b = whole.sort_values("tweet_id").reset_index(drop=True)
     assert len(a) == 900 and (a["n"] >= 10).any()

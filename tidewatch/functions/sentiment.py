@@ -12,6 +12,8 @@ lexicon is a hashed ``IN`` test, and only hit tokens do the map lookup.
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -252,43 +254,35 @@ LABEL_ALIASES = {"pos": "positive", "positive": "positive", "label_2": "positive
                  "neu": "neutral", "neutral": "neutral", "label_1": "neutral"}
 
 
-def model_scorer(load_model, max_chars: int | None = None):
-    """Wrap a caller's model as an Arrow-batched pandas UDF.
+def model_scorer(load_model):
+    """Wrap a caller's model as an Arrow-batched iterator pandas UDF.
 
-    ``load_model()`` runs once per Python worker and returns a callable that
-    maps a list of texts to a list of (label, score) pairs.  Whole texts are
-    passed unless the caller's model needs an input limit (``max_chars``);
-    labels are normalised; the score is signed (negative labels give negative
-    scores); a missing model gives the neutral default.
+    ``load_model()`` runs once per task and returns a callable that maps a
+    list of whole texts to a list of (label, score) pairs; a failure to load
+    fails the query.  ``load_model=None`` gives the neutral default.  Labels
+    are normalised; the score is signed (negative labels give negative scores).
     """
     import pandas as pd
 
     schema = T.StructType([T.StructField("label", T.StringType()),
                            T.StructField("score", T.DoubleType()),
                            T.StructField("confidence", T.DoubleType())])
-    state = {}
-
-    def score(texts):
-        if "model" not in state:
-            try:
-                state["model"] = load_model()
-            except Exception:  # no model available: neutral default
-                state["model"] = None
-        model = state["model"]
-        if model is None:
-            return pd.DataFrame({"label": ["neutral"] * len(texts),
-                                 "score": [0.0] * len(texts), "confidence": [0.0] * len(texts)})
-        preds = model([(t or "") if max_chars is None else (t or "")[:max_chars] for t in texts])
-        labels, scores, confs = [], [], []
-        for lab, conf in preds:
-            lab = LABEL_ALIASES.get(str(lab).lower(), "neutral")
-            labels.append(lab)
-            confs.append(float(conf))
-            scores.append(float(conf) if lab == "positive" else
-                          -float(conf) if lab == "negative" else 0.0)
-        return pd.DataFrame({"label": labels, "score": scores, "confidence": confs})
-
-    score.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}
+
+    def score(batches):
+        model = None if load_model is None else load_model()
+        for texts in batches:
+            if model is None:
+                yield pd.DataFrame({"label": ["neutral"] * len(texts),
+                                    "score": [0.0] * len(texts), "confidence": [0.0] * len(texts)})
+                continue
+            preds = [(LABEL_ALIASES.get(str(label).lower(), "neutral"), float(conf))
+                     for label, conf in model([t or "" for t in texts])]
+            yield pd.DataFrame({
+                "label": [label for label, _ in preds],
+                "score": [conf if label == "positive" else -conf if label == "negative" else 0.0 for label, conf in preds],
+                "confidence": [conf for _, conf in preds]})
+
+    score.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(score, schema)
 
 

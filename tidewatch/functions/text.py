@@ -12,11 +12,6 @@ or b", which is how word lists are matched here (tokens, then set test).
 """
 from __future__ import annotations
 
-import functools
-import glob
-import os
-import zipfile
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +28,8 @@ SYMBOL_RUN_RE = "[" + "".join(f"\\x{{{ord(c):X}}}" for c in K.URGENCY_SYMBOLS) +
 KEEP_CLASS_RE = r"[^\p{L}\p{N}_\s.!?,\-%$]"
 VOWEL_GROUP_RE = "[aeiouyàâäéèêëîïôöùûüÿœæ]+"
 VOWEL_GROUP_ANYCASE_RE = "[aeiouyàâäéèêëîïôöùûüÿœæAEIOUYÀÂÄÉÈÊËÎÏÔÖÙÛÜŸŒÆ]+"
+# Every character Python's str.strip removes: separators and the control spaces.
+NOT_BLANK_RE = r"[^\p{Z}\x09-\x0D\x1C-\x1F\x85]"
 NOT_WORD_BEFORE, NOT_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 
@@ -86,9 +83,9 @@ def count_char(text, ch: str) -> Column:
 # ---- B1, B2 ---------------------------------------------------------------
 
 def has_text(text) -> Column:
-    """B1: text is not null and not blank."""
-    t = _col(text)
-    return t.isNotNull() & (F.length(F.trim(t)) > 0)
+    """B1: text is not null and holds a character that is not Unicode
+    whitespace (tabs, newlines and no-break spaces alone are blank)."""
+    return F.coalesce(_col(text).rlike(NOT_BLANK_RE), F.lit(False))
 
 
 def truncate(text, n: int) -> Column:
@@ -264,18 +261,6 @@ def producer_entities(text, tagged=None, companies=K.ORGANISATIONS) -> Column:
 
 # ---- T12: keywords --------------------------------------------------------
 
-@functools.lru_cache(maxsize=None)
-def default_stop_words(language: str) -> tuple:
-    """Spark's bundled stop-word list (the one StopWordsRemover loads), read
-    straight from the mllib jar so no JVM call is needed."""
-    import pyspark
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars",
-                                 "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as z:
-        words = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt")
-    return tuple(dict.fromkeys(words.decode("utf-8").split()))
-
-
 def _candidate_tokens(cleaned, stop_words) -> Column:
     """Space-separated tokens of 4+ letters (one regex pass), minus stop words."""
     toks = F.regexp_extract_all(F.lower(_col(cleaned)), F.lit(r"(?<![^ ])\p{L}{4,}(?![^ ])"), F.lit(0))
@@ -292,8 +277,8 @@ def top_keywords(cleaned, lang, k: int = 10, stop_words=None) -> Column:
     intermediate array is bound once with ``let`` (Spark does not share
     sub-expressions inside lambdas).
     """
-    en = stop_words["en"] if stop_words else default_stop_words("english")
-    fr = stop_words["fr"] if stop_words else default_stop_words("french")
+    en = stop_words["en"] if stop_words else K.STOP_WORDS_ENGLISH
+    fr = stop_words["fr"] if stop_words else K.STOP_WORDS_FRENCH
     toks = F.when(F.coalesce(_col(lang), F.lit("en")) == "fr", _candidate_tokens(cleaned, fr)) \
             .otherwise(_candidate_tokens(cleaned, en))
 

@@ -59,65 +59,79 @@ def normalise_keywords(keywords, companies, countries) -> Column:
 
 def with_metrics(df: DataFrame, sentiment: str = "sentiment_score") -> DataFrame:
     """C1+C2 on posts: engagement, volume, sentiment (the ensemble score),
-    keyword list (producer tags: topics, companies, countries).  Reuses the
-    organisation tags of the text analysis when present."""
-    ent = tx.producer_entities("text", F.col("_orgs") if "_orgs" in df.columns else None)
+    keyword list.  The keyword list is made of the record's own ``keywords``
+    and ``entities`` where the rows carry them; a feed without them is tagged
+    the way its producer would (topics, companies, countries; the organisation
+    tags of the text analysis are reused when present)."""
+    if {"keywords", "entities"} <= set(df.columns):
+        kw = normalise_keywords(F.col("keywords"), F.col("entities.companies"), F.col("entities.countries"))
+    else:
+        ent = tx.producer_entities("text", F.col("_orgs") if "_orgs" in df.columns else None)
+        kw = normalise_keywords(tx.topic_keywords("text"), ent["companies"], ent["countries"])
     return df.withColumns({
         "engagement": engagement_score("likes", "retweets", "replies"),
         "volume": volume_score("priority", engagement_score("likes", "retweets", "replies")),
         "sentiment": F.coalesce(F.col(sentiment), F.lit(0.0)),
-        "kw": normalise_keywords(tx.topic_keywords("text"), ent["companies"], ent["countries"]),
+        "kw": kw,
     })
 
 
 # ---- C3, C18, C6, C7, C10: bounded frames -------------------------------------------
 
-def with_halo(df: DataFrame, chunk_s: int, halo_s: int) -> DataFrame:
-    """Tag rows with their time chunk, plus halo copies for every later chunk
-    whose first ``halo_s`` seconds they fall in (one copy when the halo is
-    shorter than a chunk)."""
-    us = F.col("_ts_us")
-    chunk_us, halo_us = chunk_s * MICROS, halo_s * MICROS
-    own = F.floor(us / chunk_us)
-    last = F.floor((us + halo_us) / chunk_us)
-    return (df.withColumn("_chunk", F.explode(F.sequence(own, last)))
-              .withColumn("_halo", F.col("_chunk") != own))
+def with_key_index(df: DataFrame, keys=("country",), chunk_s: int = 3600) -> DataFrame:
+    """Per-key post index ``g`` (1-based, order ts, post_seq) without a
+    key-wide sort: counts per (key, time chunk) give offsets on the small
+    chunk table, then a row number inside each chunk."""
+    keys = list(keys)
+    d = df.withColumn("_chunk", F.floor(ts_micros("ts") / (chunk_s * MICROS)))
+    counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
+    wo = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
+    w = Window.partitionBy(*keys, "_chunk").orderBy("ts", "post_seq")
+    return (d.join(offs, keys + ["_chunk"])
+             .withColumn("g", F.col("_off") + F.row_number().over(w))
+             .drop("_chunk", "_off"))
+
+
+def index_chunks(df: DataFrame, chunk: int, halo: int) -> DataFrame:
+    """Rows dealt to chunks of ``chunk`` consecutive posts of their key
+    (``_gchunk``), each chunk also getting the ``halo`` posts before it
+    (``_halo`` true).  However dense a key is, a chunk has at most chunk +
+    halo rows, and only the halo is copied."""
+    own = F.floor((F.col("g") - 1) / chunk)
+    return (df.withColumn("_gchunk", F.explode(F.sequence(own, F.floor((F.col("g") - 1 + halo) / chunk))))
+              .withColumn("_halo", F.col("_gchunk") != own))
 
 
 def with_frames(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WINDOW_S,
-                cap: int = K.SHORT_CAP, chunk_s: int = 3600) -> DataFrame:
+                cap: int = K.SHORT_CAP, chunk: int = 20_000) -> DataFrame:
     """C3 + C18: per row, the frame of the key's rows newer than ``window_s``
     seconds and at most ``cap`` rows, ordered by (ts, post_seq).
 
     Adds n (frame size), vol_last3, eng_last3, sent_last5 (C18 means) and
     sent_hist (mean of the frame without its last 5 rows, 0 when n <= 5).
-    Partitions are (keys, time chunk) with a ``window_s`` halo, so frames
-    are exact and hot keys are split.
+    A frame never has more than ``cap`` rows, so chunks by post index with a
+    halo of cap - 1 posts are exact and split any hot key; the per-row work is
+    bounded by ``cap`` however many rows the time window holds.  ``df`` may
+    carry the post index ``g`` (``with_key_index``).
     """
     keys = list(keys)
-    d = with_halo(df.withColumn("_ts_us", ts_micros("ts")), chunk_s, window_s)
-    part = keys + ["_chunk"]
-    w_rows = Window.partitionBy(*part).orderBy("_ts_us", "post_seq")
-    w_time = Window.partitionBy(*part).orderBy("_ts_us").rangeBetween(-window_s * MICROS, 0)
-    last = lambda k: w_rows.rowsBetween(-(k - 1), 0)
+    indexed = "g" in df.columns
+    d = index_chunks(df if indexed else with_key_index(df, keys), chunk, cap - 1).withColumn("_ts_us", ts_micros("ts"))
+    w = Window.partitionBy(*keys, "_gchunk").orderBy("g")
+    last = lambda k: w.rowsBetween(-(k - 1), 0)
     d = d.withColumns({
-        "_rn": F.row_number().over(w_rows),
         "vol_last3": F.avg("volume").over(last(3)),
         "eng_last3": F.avg("engagement").over(last(3)),
         "sent_last5": F.avg("sentiment").over(last(5)),
-        "_sent_cap": F.collect_list("sentiment").over(last(cap)),
-    })
-    d = d.withColumn("_lo", F.min("_rn").over(w_time))
-    n = F.least(F.col("_rn") - F.col("_lo") + 1, F.lit(cap))
-    arr = F.col("_sent_cap")
-    frame = F.slice(arr, F.size(arr) - n + 1, n)
-    sum_frame = F.aggregate(frame, F.lit(0.0), lambda a, x: a + x)
-    sum_last5 = F.col("sent_last5") * F.least(n, F.lit(5))
-    d = d.withColumns({
-        "n": n,
-        "sent_hist": F.when(n > 5, (sum_frame - sum_last5) / (n - 5)).otherwise(F.lit(0.0)),
+        "_frame": F.collect_list(F.struct(F.col("_ts_us").alias("t"), F.col("sentiment").alias("x"))).over(last(cap)),
     })
-    return d.filter(~F.col("_halo")).drop("_halo", "_chunk", "_rn", "_lo", "_sent_cap", "_ts_us")
+    since = F.col("_ts_us") - window_s * MICROS
+    d = d.withColumn("n", F.size(F.filter("_frame", lambda r: r["t"] >= since)))
+    older = F.slice("_frame", F.size("_frame") - F.col("n") + 1, F.greatest(F.col("n") - 5, F.lit(0)))
+    total = F.aggregate(older, F.lit(0.0), lambda acc, r: acc + r["x"])
+    d = d.withColumn("sent_hist", F.when(F.col("n") > 5, total / (F.col("n") - 5)).otherwise(F.lit(0.0)))
+    return d.filter(~F.col("_halo")).drop("_halo", "_gchunk", "_frame", "_ts_us", *([] if indexed else ["g"]))
 
 
 # ---- C4, C5, J4: baselines -----------------------------------------------------------
@@ -205,9 +219,9 @@ def sentiment_anomaly(n, current, hist) -> Column:
 
 
 def with_detectors(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WINDOW_S,
-                   cap: int = K.SHORT_CAP, chunk_s: int = 3600) -> DataFrame:
+                   cap: int = K.SHORT_CAP) -> DataFrame:
     """C3-C7, C10 on metric rows: frames, baselines, three detectors."""
-    f = with_frames(df, keys, window_s=window_s, cap=cap, chunk_s=chunk_s)
+    f = with_frames(df, keys, window_s=window_s, cap=cap)
     force = small_side(baselines_in_force(bucket_baselines(df, keys), keys))
     f = (f.withColumn("bucket", F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
           .join(force, list(keys) + ["bucket"], "left"))

@@ -8,39 +8,37 @@ number of key posts between them (``g``, the per-key post index):
     c_j = (c_{j-1} * 0.95^(g_j - g_{j-1}), or 0 if that is < 0.1) + m_j
 
 The fold is sequential, so it runs over bounded groups: (key, keyword, index
-chunk), each chunk also fed the occurrences of the ``HALO_POSTS`` preceding
-posts.  A counter value is at most 20x the largest per-post count, so
-anything older than the halo contributes less than 0.95^1000 (1e-22) of it:
-below double precision for any live counter.  ``bucket_end_counts`` folds
-with Spark's native ``aggregate`` (used by the plans); ``decayed_counts``
-gives every occurrence's value with ``applyInPandas`` (API and test oracle).
+chunk), each chunk also fed the occurrences of its halo, the preceding posts
+whose weight is not yet below double precision (``halo_posts``, from decay and
+floor).  ``bucket_end_counts`` folds with Spark's native ``aggregate`` (used by
+the plans); ``decayed_counts`` gives every occurrence's value with ``applyInPandas`` (API and test oracle).
 """
 from __future__ import annotations
 
+import math
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch import constants as K
-from tidewatch.operators.anomaly import MICROS, ts_micros
+from tidewatch.operators.anomaly import index_chunks, with_key_index  # noqa: F401
 
 CHUNK_POSTS = 50_000
-HALO_POSTS = 1_000
+REACH_BLOCK = 4_096
 
 
-def with_key_index(df: DataFrame, keys=("country",), chunk_s: int = 3600) -> DataFrame:
-    """Per-key post index ``g`` (1-based, order ts, post_seq) without a
-    key-wide sort: counts per (key, time chunk) give offsets on the small
-    chunk table, then a row number inside each chunk."""
-    keys = list(keys)
-    d = df.withColumn("_chunk", F.floor(ts_micros("ts") / (chunk_s * MICROS)))
-    counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
-    wo = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
-    w = Window.partitionBy(*keys, "_chunk").orderBy("ts", "post_seq")
-    return (d.join(offs, keys + ["_chunk"])
-             .withColumn("g", F.col("_off") + F.row_number().over(w))
-             .drop("_chunk", "_off"))
+def halo_posts(decay: float, floor: float) -> int:
+    """Posts after which what a counter held before is below double precision
+    of any live counter: decay^halo / (1 - decay) < 1e-17 * floor."""
+    if not 0 < decay < 1:
+        raise ValueError("decay must lie between 0 and 1")
+    return math.ceil(math.log(1e-17 * floor * (1 - decay)) / math.log(decay))
+
+
+def _chunked(occ: DataFrame, decay: float, floor: float, chunk: int) -> DataFrame:
+    halo = halo_posts(decay, floor)
+    return index_chunks(occ, max(chunk, 2 * halo), halo)
 
 
 def keyword_occurrences(df: DataFrame, keys=("country",), kw_col: str = "kw") -> DataFrame:
@@ -70,15 +68,10 @@ def _fold_group(decay: float, floor: float):
 
 
 def decayed_counts(occ: DataFrame, keys=("country",), decay: float = K.KEYWORD_DECAY,
-                   floor: float = K.KEYWORD_FLOOR, chunk: int = CHUNK_POSTS,
-                   halo: int = HALO_POSTS) -> DataFrame:
+                   floor: float = K.KEYWORD_FLOOR, chunk: int = CHUNK_POSTS) -> DataFrame:
     """Counter value right after each occurrence: (keys, keyword, g, ts, value)."""
     keys = list(keys)
-    base = occ.withColumns({"_gchunk": F.floor((F.col("g") - 1) / chunk), "_halo": F.lit(False)})
-    extra = (occ.filter(F.pmod(F.col("g") - 1, F.lit(chunk)) >= chunk - halo)
-                .withColumns({"_gchunk": F.floor((F.col("g") - 1) / chunk) + 1,
-                              "_halo": F.lit(True)}))
-    src = base.unionByName(extra)
+    src = _chunked(occ, decay, floor, chunk)
     schema = (", ".join(f"{k} string" for k in keys)
               + ", g long, ts timestamp_ntz, keyword string, value double")
     return (src.groupBy(*keys, "keyword", "_gchunk")
@@ -91,24 +84,25 @@ def live_counts_at_bucket_end(last: DataFrame, posts_g: DataFrame, keys=("countr
     """Counter values at the end of every bucket of a key.
 
     ``last`` are ``bucket_end_counts`` rows; ``posts_g`` the posts with
-    ``g``.  A keyword's last value is carried over buckets on the (key,
-    keyword, bucket) grid, whose size is bounded by the keyword dictionaries
-    times the buckets.
+    ``g``.  A value is carried only to the buckets it can reach: up to the
+    bucket of the keyword's next occurrence, and at most as many posts as it
+    takes to decay below the floor.  The bucket ends in that range are found
+    by an equality join on blocks of REACH_BLOCK posts.
     """
     keys = list(keys)
     bk = lambda c: F.date_trunc(bucket, F.col(c)).cast("timestamp_ntz")
-    ends = posts_g.groupBy(*keys, bk("ts").alias("bucket")).agg(F.max("g").alias("g_end"))
-    grid = (last.select(*keys, "keyword").distinct().join(ends, keys)
-                .join(last, keys + ["keyword", "bucket"], "left"))
-    w = Window.partitionBy(*keys, "keyword").orderBy("bucket").rowsBetween(
-        Window.unboundedPreceding, 0)
-    g = grid.withColumns({"g_last": F.last("g_last", ignorenulls=True).over(w),
-                          "c_last": F.last("c_last", ignorenulls=True).over(w)})
+    ends = (posts_g.groupBy(*keys, bk("ts").alias("bucket")).agg(F.max("g").alias("g_end"))
+            .withColumn("_blk", F.floor(F.col("g_end") / REACH_BLOCK)))
+    nxt = F.lead("bucket").over(Window.partitionBy(*keys, "keyword").orderBy("bucket"))
+    reach = F.col("g_last") + F.ceil(F.log(F.greatest(F.col("c_last"), F.lit(floor)) / floor) / -math.log(decay)) + 1
+    held = (last.withColumn("_next", nxt).withColumnRenamed("bucket", "_from")
+            .withColumn("_blk", F.explode(F.sequence(F.floor(F.col("g_last") / REACH_BLOCK), F.floor(reach / REACH_BLOCK)))))
     val = F.col("c_last") * F.pow(F.lit(decay), (F.col("g_end") - F.col("g_last")).cast("double"))
-    return (g.filter(F.col("g_last").isNotNull())
-             .withColumn("value", val)
-             .filter(F.col("value") >= floor)
-             .select(*keys, "bucket", "keyword", "value"))
+    return (held.join(ends, keys + ["_blk"])
+                .filter((F.col("bucket") >= F.col("_from")) & (F.col("_next").isNull() | (F.col("bucket") < F.col("_next"))))
+                .withColumn("value", val)
+                .filter(F.col("value") >= floor)
+                .select(*keys, "bucket", "keyword", "value"))
 
 
 def keyword_bursts(live: DataFrame, keys=("country",), z_cut: float = K.KEYWORD_Z,
@@ -123,18 +117,19 @@ def keyword_bursts(live: DataFrame, keys=("country",), z_cut: float = K.KEYWORD_
     n = F.count(F.lit(1)).over(w)
     std = F.when(n > 1, F.greatest(F.stddev_pop("value").over(w), F.lit(0.1))).otherwise(1.0)
     z = live.withColumn("z", (F.col("value") - F.avg("value").over(w)) / std)
+    z = z.withColumn("_rank", F.row_number().over(w.orderBy(F.col("z").desc(), "keyword")))
     crisis = "|".join(K.CRISIS_TERMS)
     a = z.groupBy(*keys, "bucket").agg(
         F.count(F.lit(1)).alias("n_live"),
         F.coalesce(F.max(F.when(F.col("z") > z_cut, F.col("z"))), F.lit(0.0)).alias("max_z"),
         F.coalesce(F.max(F.when(F.col("z") > z_cut, F.col("keyword").rlike(crisis))),
                    F.lit(False)).alias("crisis"),
-        F.sort_array(F.collect_list(F.when(F.col("z") > z_cut, F.struct(
+        F.sort_array(F.collect_list(F.when((F.col("z") > z_cut) & (F.col("_rank") <= report), F.struct(
             (-F.col("z")).alias("neg_z"), F.col("keyword"))))).alias("_rep"))
     score = F.least(F.when(F.col("max_z") > 0, F.least(F.col("max_z") / 5.0, F.lit(1.0)))
                      .otherwise(0.0) + F.when(F.col("crisis"), 0.3).otherwise(0.0), F.lit(1.0))
     return a.select(*keys, "bucket", "n_live", "max_z", score.alias("score"),
-                    F.transform(F.slice("_rep", 1, report), lambda x: x["keyword"]).alias("reported"))
+                    F.transform("_rep", lambda x: x["keyword"]).alias("reported"))
 
 
 def keyword_scores_in_force(bursts: DataFrame, keys=("country",)) -> DataFrame:
@@ -153,7 +148,7 @@ FOLD_STATE = ("struct<c:double,last_g:bigint,cur_b:timestamp_ntz,cur_h:boolean,"
 
 def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str = "day",
                       decay: float = K.KEYWORD_DECAY, floor: float = K.KEYWORD_FLOOR,
-                      chunk: int = CHUNK_POSTS, halo: int = HALO_POSTS) -> DataFrame:
+                      chunk: int = CHUNK_POSTS) -> DataFrame:
     """C8, JVM-side: the counter value after the last occurrence of each
     (keys, keyword, bucket): (keys, keyword, bucket, g_last, c_last).
 
@@ -165,10 +160,7 @@ def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str = "day",
     emit."""
     keys = list(keys)
     b = occ.withColumn("bucket", F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"))
-    base = b.withColumns({"_gchunk": F.floor((F.col("g") - 1) / chunk), "_halo": F.lit(False)})
-    extra = (b.filter(F.pmod(F.col("g") - 1, F.lit(chunk)) >= chunk - halo)
-              .withColumns({"_gchunk": F.floor((F.col("g") - 1) / chunk) + 1, "_halo": F.lit(True)}))
-    grouped = base.unionByName(extra).groupBy(*keys, "keyword", "_gchunk").agg(
+    grouped = _chunked(b, decay, floor, chunk).groupBy(*keys, "keyword", "_gchunk").agg(
         F.array_sort(F.collect_list(F.struct("g", "m", "bucket", "_halo"))).alias("_occ"))
     init = F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("bigint").alias("last_g"),
                     F.lit(None).cast("timestamp_ntz").alias("cur_b"), F.lit(True).alias("cur_h"),

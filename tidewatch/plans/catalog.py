@@ -194,8 +194,8 @@ def _metrics(spark, sf):
 
 # Detector parameters of the query catalogue: posts of one
 # country are minutes to hours apart in the driver tables, so the frame is
-# 2 days (cap 100) and partitions are (country, 1-day chunk) + 2-day halo.
-WINDOW_S, CAP, CHUNK_S = 2 * 86400, 100, 86400
+# 2 days (cap 100).
+WINDOW_S, CAP = 2 * 86400, 100
 
 
 @query("c01_metrics")
@@ -207,7 +207,7 @@ def c01_metrics(spark, sf):
 
 @query("c03_frames")
 def c03_frames(spark, sf):
-    f = an.with_frames(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP, chunk_s=CHUNK_S)
+    f = an.with_frames(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP)
     ok = F.col("n") >= K.MIN_SAMPLES
     return f.select("tweet_id", big("n").alias("n"),
                     *[r6(F.when(ok, F.col(c))).alias(c)
@@ -225,7 +225,7 @@ def c04_baselines(spark, sf):
 
 
 def _detected(spark, sf):
-    return an.with_detectors(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP, chunk_s=CHUNK_S)
+    return an.with_detectors(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP)
 
 
 @query("c06_volume")
@@ -280,7 +280,7 @@ def c09_keyword_burst(spark, sf):
 
 
 def _scored(spark, sf):
-    return sc.score_posts(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP, chunk_s=CHUNK_S)
+    return sc.score_posts(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP)
 
 
 @query("c11_composite")
@@ -349,7 +349,7 @@ def d04_enriched(spark, sf):
 @query("d06_gate")
 def d06_gate(spark, sf):
     g = al.gate(_alerts(spark, sf))
-    return g.select("alert_id", "route", "should_send", "filters")
+    return g.select("alert_id", "route", "should_send", joined("filters").alias("filters"), joined("reasons").alias("reasons"))
 
 
 @query("d13_outbox")
@@ -466,12 +466,9 @@ def j01_regions(spark, sf):
 
 @query("a14_month_scan")
 def a14_month_scan(spark, sf):
-    import os
-    from tidewatch.session import ensure_checkpoint_dir
+    from tidewatch.session import shared_path
     from tidewatch.sources.sinks import upsert_monthly
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base.replace("file:", ""), "tidewatch", "posts_by_month",
-                        os.path.basename(sf.rstrip("/")))
+    path = shared_path(spark, "posts_by_month", sf.rstrip("/").rsplit("/", 1)[-1])
     src = posts(spark, sf).select("tweet_id", "post_seq", "ts", "country")
     upsert_monthly(spark, src, path, "tweet_id", "ts")
     scan = rp.month_partitioned_scan(spark, path, ["2024-01"])

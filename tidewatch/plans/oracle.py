@@ -7,13 +7,23 @@ view text.  RE2 ``\\w`` is ASCII, so word characters are ``[\\p{L}\\p{N}_]``.
 from __future__ import annotations
 
 from tidewatch import constants as K
-from tidewatch.functions.text import (CURRENCY_RE, HASHTAG_RE, KEEP_CLASS_RE, MENTION_RE,
-                                      MONEY_RE, PERCENT_RE, SYMBOL_RUN_RE, URL_RE,
-                                      VOWEL_GROUP_RE, WORD, default_stop_words)
 from tidewatch.sources.tables import POSTS_SQL
 
 ORACLE: dict = {}
 
+# The patterns, written here from the definitions so that a wrong one in the
+# engine does not pass both sides.
+WORD = r"[\p{L}\p{N}_]"
+URL_RE = r"(?:http|www)\S+"
+HASHTAG_RE = r"#([\p{L}\p{N}_]+)"
+MENTION_RE = r"@([\p{L}\p{N}_]+)"
+PERCENT_RE = r"([0-9]+(?:\.[0-9]+)?)\s*%"
+CURRENCY_RE = r"\$([0-9]+(?:,[0-9]{3})*(?:\.[0-9]{2})?)\s*(billion|million|trillion)?"
+MONEY_RE = r"(?i)\$[0-9]+(?:,[0-9]{3})*(?:\.[0-9]{2})?(?:\s*(?:billion|million|trillion))?"
+SYMBOL_RUN_RE = "[🚨⚡🔥💥⛔🔴⚠️]+"
+KEEP_CLASS_RE = r"[^\p{L}\p{N}_\s.!?,\-%$]"
+VOWEL_GROUP_RE = "[aeiouyàâäéèêëîïôöùûüÿœæ]+"
+
 
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
@@ -224,7 +234,7 @@ sent AS (
 
 def keywords_cte(src: str = "posts") -> str:
     """kw(tweet_id, keywords) -- top 10 by count then first position."""
-    en, fr = default_stop_words("english"), default_stop_words("french")
+    en, fr = K.STOP_WORDS_ENGLISH, K.STOP_WORDS_FRENCH
     return f"""
 kc AS (SELECT tweet_id, coalesce(language, 'en') AS lang,
               string_split(lower({clean('text')}), ' ') AS toks FROM {src}),
@@ -580,17 +590,15 @@ SELECT event_id, CAST(hour(ts) AS BIGINT) AS hour, CAST(isodow(ts) - 1 AS BIGINT
 FROM events"""
 
 ORACLE["t25_parse_time"] = """
-WITH s AS (
-  SELECT event_id,
-         CASE event_id % 4 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
-                           WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
-                           WHEN 2 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
-                           ELSE 'not-a-time-' || CAST(event_id AS VARCHAR) END AS s
-  FROM events)
-SELECT event_id, s,
-       CASE WHEN regexp_full_match(trim(s), '-?[0-9]+') THEN make_timestamp(CAST(trim(s) AS BIGINT) * 1000)
-            ELSE TRY_CAST(regexp_replace(trim(s), 'Z$', '') AS TIMESTAMP) END AS parsed
-FROM s"""
+SELECT event_id,
+       CASE event_id % 6 WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')
+                         WHEN 1 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'
+                         WHEN 2 THEN CAST(epoch_us(ts) // 1000 AS VARCHAR)
+                         WHEN 3 THEN 'not-a-time-' || CAST(event_id AS VARCHAR)
+                         WHEN 4 THEN strftime(ts + INTERVAL 120 MINUTE, '%Y-%m-%dT%H:%M:%S.%f') || '+02:00'
+                         ELSE strftime(ts - INTERVAL 330 MINUTE, '%Y-%m-%dT%H:%M:%S.%f') || '-0530' END AS s,
+       CASE event_id % 6 WHEN 2 THEN date_trunc('millisecond', ts) WHEN 3 THEN NULL ELSE ts END AS parsed
+FROM events"""
 
 ORACLE["a04_defaults"] = with_posts() + f"""
 , g AS (
@@ -605,7 +613,7 @@ ORACLE["a04_defaults"] = with_posts() + f"""
 SELECT tweet_id, coalesce(language, 'en') AS language, coalesce(scenario, 'normal') AS scenario,
        coalesce(priority, 'normal') AS priority, coalesce(is_anomaly, false) AS is_anomaly,
        {r6(f"{D(0.3)} * coalesce(likes, 0) + {D(0.5)} * coalesce(retweets, 0) + {D(0.2)} * coalesce(replies, 0)")} AS engagement,
-       text IS NOT NULL AND length(trim(text)) > 0 AS has_text
+       coalesce(regexp_matches(text, '[^\\p{{Z}}\\x09-\\x0D\\x1C-\\x1F\\x85]'), false) AS has_text
 FROM g"""
 
 
@@ -627,7 +635,7 @@ SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS bucket, CAST(count(*) AS BIG
 ORACLE["e05_latest"] = with_posts() + """
 SELECT tweet_id, ts, country FROM posts ORDER BY ts DESC, post_seq DESC LIMIT 3"""
 ORACLE["e06_anomaly_sample"] = all_scored() + f"""
-SELECT tweet_id, {r6('composite')} AS composite, severity FROM scored ORDER BY composite DESC, tweet_id LIMIT 10"""
+SELECT tweet_id, {r6('composite')} AS composite, severity FROM scored WHERE alert_required ORDER BY composite DESC, tweet_id LIMIT 10"""
 ORACLE["e07_alert_overview"] = all_scored() + "," + ALERTS_CTE + """
 SELECT CAST(date_trunc('day', a.ts) AS TIMESTAMP) AS bucket, a.severity, CAST(count(*) AS BIGINT) AS n,
        CAST(count(*) FILTER (WHERE s.sent_label = 'negative') AS BIGINT) AS n_negative,
@@ -732,7 +740,7 @@ gstep AS (
   SELECT route, CAST(0 AS BIGINT) AS rn, CAST(NULL AS VARCHAR) AS alert_id,
          CAST([] AS STRUCT(k VARCHAR, t TIMESTAMP)[]) AS last, CAST(NULL AS TIMESTAMP) AS hr,
          CAST(0 AS BIGINT) AS cnt, CAST([] AS VARCHAR[][]) AS recent,
-         CAST(NULL AS BOOLEAN) AS should_send, CAST(NULL AS VARCHAR) AS filters
+         CAST(NULL AS BOOLEAN) AS should_send, CAST(NULL AS VARCHAR) AS filters, CAST(NULL AS VARCHAR) AS reasons
   FROM (SELECT DISTINCT route FROM gsrc)
   UNION ALL
   SELECT g.route, g.rn, g.alert_id,
@@ -741,9 +749,13 @@ gstep AS (
          CASE WHEN d.send THEN d.c + 1 ELSE s.cnt END,
          CASE WHEN d.send THEN list_append(s.recent, g.toks)[-{K.RECENT_SENT_CONSULTED}:] ELSE s.recent END,
          d.send,
-         CASE WHEN d.ovr THEN 'override'
+         CASE WHEN d.ovr THEN ''
               ELSE concat_ws('|', CASE WHEN d.cool THEN 'cooldown' END, CASE WHEN d.rate THEN 'rate_limit' END,
-                             CASE WHEN d.dup THEN 'duplicate' END) END
+                             CASE WHEN d.dup THEN 'duplicate' END) END,
+         CASE WHEN d.ovr THEN 'Critical alert overrides cooldown'
+              ELSE concat_ws('|', CASE WHEN d.cool THEN 'Cooldown active for ' || d.key END,
+                             CASE WHEN d.rate THEN 'Hourly limit reached ({K.MAX_ALERTS_PER_HOUR})' END,
+                             CASE WHEN d.dup THEN 'Similar alert recently sent' END) END
   FROM gstep s JOIN gsrc g ON g.route = s.route AND g.rn = s.rn + 1,
   LATERAL (
     SELECT *, (NOT cool AND NOT rate AND NOT dup) OR ovr AS send FROM (
@@ -761,7 +773,7 @@ gstep AS (
 )"""
 _gate_sql = all_scored() + "," + ALERTS_CTE + "," + GATE_CTE
 ORACLE["d06_gate"] = "WITH RECURSIVE " + _gate_sql[len("WITH "):] + """
-SELECT alert_id, route, should_send, filters FROM gstep WHERE rn > 0"""
+SELECT alert_id, route, should_send, filters, reasons FROM gstep WHERE rn > 0"""
 
 _colours = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in K.SEVERITY_COLOURS.items())
 ORACLE["d13_outbox"] = "WITH RECURSIVE " + _gate_sql[len("WITH "):] + f"""

@@ -6,14 +6,15 @@ top-k, then a merge of k rows per task), never a full sort.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def sentiment_distribution(df: DataFrame, label: str = "sentiment_label") -> DataFrame:
     """Posts per label and their share of all posts."""
     c = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    all_posts = c.agg(F.sum("n").alias("_all"))  # one row: the sum of one count per label
+    return c.crossJoin(F.broadcast(all_posts)).withColumn("share", F.col("n") / F.col("_all")).drop("_all")
 
 
 def geographic(df: DataFrame, key: str = "country", score: str = "sentiment") -> DataFrame:
@@ -22,8 +23,12 @@ def geographic(df: DataFrame, key: str = "country", score: str = "sentiment") ->
 
 
 def top_terms(df: DataFrame, arr_col: str, k: int = 10, name: str = "term") -> DataFrame:
-    """The k most frequent array members (ties by term)."""
-    return (df.select(F.explode(arr_col).alias(name)).groupBy(name)
+    """The k most frequent array members (ties by term).
+
+    ``explode_outer`` with a filter above it: a plain explode makes the
+    optimizer push "array is not empty" below joins, which computes the array
+    a second and third time."""
+    return (df.select(F.explode_outer(arr_col).alias(name)).where(F.col(name).isNotNull()).groupBy(name)
               .agg(F.count(F.lit(1)).alias("n"))
               .orderBy(F.col("n").desc(), F.col(name)).limit(k))
 
@@ -41,8 +46,8 @@ def latest(df: DataFrame, k: int = 3) -> DataFrame:
 
 
 def anomaly_sample(df: DataFrame, k: int = 10) -> DataFrame:
-    """K anomalies, highest score first, then id."""
-    return df.orderBy(F.col("composite_score").desc(), F.col("tweet_id")).limit(k)
+    """K anomalies (posts that require an alert), highest score first, then id."""
+    return df.filter(F.coalesce(F.col("alert_required"), F.lit(False))).orderBy(F.col("composite_score").desc(), F.col("tweet_id")).limit(k)
 
 
 def alert_overview(alerts: DataFrame, bucket: str = "day") -> DataFrame:

@@ -35,7 +35,7 @@ def keyword_path(m: DataFrame, keys=("country",)):
     occurrence, live counters per bucket end, bursts per bucket, keyword
     score in force per bucket)."""
     keys = list(keys)
-    mg = kwo.with_key_index(m, keys)
+    mg = m if "g" in m.columns else kwo.with_key_index(m, keys)
     vals = kwo.bucket_end_counts(kwo.keyword_occurrences(mg, keys), keys)
     live = kwo.live_counts_at_bucket_end(vals, mg, keys)
     bursts = kwo.keyword_bursts(live, keys)
@@ -45,12 +45,13 @@ def keyword_path(m: DataFrame, keys=("country",)):
     return mg, vals, live, bursts, kwo.keyword_scores_in_force(all_b, keys)
 
 
-def score_posts(m: DataFrame, keys=("country",), window_s: int = 300, cap: int = 100,
-                chunk_s: int = 3600) -> DataFrame:
-    """Detectors, keyword burst in force, composite and severity."""
+def score_posts(m: DataFrame, keys=("country",), window_s: int = 300, cap: int = 100) -> DataFrame:
+    """Detectors, keyword burst in force, composite and severity.
+    The post index is computed once, for the frames and the counters."""
     keys = list(keys)
-    det = an.with_detectors(m, keys, window_s=window_s, cap=cap, chunk_s=chunk_s)
-    force = small_side(keyword_path(m, keys)[4])
+    mg = kwo.with_key_index(m, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    det = an.with_detectors(mg, keys, window_s=window_s, cap=cap).drop("g")
+    force = small_side(keyword_path(mg, keys)[4])
     s = det.join(force, keys + ["bucket"], "left")
     s = s.withColumn("keyword_anomaly", F.struct(
         F.coalesce("keyword_score", F.lit(0.0)).alias("score"),

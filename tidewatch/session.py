@@ -45,14 +45,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the folder is set by the operator and must be on shared
-    storage.  Only when it is unset (tests, local runs) do we create one.
+    On a cluster the folder must be set and lie on shared storage; without it
+    this fails.  Only a ``local[...]`` session (tests, bench) gets a folder of
+    its own when none is set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidewatch-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        current = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(current)
     return current
+
+
+def shared_path(spark: SparkSession, *parts: str) -> str:
+    """A path under the shared folder, of whatever file system it is on."""
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "tidewatch", *parts])
