@@ -491,22 +491,33 @@ FLAGSHIP = "flagship_country_alerts"
 
 # ---- streaming ---------------------------------------------------------------------------
 
-import os as _os  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
 from tidewatch.streaming import stream as sm  # noqa: E402
 
 
+FEED_SLOTS = 6
+
+
 def _feed(spark, sf, copies: int = 1):
-    path = sm.scratch_path(spark, "feed", _os.path.basename(sf.rstrip("/")) + f"_x{copies}")
+    path = sm.scratch_path(spark, "feed", _uuid.uuid4().hex[:12])
     p = posts(spark, sf)
     src = p
     for _ in range(copies - 1):
         src = src.unionByName(p)
-    sm.write_feed(src, path)
+    sm.write_feed(src, path, slots=FEED_SLOTS, files=_feed_files(spark))
     return path
 
 
+def _feed_files(spark) -> int:
+    return max(2, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+
+
+def _stream(spark, sf, copies: int = 1):
+    """The feed as a stream of FEED_SLOTS micro-batches in event order."""
+    return sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf, copies), "maxFilesPerTrigger": _feed_files(spark)})
+
+
 def _run(spark, df, mode="append"):
     run_id = _uuid.uuid4().hex[:12]
     out = sm.scratch_path(spark, "out", run_id)
@@ -516,7 +527,7 @@ def _run(spark, df, mode="append"):
 
 @query("s01_stream_enrich")
 def s01_stream_enrich(spark, sf):
-    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf), "maxFilesPerTrigger": 2})
+    raw = _stream(spark, sf)
     e = sm.enrich(sm.decoded_posts(raw))
     out = _run(spark, e.select("tweet_id", "country", F.col("sentiment.label").alias("label"),
                                F.col("sentiment.score").alias("score")))
@@ -525,34 +536,36 @@ def s01_stream_enrich(spark, sf):
 
 @query("s02_stream_buckets")
 def s02_stream_buckets(spark, sf):
-    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf)})
-    agg = sm.bucket_counts(sm.decoded_posts(raw), "1 hour")
+    raw = _stream(spark, sf)
+    p = sm.decoded_posts(raw, heartbeats=True).drop("sentiment").withColumn("volume", an.volume_score("priority", "engagement"))
+    agg = sm.bucket_counts(p, "1 hour")
     out = _run(spark, agg.select("country", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                                 "n", "mean_engagement"))
-    return out.select("country", "window_start", big("n").alias("n"),
+                                 "n", "mean_volume", "mean_engagement"))
+    return out.select("country", "window_start", big("n").alias("n"), r6("mean_volume").alias("mean_volume"),
                       r6("mean_engagement").alias("mean_engagement"))
 
 
 @query("s03_stream_sliding")
 def s03_stream_sliding(spark, sf):
-    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf)})
-    agg = sm.bucket_counts(sm.decoded_posts(raw), "2 hours", "1 hour")
+    raw = _stream(spark, sf)
+    p = sm.enrich(sm.decoded_posts(raw, heartbeats=True)).withColumn("sentiment", F.col("sentiment.score"))
+    agg = sm.bucket_counts(p, "2 hours", "1 hour")
     out = _run(spark, agg.select("country", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                                 "n", "mean_engagement"))
-    return out.select("country", "window_start", big("n").alias("n"),
+                                 "n", "mean_sentiment", "mean_engagement"))
+    return out.select("country", "window_start", big("n").alias("n"), r6("mean_sentiment").alias("mean_sentiment"),
                       r6("mean_engagement").alias("mean_engagement"))
 
 
 @query("s06_stream_dedupe")
 def s06_stream_dedupe(spark, sf):
-    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf, copies=2)})
+    raw = _stream(spark, sf, copies=2)
     d = sm.dedupe(sm.decoded_posts(raw))
     return _run(spark, d.select("tweet_id", "country")).select("tweet_id", "country")
 
 
 @query("s04_stream_detector")
 def s04_stream_detector(spark, sf):
-    raw = sm.read_posts(spark, {"format": "json", "path": _feed(spark, sf), "maxFilesPerTrigger": 4})
+    raw = _stream(spark, sf)
     e = sm.enrich(sm.decoded_posts(raw))
     m = an.with_metrics(e.withColumn("sentiment_score", F.col("sentiment.score")).drop("sentiment"))
     out = _run(spark, sm.keyed_detector(m))
@@ -639,10 +652,59 @@ def a08_alert_archive(spark, sf):
     upsert runs twice to show it is idempotent (last write wins per id)."""
     from tidewatch.sources.sinks import upsert_monthly
     a = _alerts(spark, sf).select("alert_id", "timestamp", "severity", "score")
-    path = sm.scratch_path(spark, "alerts_by_month", _os.path.basename(sf.rstrip("/")),
+    path = sm.scratch_path(spark, "alerts_by_month", sf.rstrip("/").rsplit("/", 1)[-1],
                            _uuid.uuid4().hex[:8])
     upsert_monthly(spark, a, path, "alert_id", "timestamp")
     upsert_monthly(spark, a, path, "alert_id", "timestamp")
     back = spark.read.parquet(path)
     return back.groupBy("month", "severity").agg(big(F.count(F.lit(1))).alias("n"),
                                                  r6(F.max("score")).alias("max_score"))
+
+
+@query("a03_quarantine")
+def a03_quarantine(spark, sf):
+    """A2 + A3: every message of a feed with broken JSON, missing ids and
+    unparsable times is either a good post or in the quarantine."""
+    from tidewatch.sources.envelope import to_messages, to_post_records
+    p = posts(spark, sf)
+    rec = to_post_records(p)
+    k = F.col("post_seq") % 11
+    seq = p.select(F.col("tweet_id").alias("_id"), "post_seq", "ts")
+    msgs = to_messages(rec, ("tweet_id",)).join(seq, F.col("key") == F.col("_id"))
+    value = (F.when(k == 0, F.substring("value", 1, 20)).when(k == 1, F.regexp_replace("value", '"tweet_id":"[^"]*",', ""))
+             .when(k == 2, F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"')).otherwise(F.col("value")))
+    stamp = F.when(F.col("post_seq") % 22 == 2, F.lit(None).cast("timestamp")).otherwise(F.col("ts").cast("timestamp"))
+    good, bad = sm.split_posts(msgs.select("key", value.alias("value"), stamp.alias("timestamp")))
+    return (good.select(F.col("message_key").alias("key"), F.lit("good").alias("status"), F.col("ts").isNotNull().alias("has_time"))
+            .unionByName(bad.select(F.col("message_key").alias("key"), F.lit("rejected").alias("status"), F.lit(False).alias("has_time"))))
+
+
+@query("a05_processed_archive")
+def a05_processed_archive(spark, sf):
+    """B3 + A5: processed-post records upserted by month in two batches that
+    share rows, and read back."""
+    from tidewatch.sources.envelope import processed_post
+    from tidewatch.sources.sinks import upsert_monthly
+    s = processed_post(_scored(spark, sf).withColumn("sentiment", F.struct(
+        F.col("sentiment_label").alias("label"), F.col("sentiment").alias("score")))).checkpoint()
+    path = sm.scratch_path(spark, "processed", _uuid.uuid4().hex[:12])
+    first = s.where(F.crc32("tweet_id") % 3 < 2).withColumn("sentiment_score", F.lit(9.0))
+    upsert_monthly(spark, first, path, "tweet_id", "timestamp")
+    upsert_monthly(spark, s.where(F.crc32("tweet_id") % 3 > 0), path, "tweet_id", "timestamp")
+    upsert_monthly(spark, s.where(F.crc32("tweet_id") % 3 == 0), path, "tweet_id", "timestamp")
+    return spark.read.parquet(path).select(
+        "tweet_id", F.col("month").cast("string").alias("month"), "sentiment_label", r6("sentiment_score").alias("sentiment_score"),
+        r6("anomaly_score").alias("anomaly_score"), "is_anomaly", "country", "priority",
+        (F.col("original_tweet.tweet_id") == F.col("tweet_id")).alias("nested_ok"))
+
+
+@query("a06_anomaly_archive")
+def a06_anomaly_archive(spark, sf):
+    """C13 + A6: anomaly records upserted by month under event time + id."""
+    from tidewatch.sources.sinks import anomaly_key, upsert_monthly
+    rec = anomaly_key(an.anomaly_record(al.alert_required(_scored(spark, sf))).select("ts", "tweet_id", "anomaly")).checkpoint()
+    path = sm.scratch_path(spark, "anomalies", _uuid.uuid4().hex[:12])
+    upsert_monthly(spark, rec, path, "anomaly_id", "ts")
+    upsert_monthly(spark, rec.where(F.crc32("tweet_id") % 2 == 0), path, "anomaly_id", "ts")
+    return spark.read.parquet(path).select("anomaly_id", "tweet_id", F.col("anomaly.severity").alias("severity"),
+                                           r6("anomaly.composite_score").alias("composite"))

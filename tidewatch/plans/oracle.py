@@ -667,18 +667,20 @@ ORACLE["s01_stream_enrich"] = with_posts(valence_cte(), trade_cte(), ensemble_ct
 SELECT p.tweet_id, p.country, s.label, {r6('s.score')} AS score
 FROM posts p JOIN sent s USING (tweet_id) WHERE length(trim(coalesce(p.text, ''))) > 0"""
 _eng = f"{D(0.3)} * coalesce(likes, 0) + {D(0.5)} * coalesce(retweets, 0) + {D(0.2)} * coalesce(replies, 0)"
+_pf = " ".join(f"WHEN {q(k)} THEN {D(v)}" for k, v in K.PRIORITY_FACTORS.items())
 ORACLE["s02_stream_buckets"] = with_posts() + f"""
-, mx AS (SELECT max(ts) - INTERVAL 10 MINUTES AS wm FROM posts)
+, e AS (SELECT *, {_eng} AS eng, CASE priority {_pf} ELSE {D(1.0)} END AS f FROM posts)
 SELECT country, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, CAST(count(*) AS BIGINT) AS n,
-       {r6(f'avg({_eng})')} AS mean_engagement
-FROM posts, mx GROUP BY country, 2, wm HAVING CAST(date_trunc('hour', ts) AS TIMESTAMP) + INTERVAL 1 HOUR <= wm"""
-ORACLE["s03_stream_sliding"] = with_posts() + f"""
-, mx AS (SELECT max(ts) - INTERVAL 10 MINUTES AS wm FROM posts),
-ws AS (SELECT country, {_eng} AS engagement,
+       {r6('avg(f * (1 + eng / 100))')} AS mean_volume, {r6('avg(eng)')} AS mean_engagement
+FROM e GROUP BY country, 2"""
+ORACLE["s03_stream_sliding"] = with_posts(valence_cte(), trade_cte(), ensemble_cte()) + f"""
+, ws AS (SELECT country, {_eng} AS engagement, s.score,
               unnest([CAST(date_trunc('hour', ts) AS TIMESTAMP) - INTERVAL 1 HOUR,
-                      CAST(date_trunc('hour', ts) AS TIMESTAMP)]) AS window_start FROM posts)
-SELECT country, window_start, CAST(count(*) AS BIGINT) AS n, {r6('avg(engagement)')} AS mean_engagement
-FROM ws, mx GROUP BY country, window_start, wm HAVING window_start + INTERVAL 2 HOUR <= wm"""
+                      CAST(date_trunc('hour', ts) AS TIMESTAMP)]) AS window_start
+       FROM posts JOIN sent s USING (tweet_id) WHERE length(trim(coalesce(posts.text, ''))) > 0)
+SELECT country, window_start, CAST(count(*) AS BIGINT) AS n, {r6('avg(score)')} AS mean_sentiment,
+       {r6('avg(engagement)')} AS mean_engagement
+FROM ws GROUP BY country, window_start"""
 ORACLE["s06_stream_dedupe"] = with_posts() + "\nSELECT tweet_id, country FROM posts"
 
 
@@ -783,3 +785,16 @@ SELECT alert_id, channel, epoch_us(ts) // 1000 AS time_ms, epoch_us(ts) // 1000
             ELSE 'Trade Sentiment Alert: ' || upper(severity) END AS title,
        CASE WHEN channel = 'email' THEN (CASE severity {_colours} ELSE {q(K.DEFAULT_COLOUR)} END) END AS colour
 FROM gate_sent, (VALUES ('annotation'), ('email')) ch(channel)"""
+
+ORACLE["a03_quarantine"] = with_posts() + """
+SELECT tweet_id AS key,
+       CASE WHEN post_seq % 11 < 2 OR (post_seq % 11 = 2 AND post_seq % 22 = 2) THEN 'rejected' ELSE 'good' END AS status,
+       NOT (post_seq % 11 < 2 OR (post_seq % 11 = 2 AND post_seq % 22 = 2)) AS has_time
+FROM posts"""
+ORACLE["a05_processed_archive"] = all_scored() + f"""
+SELECT s.tweet_id, strftime(s.ts, '%Y-%m') AS month, t.label AS sentiment_label, {r6('s.sentiment')} AS sentiment_score,
+       {r6('s.composite')} AS anomaly_score, s.alert_required AS is_anomaly, p.country, p.priority, true AS nested_ok
+FROM scored s JOIN sent t USING (tweet_id) JOIN posts p USING (tweet_id)"""
+ORACLE["a06_anomaly_archive"] = all_scored() + f"""
+SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '_' || tweet_id AS anomaly_id, tweet_id, severity, {r6('composite')} AS composite
+FROM scored WHERE alert_required"""
