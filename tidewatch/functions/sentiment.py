@@ -38,7 +38,9 @@ def valence_tokens(text) -> Column:
     return F.filter(F.split(stripped, r"\s+"), lambda t: F.length(t) > 1)
 
 
-EDGE_PUNCT_RE = r"(?<![^\s])[^\p{L}\p{N}_\s]+|[^\p{L}\p{N}_\s]+(?![^\s])"
+# The leading lookahead rejects ASCII letters, digits and spaces, which most
+# characters are, before the Unicode classes are tried.
+EDGE_PUNCT_RE = r"(?=[^a-zA-Z0-9_\s])(?:(?<![^\s])[^\p{L}\p{N}_\s]+|[^\p{L}\p{N}_\s]+(?![^\s]))"
 
 
 def _all_caps(t: Column) -> Column:
@@ -66,7 +68,8 @@ def valence_scores(text, lexicon=K.VALENCE_LEXICON, negations=K.NEGATIONS,
             def valence_at(i):
                 v = F.element_at(lex_map, F.get(low, i))
                 sign = F.signum(v)
-                v = v + F.when(caps_diff & _all_caps(F.get(toks, i)),
+                # The cheap test first: the whole text is looked at only for a hit in capitals.
+                v = v + F.when(_all_caps(F.get(toks, i)) & caps_diff,
                                sign * K.CAPS_BOOST).otherwise(0.0)
                 for d, scale in ((1, 1.0), (2, 0.95), (3, 0.9)):
                     b = F.coalesce(F.element_at(boost_map, prev(i, d)), F.lit(0.0))
@@ -108,7 +111,8 @@ def valence_scores(text, lexicon=K.VALENCE_LEXICON, negations=K.NEGATIONS,
                 return tx.let(parts, with_parts)
             return tx.let(sums, with_sums)
 
-        return tx.let(tx.let(F.transform(toks, lambda t: F.lower(t)), with_low), with_vals)
+        # Lower-cased as one string: tokens hold no spaces, so the pieces stay aligned.
+        return tx.let(tx.let(F.split(F.lower(F.array_join(toks, " ")), " "), with_low), with_vals)
 
     return tx.let(valence_tokens(text), with_tokens)
 
@@ -290,13 +294,13 @@ def model_scorer(load_model):
 
 def valence_scores_join(df: DataFrame, lexicon: DataFrame, id_col: str = "tweet_id",
                         text_col: str = "text", negations=K.NEGATIONS, boosters=K.BOOSTERS,
-                        max_broadcast_rows: int = 5_000_000) -> DataFrame:
+                        max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """T16 with the lexicon as a table (term, weight): same result as
     ``valence_scores`` but a hash join per token instead of a literal map,
     for lexicons with many thousands of entries.
 
     Tokens are exploded with their three predecessors, joined to the
-    lexicon (broadcast behind a row-count check), summed per post with
+    lexicon (broadcast behind a check of its bytes), summed per post with
     map-side partial aggregation (only lexicon hits are shuffled), and
     joined back to the posts.  Adds ``valence`` struct(compound, pos, neu, neg).
     The per-row form ``valence_scores`` needs no shuffle; this form trades
@@ -304,7 +308,7 @@ def valence_scores_join(df: DataFrame, lexicon: DataFrame, id_col: str = "tweet_
     """
     from tidewatch.operators.lookups import bounded_broadcast
     lex = bounded_broadcast(lexicon.select(F.col("term").alias("_lt"), F.col("weight").alias("_v0")),
-                            max_broadcast_rows)
+                            max_broadcast_bytes)
     boost = dict(boosters)
     boost_map = _map(boost.items())
     # Per-post columns are computed before the explode: a non-generator

@@ -272,32 +272,28 @@ def top_keywords(cleaned, lang, k: int = 10, stop_words=None) -> Column:
     3, letters only, not a stop word of the post's language), ties broken by
     first position.
 
-    Per row and O(n log n): sort (word, position) pairs, find run starts,
-    turn runs into (-count, first position, word), sort, slice.  Every
-    intermediate array is bound once with ``let`` (Spark does not share
-    sub-expressions inside lambdas).
+    Repeated words are the ones that stand beside an equal word in the sorted
+    tokens; only they need a count (tokens less tokens without the word) and a
+    first position, both built-in array functions.  All other words follow in
+    text order.
     """
     en = stop_words["en"] if stop_words else K.STOP_WORDS_ENGLISH
     fr = stop_words["fr"] if stop_words else K.STOP_WORDS_FRENCH
     toks = F.when(F.coalesce(_col(lang), F.lit("en")) == "fr", _candidate_tokens(cleaned, fr)) \
             .otherwise(_candidate_tokens(cleaned, en))
 
-    def from_pairs(pairs):
-        n = F.size(pairs)
-        starts = F.filter(
-            F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))),
-            lambda j: (j < n) & ((j == 0) | (F.get(pairs, j)["w"] != F.get(pairs, j - 1)["w"])))
-
-        def from_starts(st):
-            runs = F.transform(st, lambda s, r: F.struct(
-                (s - F.coalesce(F.get(st, r + 1), n)).alias("neg_count"),
-                F.get(pairs, s)["i"].alias("first"),
-                F.get(pairs, s)["w"].alias("w")))
-            return F.transform(F.slice(F.array_sort(runs), 1, k), lambda x: x["w"])
-        return let(starts, from_starts)
-
-    pairs = F.array_sort(F.transform(toks, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    return let(pairs, from_pairs)
+    def ranked(ts):
+        twice = let(F.sort_array(ts), lambda s: F.array_distinct(
+            F.filter(s, lambda w, i: (i > 0) & (w == F.get(s, F.greatest(i - 1, F.lit(0)))))))
+
+        def merge(rep):
+            top = F.array_sort(F.transform(rep, lambda w: F.struct(
+                (F.size(F.array_remove(ts, w)) - F.size(ts)).alias("neg_count"),
+                F.array_position(ts, w).alias("first"), w.alias("w"))))
+            return F.slice(F.concat(F.transform(top, lambda x: x["w"]), F.array_except(ts, rep)), 1, k)
+        return let(twice, merge)
+
+    return let(toks, ranked)
 
 
 # ---- T13-T15 --------------------------------------------------------------

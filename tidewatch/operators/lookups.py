@@ -5,33 +5,46 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import constants as K
+from tidewatch.session import ensure_checkpoint_dir
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
+BROADCAST_BYTES = 32 << 20
 
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the
-    frame is returned unhinted, so the join falls back to a shuffle join
-    (which AQE may still turn into a broadcast after measuring it).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
 
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a table's values, in one aggregation: the length of every
+    string, 16 for any other value (arrays: 16 per member)."""
+    def width(f):
+        kind = f.dataType.simpleString()
+        if kind == "string":
+            return F.coalesce(F.octet_length(f.name), F.lit(0)) + 16
+        return F.lit(16) * (F.greatest(F.coalesce(F.size(f.name), F.lit(1)), F.lit(1)) if kind.startswith("array") else 1)
 
-def small_side(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Materialise a derived table that is small by construction (one row
-    per key and bucket, ...), count it, and hint it for broadcast when it is
-    within ``max_rows``; beyond that it stays a shuffle-join side.  The
-    persisted copy is reused by the join, so it is computed once."""
-    from pyspark import StorageLevel
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    return F.broadcast(df) if df.count() <= max_rows else df
+    total = sum((width(f) for f in df.schema.fields), F.lit(0))
+    return df.agg(F.sum(total.cast("bigint"))).first()[0] or 0
+
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint ``df`` for broadcast only if its measured bytes are within the
+    bound.  Beyond it the frame is returned unhinted, so the join falls back
+    to a shuffle join."""
+    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
+
+
+def small_side(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A derived table that several plans read and that is usually small (one
+    row per key and bucket, ...): checkpointed to the shared folder, so it is
+    computed once and survives lost executors, and hinted for broadcast when
+    its bytes are within the bound."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return bounded_broadcast(df.checkpoint(), max_bytes)
 
 
 def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A small constant table; its size is fixed by the literal, so it is
-    always safe to broadcast."""
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    """A table of constants given by the caller, broadcast if it is small."""
+    rows = list(rows)
+    df = spark.createDataFrame(rows, schema)
+    return F.broadcast(df) if sum(16 + len(str(v)) for r in rows for v in r) <= BROADCAST_BYTES else df
 
 
 def regions_table(spark: SparkSession) -> DataFrame:

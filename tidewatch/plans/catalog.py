@@ -207,7 +207,7 @@ def c01_metrics(spark, sf):
 
 @query("c03_frames")
 def c03_frames(spark, sf):
-    f = an.with_frames(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP)
+    f = an.with_frames(sc.indexed_rows(_metrics(spark, sf)), window_s=WINDOW_S, cap=CAP)
     ok = F.col("n") >= K.MIN_SAMPLES
     return f.select("tweet_id", big("n").alias("n"),
                     *[r6(F.when(ok, F.col(c))).alias(c)
@@ -216,7 +216,7 @@ def c03_frames(spark, sf):
 
 @query("c04_baselines")
 def c04_baselines(spark, sf):
-    s = an.bucket_baselines(_metrics(spark, sf))
+    s = an.bucket_baselines(sc.indexed_rows(_metrics(spark, sf)))
     force = an.baselines_in_force(s)
     j = s.join(force, ["country", "bucket"])
     cols = [f"{m}_{x}" for m in an.METRICS for x in ("mean", "std")]
@@ -225,7 +225,7 @@ def c04_baselines(spark, sf):
 
 
 def _detected(spark, sf):
-    return an.with_detectors(_metrics(spark, sf), window_s=WINDOW_S, cap=CAP)
+    return an.with_detectors(sc.indexed_rows(_metrics(spark, sf)), window_s=WINDOW_S, cap=CAP)
 
 
 @query("c06_volume")

@@ -669,10 +669,10 @@ FROM posts p JOIN sent s USING (tweet_id) WHERE length(trim(coalesce(p.text, '')
 _eng = f"{D(0.3)} * coalesce(likes, 0) + {D(0.5)} * coalesce(retweets, 0) + {D(0.2)} * coalesce(replies, 0)"
 _pf = " ".join(f"WHEN {q(k)} THEN {D(v)}" for k, v in K.PRIORITY_FACTORS.items())
 ORACLE["s02_stream_buckets"] = with_posts() + f"""
-, e AS (SELECT *, {_eng} AS eng, CASE priority {_pf} ELSE {D(1.0)} END AS f FROM posts)
+, ev AS (SELECT *, {_eng} AS eng, CASE priority {_pf} ELSE {D(1.0)} END AS f FROM posts)
 SELECT country, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS window_start, CAST(count(*) AS BIGINT) AS n,
        {r6('avg(f * (1 + eng / 100))')} AS mean_volume, {r6('avg(eng)')} AS mean_engagement
-FROM e GROUP BY country, 2"""
+FROM ev GROUP BY country, 2"""
 ORACLE["s03_stream_sliding"] = with_posts(valence_cte(), trade_cte(), ensemble_cte()) + f"""
 , ws AS (SELECT country, {_eng} AS engagement, s.score,
               unnest([CAST(date_trunc('hour', ts) AS TIMESTAMP) - INTERVAL 1 HOUR,

@@ -1,11 +1,11 @@
 """Composition: posts -> text analysis -> metrics -> detectors -> scores.
 
-One logical plan; the metric projection is persisted once because four
-branches (frames, baselines, key index, keyword fold) read it.
+The metric rows with their post index are checkpointed once, because four
+branches (frames, baselines, bucket ends, keyword fold) read them; counting
+the index reads no text, so the text analysis runs once.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,20 +14,28 @@ from tidewatch.functions import text as tx
 from tidewatch.operators import anomaly as an
 from tidewatch.operators import keywords as kwo
 from tidewatch.operators.lookups import small_side
+from tidewatch.session import ensure_checkpoint_dir
 
 METRIC_COLS = ["tweet_id", "post_seq", "ts", "country", "region", "priority", "scenario",
                "is_anomaly", "volume", "engagement", "sentiment", "sentiment_label", "kw",
                "snippet", "author"]
 
 
-def metric_rows(posts: DataFrame, persist: bool = True) -> DataFrame:
+def metric_rows(posts: DataFrame) -> DataFrame:
     """Text analysis + C1/C2, narrowed to what the detectors need."""
     a = st.with_text_analysis(posts).withColumn("_orgs", F.col("features.entities.organizations"))
     m = an.with_metrics(a.withColumn("sentiment_score", F.col("sentiment.score"))
                          .withColumn("sentiment_label", F.col("sentiment.label"))
                          .drop("sentiment", "features"))
-    m = m.withColumn("snippet", tx.truncate("text", 200)).select(*METRIC_COLS)
-    return m.persist(StorageLevel.MEMORY_AND_DISK) if persist else m
+    return m.withColumn("snippet", tx.truncate("text", 200)).select(*METRIC_COLS)
+
+
+def indexed_rows(m: DataFrame, keys=("country",)) -> DataFrame:
+    """Metric rows with the post index ``g``, checkpointed."""
+    if "g" in m.columns:
+        return m
+    ensure_checkpoint_dir(m.sparkSession)
+    return kwo.with_key_index(m, keys).checkpoint()
 
 
 def keyword_path(m: DataFrame, keys=("country",)):
@@ -35,7 +43,7 @@ def keyword_path(m: DataFrame, keys=("country",)):
     occurrence, live counters per bucket end, bursts per bucket, keyword
     score in force per bucket)."""
     keys = list(keys)
-    mg = m if "g" in m.columns else kwo.with_key_index(m, keys)
+    mg = indexed_rows(m, keys)
     vals = kwo.bucket_end_counts(kwo.keyword_occurrences(mg, keys), keys)
     live = kwo.live_counts_at_bucket_end(vals, mg, keys)
     bursts = kwo.keyword_bursts(live, keys)
@@ -49,7 +57,7 @@ def score_posts(m: DataFrame, keys=("country",), window_s: int = 300, cap: int =
     """Detectors, keyword burst in force, composite and severity.
     The post index is computed once, for the frames and the counters."""
     keys = list(keys)
-    mg = kwo.with_key_index(m, keys).persist(StorageLevel.MEMORY_AND_DISK)
+    mg = indexed_rows(m, keys)
     det = an.with_detectors(mg, keys, window_s=window_s, cap=cap).drop("g")
     force = small_side(keyword_path(mg, keys)[4])
     s = det.join(force, keys + ["bucket"], "left")

@@ -46,7 +46,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sort-merge join over ``spark.sql.shuffle.partitions`` hash partitions:
     both are fact-sized at scale, and the text work that follows is spread
     over that many tasks even when a scan is a single file.  nation (25 rows) and region (5 rows) are broadcast behind a
-    row-count check.
+    check of their bytes.
     """
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     n_docs = docs.count()  # parquet footer count: a scalar, no data moves
@@ -57,8 +57,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_key": F.col("event_id") % F.lit(n_docs),
         "nation_key": (F.col("user_id") % 25).cast("int"),
     })
-    nation = bounded_broadcast(load_table(spark, sf_dir, "nation"), 10_000)
-    region = bounded_broadcast(load_table(spark, sf_dir, "region"), 10_000)
+    nation = bounded_broadcast(load_table(spark, sf_dir, "nation"))
+    region = bounded_broadcast(load_table(spark, sf_dir, "region"))
     # Both sides hash-partitioned on the join key with the session's shuffle
     # width: exactly the exchange a shuffle join needs, but with an explicit
     # count, so AQE does not coalesce the CPU-heavy text stage into one task.
