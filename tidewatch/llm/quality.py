@@ -31,9 +31,9 @@ class Rule:
 
 
 RULES = (
-    Rule("symbol_share", 0.10),
-    Rule("dup_line_share", 0.30),
-    Rule("repeat_share", 0.25),
+    Rule("symbol_share", 0.06),
+    Rule("dup_line_share", 0.50),
+    Rule("repeat_share", 0.40),
     Rule("word_length", 4.0, low=False),
     Rule("word_length", 2.5, low=True),
 )
