@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.text import WordHasher, lower_space_words
 
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 1_500_000
 CUT = 5                                  # counts above are not discounted
 END = xxhash.xxh64_intdigest(b"\n")      # no word holds a newline
 UNKNOWN = 0                              # number of all words seen fewer than twice
