@@ -136,18 +136,18 @@ CRITICAL_OVERRIDE_MINUTES = 5
 # OUR DEFAULTS for caller-supplied tables
 # ---------------------------------------------------------------------------
 
-# Small valence lexicon for T16 (weights on a -4..+4 scale).  The original
-# uses a third-party lexicon; callers pass their own table.
+# Small valence lexicon for T16, graded by hand: 1 mild, 2 clear, 3 strong.  The
+# original uses a third-party lexicon; callers pass their own table.
 VALENCE_LEXICON = [
-    ("good", 1.9), ("great", 3.1), ("excellent", 2.7), ("positive", 2.6), ("gain", 2.4),
-    ("gains", 2.2), ("growth", 2.0), ("win", 2.8), ("success", 2.7), ("strong", 2.3),
-    ("progress", 1.8), ("partnership", 1.5), ("agreement", 1.7), ("deal", 1.2),
-    ("lifts", 1.3), ("hope", 1.9), ("benefit", 2.0), ("improve", 1.9), ("boost", 1.7),
-    ("bad", -2.5), ("poor", -2.1), ("negative", -2.7), ("loss", -1.3), ("losses", -1.7),
-    ("crisis", -3.1), ("war", -2.9), ("fear", -2.2), ("risk", -1.1), ("weak", -1.9),
-    ("fail", -2.5), ("failure", -2.3), ("collapse", -2.9), ("crash", -2.6), ("hits", -1.1),
-    ("fell", -1.4), ("down", -0.9), ("uncertainty", -1.4), ("disruption", -1.6),
-    ("tariffs", -1.2), ("threat", -2.4), ("worry", -1.9), ("breaking", -0.6),
+    ("good", 2.0), ("great", 3.0), ("excellent", 3.0), ("positive", 3.0), ("gain", 2.0),
+    ("gains", 2.0), ("growth", 2.0), ("win", 3.0), ("success", 3.0), ("strong", 2.0),
+    ("progress", 2.0), ("partnership", 2.0), ("agreement", 2.0), ("deal", 1.0),
+    ("lifts", 1.0), ("hope", 2.0), ("benefit", 2.0), ("improve", 2.0), ("boost", 2.0),
+    ("bad", -3.0), ("poor", -2.0), ("negative", -3.0), ("loss", -1.0), ("losses", -2.0),
+    ("crisis", -3.0), ("war", -3.0), ("fear", -2.0), ("risk", -1.0), ("weak", -2.0),
+    ("fail", -3.0), ("failure", -2.0), ("collapse", -3.0), ("crash", -3.0), ("hits", -1.0),
+    ("fell", -1.0), ("down", -1.0), ("uncertainty", -1.0), ("disruption", -2.0),
+    ("tariffs", -1.0), ("threat", -2.0), ("worry", -2.0), ("breaking", -1.0),
 ]
 NEGATIONS = ["not", "no", "never", "none", "nobody", "nothing", "neither", "nor",
              "cannot", "without", "isn't", "aren't", "wasn't", "don't", "doesn't",

@@ -141,18 +141,20 @@ def _default_sentiment() -> Column:
                              F.lit(0.0).alias("neu"), F.lit(0.0).alias("neg")).alias("details"))
 
 
-def trade_scores(text, urgency, pcts, moves, lexicon=K.TRADE_LEXICON) -> Column:
+def trade_scores(text, urgency, pcts, moves, lexicon=K.TRADE_LEXICON, hits: Column | None = None) -> Column:
     """struct(raw_score, word_count, score, urgency_boost).
 
     Lexicon terms are matched as substrings of the lower-cased text (each
     counted once), x1.3 when urgency > 1, x(1 + p/100) when the largest
     percentage p exceeds 10, +/-0.5 per up/down movement word, then divided
-    by max(hits, 1) and clipped to [-1, 1].
+    by max(hits, 1) and clipped to [-1, 1].  ``hits`` (array of structs with
+    ``w``) replaces the lexicon test where a join has found the terms.
     """
     lt = F.lower(F.coalesce(_col(text), F.lit("")))
     entries = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(float(w)).alias("w"))
                         for t, w in lexicon])
-    hits = tx.let(lt, lambda l: F.filter(entries, lambda e: F.contains(l, e["term"])))
+    if hits is None:
+        hits = tx.let(lt, lambda l: F.filter(entries, lambda e: F.contains(l, e["term"])))
     u = _col(urgency)
     maxp = F.array_max(_col(pcts))
     low_moves = F.transform(_col(moves), lambda m: F.lower(m))

@@ -1,7 +1,7 @@
 """Lookup joins (J1-J5) and the size-checked broadcast they rely on."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewatch import constants as K
@@ -67,3 +67,62 @@ def map_lookup(col: Column, mapping: dict, default) -> Column:
     """Constant lookup table as a literal map (priority, severity...)."""
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     return F.coalesce(F.element_at(m, col), F.lit(default))
+
+
+# ---- J2, J5, T10, T11, T12: dictionaries as tables ------------------------------------
+
+GRAM = 3  # characters a name is looked up by
+
+
+def substring_matches(df: DataFrame, names: DataFrame, id_col: str = "tweet_id", text_col: str = "text",
+                      lower: bool = False, out: str = "matches") -> DataFrame:
+    """Adds ``out``: array of the rows of ``names`` (pos int, name string, any
+    further columns) whose name occurs in the text, ordered by pos.
+
+    For dictionaries of any size: a name can only occur where its first GRAM
+    characters do, so the distinct grams of every text are joined to the names
+    by equality, and only the few pairs that meet are tested.  Gram rows carry
+    the id, not the text.  ``lower`` compares lower-cased text and names.  Ids
+    must be unique; null texts match nothing; empty names are ignored.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.lower(text) if lower else text
+    name = F.lower("name") if lower else F.col("name")
+    table = names.where(F.length("name") > 0).select(
+        F.struct("pos", "name", *[c for c in names.columns if c not in ("pos", "name")]).alias("_row"),
+        name.alias("_name"), F.substring(name, 1, GRAM).alias("_gram"))
+    sizes = sorted({r[0] for r in table.select(F.length("_gram")).distinct().collect()})  # at most GRAM values
+
+    def pieces(chars: Column) -> Column:
+        """Distinct runs of the wanted lengths, from the characters (linear)."""
+        runs = [F.when(F.size(chars) >= k, F.transform(F.sequence(F.lit(0), F.size(chars) - k), lambda i: F.concat(*[F.get(chars, i + j) for j in range(k)])))
+                .otherwise(F.array().cast("array<string>")) for k in sizes]
+        return F.array_distinct(F.concat(*runs)) if runs else F.array().cast("array<string>")
+
+    grams = df.select(F.col(id_col).alias("_id"), F.get(F.transform(F.array(F.split(text, "")), pieces), 0).alias("_g"))
+    met = (grams.select("_id", F.explode_outer("_g").alias("_gram")).where(F.col("_gram").isNotNull())
+           .join(bounded_broadcast(table), "_gram").select("_id", "_row", "_name"))
+    texts = df.select(F.col(id_col).alias("_i"), text.alias("_t"))
+    found = (met.join(texts, F.col("_id") == F.col("_i")).where(F.contains("_t", "_name"))
+             .groupBy("_id").agg(F.array_sort(F.collect_list("_row")).alias(out)))
+    kind = found.schema[out].dataType
+    return (df.join(found, F.col(id_col) == F.col("_id"), "left").drop("_id")
+            .withColumn(out, F.coalesce(F.col(out), F.array().cast(kind))))
+
+
+def corpus_keywords(df: DataFrame, stop_words: DataFrame, k: int = 10, id_col: str = "tweet_id",
+                    cleaned: str = "cleaned", lang: str = "language") -> DataFrame:
+    """T12 + J5 over tables: (id, keywords), the ``k`` most frequent candidate
+    words of each post, ties by first position, with the stop words (lang,
+    term) as an anti join.  Posts without candidates have an empty array."""
+    words = F.regexp_extract_all(F.lower(F.coalesce(F.col(cleaned), F.lit(""))), F.lit(r"(?<![^ ])\p{L}{4,}(?![^ ])"), F.lit(0))
+    own = F.when(F.coalesce(F.col(lang), F.lit("en")) == "fr", "fr").otherwise("en")
+    rows = df.select(F.col(id_col).alias("_id"), own.alias("_l"), F.posexplode_outer(words).alias("_p", "_w"))
+    stop = bounded_broadcast(stop_words.select(F.col("lang").alias("_sl"), F.col("term").alias("_sw")))
+    kept = rows.where(F.col("_w").isNotNull()).join(stop, (F.col("_l") == F.col("_sl")) & (F.col("_w") == F.col("_sw")), "left_anti")
+    counts = kept.groupBy("_id", "_w").agg(F.count(F.lit(1)).alias("_n"), F.min("_p").alias("_first"))
+    rank = F.row_number().over(Window.partitionBy("_id").orderBy(F.col("_n").desc(), "_first"))
+    top = (counts.withColumn("_r", rank).where(F.col("_r") <= k)
+           .groupBy("_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "_w"))), lambda x: x["_w"]).alias("keywords")))
+    return (df.select(id_col).join(top, F.col(id_col) == F.col("_id"), "left")
+            .select(id_col, F.coalesce("keywords", F.array().cast("array<string>")).alias("keywords")))

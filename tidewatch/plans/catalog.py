@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewatch import constants as K
 from tidewatch.functions import sentiment as st
 from tidewatch.functions import text as tx
+from tidewatch.operators import lookups as lk
 from tidewatch.sources.tables import posts
 
 REGISTRY: dict = {}
@@ -708,3 +709,40 @@ def a06_anomaly_archive(spark, sf):
     upsert_monthly(spark, rec.where(F.crc32("tweet_id") % 2 == 0), path, "anomaly_id", "ts")
     return spark.read.parquet(path).select("anomaly_id", "tweet_id", F.col("anomaly.severity").alias("severity"),
                                            r6("anomaly.composite_score").alias("composite"))
+
+
+# ---- dictionaries as tables: must equal the row forms ----------------------------------------
+
+def _names(spark, names):
+    return spark.createDataFrame(list(enumerate(names)), "pos int, name string")
+
+
+@query("t10_organisations_join")
+def t10_organisations_join(spark, sf):
+    d = lk.substring_matches(posts(spark, sf), _names(spark, K.ORGANISATIONS))
+    return d.select("tweet_id", joined(F.transform("matches", lambda x: x["name"])).alias("organisations"))
+
+
+@query("t11_places_join")
+def t11_places_join(spark, sf):
+    d = lk.substring_matches(posts(spark, sf), _names(spark, K.PLACES))
+    return d.select("tweet_id", joined(F.transform("matches", lambda x: x["name"])).alias("places"))
+
+
+@query("t12_keywords_join")
+def t12_keywords_join(spark, sf):
+    stop = [("en", w) for w in K.STOP_WORDS_ENGLISH] + [("fr", w) for w in K.STOP_WORDS_FRENCH]
+    p = posts(spark, sf).withColumn("cleaned", tx.clean_text("text"))
+    d = lk.corpus_keywords(p, spark.createDataFrame(stop, "lang string, term string"))
+    return d.select("tweet_id", joined("keywords").alias("keywords"))
+
+
+@query("t18_trade_join")
+def t18_trade_join(spark, sf):
+    """The trade lexicon as a table."""
+    lex = spark.createDataFrame([(i, t, float(w)) for i, (t, w) in enumerate(K.TRADE_LEXICON)], "pos int, name string, w double")
+    p = posts(spark, sf).withColumns({"u": tx.urgency_score("text"), "p": tx.percentages("text"), "m": tx.movements("text")})
+    d = lk.substring_matches(p, lex, lower=True)
+    t = d.withColumn("t", st.trade_sentiment("text", "u", "p", "m", hits=F.col("matches")))
+    return t.select("tweet_id", r6("t.details.raw_score").alias("raw_score"), big("t.details.word_count").alias("hits"),
+                    r6("t.score").alias("score"), F.col("t.label").alias("label"), r6("t.confidence").alias("confidence"))

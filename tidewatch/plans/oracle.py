@@ -798,3 +798,7 @@ FROM scored s JOIN sent t USING (tweet_id) JOIN posts p USING (tweet_id)"""
 ORACLE["a06_anomaly_archive"] = all_scored() + f"""
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '_' || tweet_id AS anomaly_id, tweet_id, severity, {r6('composite')} AS composite
 FROM scored WHERE alert_required"""
+
+# Dictionaries as tables: the row forms' SQL.
+for _name in ("t10_organisations", "t11_places", "t12_keywords", "t18_trade"):
+    ORACLE[_name + "_join"] = ORACLE[_name]
