@@ -91,8 +91,8 @@ def fit(labelled: DataFrame) -> Model:
                  {k: np.log(v / v.sum(axis=1, keepdims=True)) for k, v in emit.items()})
 
 
-def _emissions(model: Model, part: pd.DataFrame) -> np.ndarray:
-    return sum(model.emit[f][:, part[f].to_numpy()].T for f in FEATURES)
+def _emissions(model: Model, part: dict) -> np.ndarray:
+    return sum(model.emit[f][:, part[f]].T for f in FEATURES)
 
 
 def _viterbi(model: Model, emit: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -115,23 +115,37 @@ def _trace(back: np.ndarray, last: int) -> np.ndarray:
     return path
 
 
-def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """Runs of equal keys of sorted rows; a run may go on over batches."""
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict]:
+    """Runs of equal keys of sorted rows, as arrays by column; a run may go on
+    over batches."""
     held = None
     for b in batches:
         b = b if held is None else pd.concat([held, b], ignore_index=True)
         if not len(b):
             continue
-        k = b[keys].astype("string").fillna("\x00").agg("\x01".join, axis=1).to_numpy()
-        cuts = np.nonzero(k[1:] != k[:-1])[0] + 1
+        new = np.zeros(len(b) - 1, dtype=bool)
+        for k in keys:
+            v, gone = b[k], b[k].isna().to_numpy()
+            new |= (v.to_numpy()[1:] != v.to_numpy()[:-1]) & ~(gone[1:] & gone[:-1])
+        cuts = np.nonzero(new)[0] + 1
+        cols = {c: b[c].to_numpy() for c in b.columns}
         for at, end in zip(np.concatenate([[0], cuts[:-1]]), cuts) if len(cuts) else ():
-            yield b.iloc[at:end]
+            yield {c: v[at:end] for c, v in cols.items()}
         held = b.iloc[cuts[-1]:] if len(cuts) else b
     if held is not None and len(held):
-        yield held
+        yield {c: held[c].to_numpy() for c in held.columns}
 
 
-_KIND = "conv_id {id}, chunk bigint"
+def _frames(rows: Iterator[dict], every: int = 2_000) -> Iterator[pd.DataFrame]:
+    """Column arrays joined to one frame per ``every`` groups."""
+    held = []
+    for r in rows:
+        held.append(r)
+        if len(held) == every:
+            yield pd.DataFrame({c: np.concatenate([h[c] for h in held]) for c in held[0]})
+            held = []
+    if held:
+        yield pd.DataFrame({c: np.concatenate([h[c] for h in held]) for c in held[0]})
 
 
 def decode(rows: DataFrame, model: Model) -> DataFrame:
@@ -150,19 +164,19 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
     n = len(ROLES)
     pairs = [f"m{i}{j}" for i in range(n) for j in range(n)]
 
-    def tables(batches):
+    def chunk_tables(batches):
         for g in _groups(batches, ["conv_id", "chunk"]):
             emit, out = _emissions(model, g), {}
             for i in range(n):
                 begin = np.full(n, -np.inf)
                 begin[i] = 0.0
                 score, _ = _viterbi(model, emit, begin)
-                out |= {f"m{i}{j}": [score[j]] for j in range(n)}
-            yield pd.DataFrame({"conv_id": [g["conv_id"].iloc[0]], "chunk": [g["chunk"].iloc[0]]} | out)
+                out |= {f"m{i}{j}": score[j:j + 1] for j in range(n)}
+            yield {"conv_id": g["conv_id"][:1], "chunk": g["chunk"][:1]} | out
 
-    def ends(batches):
+    def chunk_ends(batches):
         for g in _groups(batches, ["conv_id"]):
-            m = g[pairs].to_numpy().reshape(-1, n, n)
+            m = np.stack([g[p] for p in pairs], axis=1).reshape(-1, n, n)
             back, score = [], None
             for t in range(len(m)):
                 # entry[i]: best score before the chunk if it is entered in state i
@@ -178,20 +192,32 @@ def decode(rows: DataFrame, model: Model) -> DataFrame:
                 out.append((enter, last, before))
                 last = before
             out = np.array(out[::-1])
-            yield pd.DataFrame({"conv_id": g["conv_id"].to_numpy(), "chunk": g["chunk"].to_numpy(), "enter": out[:, 0], "leave": out[:, 1], "before": out[:, 2]})
+            yield {"conv_id": g["conv_id"], "chunk": g["chunk"], "enter": out[:, 0], "leave": out[:, 1], "before": out[:, 2]}
 
-    def roles(batches):
+    def line_roles(batches):
         for g in _groups(batches, ["conv_id", "chunk"]):
             begin = np.full(n, -np.inf)
-            begin[g["enter"].iloc[0]] = 0.0
+            begin[g["enter"][0]] = 0.0
             _, back = _viterbi(model, _emissions(model, g), begin)
-            path = _trace(back, int(g["leave"].iloc[0]))
-            prev = np.concatenate([[g["before"].iloc[0]], path[:-1]])
-            yield pd.DataFrame({"conv_id": g["conv_id"].to_numpy(), "turn": g["turn"].to_numpy(), "text": g["text"].to_numpy(),
-                                "role": [ROLES[p] for p in path], "new_turn": (path != prev) | (g["marker"].to_numpy() < n)})
+            path = _trace(back, int(g["leave"][0]))
+            prev = np.concatenate([g["before"][:1], path[:-1]])
+            yield {"conv_id": g["conv_id"], "turn": g["turn"], "text": g["text"],
+                   "role": np.array(ROLES, dtype=object)[path], "new_turn": (path != prev) | (g["marker"] < n)}
+
+    def tables(batches):
+        return _frames(chunk_tables(batches))
+
+    def ends(batches):
+        return _frames(chunk_ends(batches))
+
+    def roles(batches):
+        return _frames(line_roles(batches))
+
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def dealt(df, *keys):
-        return df.repartition(*[F.col(k) for k in keys])
+        # A stated width: the work per byte is high, so small partitions aren't merged.
+        return df.repartition(width, *[F.col(k) for k in keys])
 
     order = ["conv_id", "chunk", F.col("turn").asc_nulls_first(), "text"]
     chunks = (dealt(turns.select("conv_id", "chunk", "turn", "text", *FEATURES), "conv_id", "chunk").sortWithinPartitions(*order)
