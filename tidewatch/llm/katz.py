@@ -4,6 +4,7 @@ Texts are cut into blocks of a bounded number of tokens, each with its own
 vocabulary, so what is shuffled are the distinct words and distinct bigrams of
 a block with their counts, not tokens, and every answer goes back once per
 block.  Words are 64-bit hashes in the first exchange and numbers after it.
+Number columns travel packed (``pack``): by byte plane, compressed.
 """
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,15 +23,31 @@ from pyspark.sql import functions as F
 from tidewatch.llm.text import WordHasher, lower_space_words
 
 BLOCK_TOKENS = 1_500_000
+BUCKETS_PER_PARTITION = 4                # keeps the groups of one bucket small
 CUT = 5                                  # counts above are not discounted
 END = xxhash.xxh64_intdigest(b"\n")      # no word holds a newline
 UNKNOWN = 0                              # number of all words seen fewer than twice
 
 _BLOCK = ("block_id bigint, rid array<bigint>, ids array<string>, held array<boolean>, size array<int>, "
           "first bigint, vocab array<bigint>, token array<int>")
-_ASK_WORDS = "bucket int, block_id bigint, key array<bigint>, n array<int>"
-_ANSWER = ("block_id bigint, kind int, bucket int, id array<bigint>, n array<bigint>, total array<bigint>, "
-           "few array<int>, lower array<double>")
+_ASK_WORDS = "bucket int, block_id bigint, key binary, n binary"
+_ASK_PAIRS = "bucket int, block_id bigint, hist binary, size binary, w binary, n binary, wn binary"
+_ANSWER = "block_id bigint, kind int, bucket int, id binary, n binary, total binary, few binary, lower binary"
+
+
+def pack(a: np.ndarray) -> bytes:
+    """Whole numbers (64 bits) or doubles as one compressed value."""
+    wide = np.ascontiguousarray(a).astype("<f8" if a.dtype.kind == "f" else "<i8")
+    return zstandard.compress(wide.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack(b: bytes, kind: str = "<i8") -> np.ndarray:
+    raw = zstandard.decompress(b)
+    return np.frombuffer(raw, np.uint8).reshape(8, -1).T.copy().view(kind).ravel() if raw else np.empty(0, kind)
+
+
+def joined(column, kind: str = "<i8") -> np.ndarray:
+    return np.concatenate([unpack(b, kind) for b in column])
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -104,14 +122,13 @@ def _ask_words(buckets: int):
                     at = order[cut[k]:cut[k + 1]]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([k], pa.int32()), pa.array([b.column("block_id")[i].as_py()], pa.int64()),
-                        pa.array([vocab[at]], pa.list_(pa.int64())), pa.array([n[at]], pa.list_(pa.int32()))], names=["bucket", "block_id", "key", "n"])
+                        pa.array([pack(vocab[at])], pa.binary()), pa.array([pack(n[at])], pa.binary())], names=["bucket", "block_id", "key", "n"])
     return run
 
 
 def _answer(rows: list[dict]) -> pd.DataFrame:
-    empty = {"id": np.empty(0, np.int64), "n": np.empty(0, np.int64), "total": np.empty(0, np.int64),
-             "few": np.empty(0, np.int32), "lower": np.empty(0)}
-    return pd.DataFrame([empty | r for r in rows], columns=["block_id", "kind", "bucket", "id", "n", "total", "few", "lower"])
+    rows = [{c: pack(v) if isinstance(v, np.ndarray) else v for c, v in r.items()} for r in rows]
+    return pd.DataFrame(rows, columns=["block_id", "kind", "bucket", "id", "n", "total", "few", "lower"])
 
 
 def _count_words(buckets: int):
@@ -119,12 +136,13 @@ def _count_words(buckets: int):
     block that asked; one row (block -1) with tokens, words, hapaxes."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
         bucket = int(part["bucket"].iloc[0])
-        key, inv = np.unique(np.concatenate(part["key"].to_numpy()), return_inverse=True)
-        n = np.bincount(inv, weights=np.concatenate(part["n"].to_numpy()), minlength=len(key)).astype(np.int64)
+        keys = [unpack(k) for k in part["key"]]
+        key, inv = np.unique(np.concatenate(keys), return_inverse=True)
+        n = np.bincount(inv, weights=joined(part["n"]), minlength=len(key)).astype(np.int64)
         known = (n >= 2) | (key.view(np.uint64) == np.uint64(END))
         number = np.where(known, np.cumsum(known) * buckets + bucket, UNKNOWN)
         rows, at = [{"block_id": -1, "kind": 0, "bucket": bucket, "n": np.array([n.sum(), (n > 0).sum(), (n[~known] == 1).sum()])}], 0
-        for block, k in zip(part["block_id"], part["key"]):
+        for block, k in zip(part["block_id"], keys):
             own = inv[at:at + len(k)]
             at += len(k)
             rows.append({"block_id": block, "kind": 1, "bucket": bucket, "id": number[own], "n": n[own]})
@@ -145,8 +163,8 @@ class _Pairs:
         answers = answers[answers["kind"] == 1].sort_values("bucket")
         order, _ = _word_buckets(block["vocab"], buckets)
         self.word_id, self.word_n = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        self.word_id[order] = np.concatenate(answers["id"].to_numpy())
-        self.word_n[order] = np.concatenate(answers["n"].to_numpy())
+        self.word_id[order] = joined(answers["id"])
+        self.word_n[order] = joined(answers["n"])
         token = block["token"]
         before = int(np.nonzero(block["vocab"] == block["first"])[0][0])
         # Words under one number count as one: their class is the first of them.
@@ -181,7 +199,7 @@ def _block(part: pd.DataFrame) -> dict:
     return {c: (row[c] if c in ("block_id", "first") else np.asarray(row[c])) for c in part.columns}
 
 
-def _ask_pairs(n_tokens: int, n_hapax: int, buckets: int, kind):
+def _ask_pairs(n_tokens: int, n_hapax: int, buckets: int):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         if not len(blocks):
             return pd.DataFrame({"bucket": [], "block_id": [], "hist": [], "size": [], "w": [], "n": [], "wn": []})
@@ -192,8 +210,7 @@ def _ask_pairs(n_tokens: int, n_hapax: int, buckets: int, kind):
         for k in range(buckets):
             at, hs = p.order[p.pair_cut[k]:p.pair_cut[k + 1]], slice(p.hist_cut[k], p.hist_cut[k + 1])
             if hs.stop > hs.start:
-                rows.append((k, block["block_id"], p.uniq[p.hist[hs]].astype(kind), p.hist_size[hs].astype(np.int32), p.uniq[p.pw[at]].astype(kind),
-                             n[at], p.class_n[p.pw[at]]))
+                rows.append((k, block["block_id"], *map(pack, (p.uniq[p.hist[hs]], p.hist_size[hs], p.uniq[p.pw[at]], n[at], p.class_n[p.pw[at]]))))
         return pd.DataFrame(rows, columns=["bucket", "block_id", "hist", "size", "w", "n", "wn"])
     return run
 
@@ -203,15 +220,14 @@ def _count_pairs(n_total: int):
     backoff weight needs: its total, how many continuations were seen once,
     twice ... CUT times, and the unigram mass of the seen ones."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
-        hist = np.concatenate(part["hist"].to_numpy()).astype(np.int64)
-        size = np.concatenate(part["size"].to_numpy())
-        w = np.concatenate(part["w"].to_numpy()).astype(np.int64)
+        hists, words = [unpack(x) for x in part["hist"]], [unpack(x) for x in part["w"]]
+        hist, w, size = np.concatenate(hists), np.concatenate(words), joined(part["size"])
         uh, hinv = np.unique(hist, return_inverse=True)
         uw, winv = np.unique(w, return_inverse=True)
         pair, inv = np.unique(np.repeat(hinv, size) * np.int64(len(uw) or 1) + winv, return_inverse=True)
-        n = np.bincount(inv, weights=np.concatenate(part["n"].to_numpy()), minlength=len(pair)).astype(np.int64)
+        n = np.bincount(inv, weights=joined(part["n"]), minlength=len(pair)).astype(np.int64)
         wn = np.zeros(len(pair))
-        wn[inv] = np.concatenate(part["wn"].to_numpy())
+        wn[inv] = joined(part["wn"])
         ph, seen, m = pair // (len(uw) or 1), n > 0, len(uh)
         total = np.bincount(ph[seen], weights=n[seen], minlength=m).astype(np.int64)
         few = np.stack([np.bincount(ph[n == r], minlength=m) for r in range(1, CUT + 1)], axis=1).astype(np.int32)
@@ -219,7 +235,7 @@ def _count_pairs(n_total: int):
         bucket = int(part["bucket"].iloc[0])
         rows = [{"block_id": -1, "kind": 0, "bucket": bucket, "n": np.array([(n == r).sum() for r in range(1, CUT + 2)])}]
         ha = pa_ = 0
-        for block, hs, ws in zip(part["block_id"], part["hist"], part["w"]):
+        for block, hs, ws in zip(part["block_id"], hists, words):
             own, at = hinv[ha:ha + len(hs)], inv[pa_:pa_ + len(ws)]
             ha, pa_ = ha + len(hs), pa_ + len(ws)
             rows.append({"block_id": block, "kind": 2, "bucket": bucket, "n": n[at], "total": total[own], "few": few[own].ravel(), "lower": lower[own]})
@@ -268,12 +284,12 @@ def _score(n_tokens: int, n_words: int, n_hapax: int, n_total: int, buckets: int
         p = _Pairs(block, answers, n_tokens, n_hapax, buckets)
         got = answers[answers["kind"] == 2].sort_values("bucket")
         n = np.empty(len(p.ph), np.int64)
-        n[p.order] = np.concatenate(got["n"].to_numpy())
+        n[p.order] = joined(got["n"])
         m = len(p.uniq)
-        total = np.bincount(p.hist, weights=np.concatenate(got["total"].to_numpy()), minlength=m).astype(np.int64)
-        few = np.concatenate([np.asarray(x) for x in got["few"]]).reshape(-1, CUT)
+        total = np.bincount(p.hist, weights=joined(got["total"]), minlength=m).astype(np.int64)
+        few = joined(got["few"]).reshape(-1, CUT)
         few = np.stack([np.bincount(p.hist, weights=few[:, i], minlength=m) for i in range(CUT)], axis=1)
-        lower = np.bincount(p.hist, weights=np.concatenate(got["lower"].to_numpy()), minlength=m)
+        lower = np.bincount(p.hist, weights=joined(got["lower"], "<f8"), minlength=m)
         denominator, weight = backoff(total, few, lower, d)
         factor = np.where(n <= CUT, np.append(d, 1.0)[np.clip(n - 1, 0, CUT)], 1.0)
         factor = np.where(weight[p.ph] < 0, 1.0, factor)
@@ -293,6 +309,9 @@ def _score(n_tokens: int, n_words: int, n_hapax: int, n_total: int, buckets: int
     return run
 
 
+_SCORES = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double", "train_tokens": "bigint"}
+
+
 def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """(id string, held, n_tokens, n_known, train_tokens, base_score, score)
     per input row, trained on the rows where ``held_out`` is false.
@@ -310,33 +329,33 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block
     the joins with the answers don't move them.
     """
     spark = docs.sparkSession
-    where, buckets = shared_dir(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    where, width = shared_dir(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = BUCKETS_PER_PARTITION * width
     table = "katz_blocks_" + where.rsplit("-", 1)[1]
     rows = docs.select(F.col(id_col).cast("string").alias("id"), "text", F.coalesce(held_out, F.lit(False)).alias("held"))
     (rows.mapInArrow(_blocks(block_tokens), _BLOCK).write.option("path", f"{where}/blocks").option("compression", "zstd")
-     .bucketBy(buckets, "block_id").saveAsTable(table))
+     .bucketBy(width, "block_id").saveAsTable(table))
     blocks = spark.table(table)
 
     def stored(answers: DataFrame, name: str) -> DataFrame:
-        answers.write.option("compression", "zstd").parquet(f"{where}/{name}")
+        answers.write.option("compression", "none").parquet(f"{where}/{name}")
         return spark.read.schema(_ANSWER).parquet(f"{where}/{name}")
 
-    def sums(answers: DataFrame, n: int) -> list[int]:
-        got = answers.where("block_id = -1").agg(*[F.sum(F.col("n")[i]) for i in range(n)]).first()
-        return [int(x or 0) for x in got]
+    def sums(answers: DataFrame) -> list[int]:
+        """Of the one row per bucket that carries totals."""
+        return sum(unpack(r.n) for r in answers.where("block_id = -1").select("n").collect()).tolist()
 
     words = stored(blocks.select("block_id", "held", "size", "vocab", "token").mapInArrow(_ask_words(buckets), _ASK_WORDS)
                    .groupBy("bucket").applyInPandas(_count_words(buckets), _ANSWER), "words")
-    n_tokens, n_words, n_hapax = sums(words, 3)
+    if words.isEmpty():
+        return rows.select("id", "held", *[F.lit(None).cast(k).alias(c) for c, k in _SCORES.items()]).limit(0)
+    n_tokens, n_words, n_hapax = sums(words)
     n_total = n_tokens + (n_hapax == 0)
-    wide = (n_words + 1) * buckets >= 2 ** 31
-    kind = "bigint" if wide else "int"
-    pairs_schema = f"bucket int, block_id bigint, hist array<{kind}>, size array<int>, w array<{kind}>, n array<int>, wn array<bigint>"
     answers = words.where("kind = 1")
     asked = (blocks.groupBy("block_id").cogroup(answers.groupBy("block_id"))
-             .applyInPandas(_ask_pairs(n_tokens, n_hapax, buckets, np.int64 if wide else np.int32), pairs_schema))
+             .applyInPandas(_ask_pairs(n_tokens, n_hapax, buckets), _ASK_PAIRS))
     pairs = stored(asked.groupBy("bucket").applyInPandas(_count_pairs(n_total), _ANSWER), "bigrams")
-    d = discounts(np.array(sums(pairs, CUT + 1)))
+    d = discounts(np.array(sums(pairs)))
     scored = blocks.groupBy("block_id").cogroup(answers.unionByName(pairs.where("kind = 2")).groupBy("block_id")).applyInPandas(
         _score(n_tokens, n_words, n_hapax, n_total, buckets, d),
         "rid bigint, id string, held boolean, n_tokens bigint, n_known bigint, base double, score double")
