@@ -1,13 +1,16 @@
 """Whole results where a shortcut would lose some: each test failed before its fix."""
+import collections
 import itertools
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
 
-from tidewatch.llm import passages
+from tidewatch.llm import katz, passages
 
-from .common import classes, space_words
+from .common import SF, classes, space_words, texts_of
 
 
 def grams(t):
@@ -64,3 +67,21 @@ def test_settled_cells_have_the_classes_of_all_pairs(seed):
     pairs = [(h, x) for h, x in itertools.permutations(range(n), 2) if linked(h, x)]
     assert classes(range(n), [(u, v) for u, v, *_ in got]) == classes(range(n), pairs)
     assert len(got) < n
+
+
+def test_katz_scores_words_not_their_class(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    junk = next(i for i in itertools.count(10 ** 6) if zlib.crc32(str(i).encode()) % 7 == 2)
+    docs = docs.unionByName(spark.createDataFrame([(junk, " ".join(f"zq{i}xv" for i in range(200)))], docs.schema))
+    got = {r.doc_id: r for r in katz.katz_report(docs).collect()}
+    texts = texts_of(docs)
+    held = {i for i, r in got.items() if r.held_out}
+    c = collections.Counter(w for i, t in texts.items() if i not in held for w in space_words(t))
+    n1, n2 = (sum(k == r for k in c.values()) for r in (1, 2))
+    members = n1 + n1 * (n1 - 1) / (2 * (n2 + 1))
+    by_class = {int(r.id): r.score for r in katz.katz_scores(docs, katz.F.crc32(katz.F.col("doc_id").cast("string")) % 7 == 2).collect()}
+    for i, r in got.items():
+        unknown = sum(c[w] < 2 for w in space_words(texts[i]))
+        assert r.score == pytest.approx(by_class[i] - unknown * math.log10(members), abs=1e-6)
+    each = [got[i].score / got[i].n_tokens for i in held - {junk} if got[i].n_tokens >= 50]
+    assert got[junk].score / got[junk].n_tokens < min(each)

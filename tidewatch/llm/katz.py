@@ -133,7 +133,7 @@ def _answer(rows: list[dict]) -> pd.DataFrame:
 
 def _count_words(buckets: int):
     """Group of one bucket: global counts and numbers of its words, for each
-    block that asked; one row (block -1) with tokens, words, hapaxes."""
+    block that asked; one row (block -1) with tokens, words, hapaxes, words seen twice."""
     def run(part: pd.DataFrame) -> pd.DataFrame:
         bucket = int(part["bucket"].iloc[0])
         keys = [unpack(k) for k in part["key"]]
@@ -141,7 +141,7 @@ def _count_words(buckets: int):
         n = np.bincount(inv, weights=joined(part["n"]), minlength=len(key)).astype(np.int64)
         known = (n >= 2) | (key.view(np.uint64) == np.uint64(END))
         number = np.where(known, np.cumsum(known) * buckets + bucket, UNKNOWN)
-        rows, at = [{"block_id": -1, "kind": 0, "bucket": bucket, "n": np.array([n.sum(), (n > 0).sum(), (n[~known] == 1).sum()])}], 0
+        rows, at = [{"block_id": -1, "kind": 0, "bucket": bucket, "n": np.array([n.sum(), (n > 0).sum(), (n[~known] == 1).sum(), (n[key.view(np.uint64) != np.uint64(END)] == 2).sum()])}], 0
         for block, k in zip(part["block_id"], keys):
             own = inv[at:at + len(k)]
             at += len(k)
@@ -275,7 +275,14 @@ def backoff(total: np.ndarray, few: np.ndarray, lower: np.ndarray, d: np.ndarray
     return np.where(whole, total, denominator), np.where(whole, -1.0, weight)
 
 
-def _score(n_tokens: int, n_words: int, n_hapax: int, n_total: int, buckets: int, d: np.ndarray):
+def unknown_words(n_hapax: int, n_twice: int) -> float:
+    """Number of words in the class UNKNOWN: those seen once, and the unseen
+    ones by Chao's estimate.  With it the Good-Turing shares of a word seen
+    once and of an unseen word are the same (but for its bias correction)."""
+    return max(1.0, n_hapax + n_hapax * (n_hapax - 1) / (2 * (n_twice + 1)))
+
+
+def _score(n_tokens: int, n_words: int, n_hapax: int, n_total: int, buckets: int, d: np.ndarray, members: float):
     def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         names = ["rid", "id", "held", "n_tokens", "n_known", "base", "score"]
         if not len(blocks):
@@ -295,7 +302,7 @@ def _score(n_tokens: int, n_words: int, n_hapax: int, n_total: int, buckets: int
         factor = np.where(weight[p.ph] < 0, 1.0, factor)
         seen = factor * n / np.maximum(denominator[p.ph], 1)
         unseen = np.abs(weight[p.ph]) * p.class_n[p.pw] / n_total
-        value = np.log10(np.where(n > 0, seen, unseen))
+        value = np.log10(np.where(n > 0, seen, unseen)) - np.where(p.uniq[p.pw] == UNKNOWN, np.log10(members), 0.0)
         c = p.word_n[p.token]
         base = np.log10((c + 1.0) / (n_tokens + n_words + 1.0))
         ends = np.cumsum(block["size"])
@@ -312,12 +319,14 @@ def _score(n_tokens: int, n_words: int, n_hapax: int, n_total: int, buckets: int
 _SCORES = {"n_tokens": "bigint", "n_known": "bigint", "base_score": "double", "score": "double", "train_tokens": "bigint"}
 
 
-def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block_tokens: int = BLOCK_TOKENS, by_word: bool = False) -> DataFrame:
     """(id string, held, n_tokens, n_known, train_tokens, base_score, score)
     per input row, trained on the rows where ``held_out`` is false.
 
     Words seen fewer than twice in training form one class, whose probability
-    is the share of words seen once (the Good-Turing mass of the unseen).  A
+    is the share of words seen once (the Good-Turing mass of the unseen);
+    ``by_word`` divides it by the number of words in the class, so that the
+    probabilities are of words, otherwise a token of it counts as the class.  A
     bigram's probability is its discounted share of its history, or the
     history's backoff weight times the unigram probability; the end of the
     text before is the history of a text's first word.
@@ -349,7 +358,7 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block
                    .groupBy("bucket").applyInPandas(_count_words(buckets), _ANSWER), "words")
     if words.isEmpty():
         return rows.select("id", "held", *[F.lit(None).cast(k).alias(c) for c, k in _SCORES.items()]).limit(0)
-    n_tokens, n_words, n_hapax = sums(words)
+    n_tokens, n_words, n_hapax, n_twice = sums(words)
     n_total = n_tokens + (n_hapax == 0)
     answers = words.where("kind = 1")
     asked = (blocks.groupBy("block_id").cogroup(answers.groupBy("block_id"))
@@ -357,7 +366,7 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block
     pairs = stored(asked.groupBy("bucket").applyInPandas(_count_pairs(n_total), _ANSWER), "bigrams")
     d = discounts(np.array(sums(pairs)))
     scored = blocks.groupBy("block_id").cogroup(answers.unionByName(pairs.where("kind = 2")).groupBy("block_id")).applyInPandas(
-        _score(n_tokens, n_words, n_hapax, n_total, buckets, d),
+        _score(n_tokens, n_words, n_hapax, n_total, buckets, d, unknown_words(n_hapax, n_twice) if by_word else 1.0),
         "rid bigint, id string, held boolean, n_tokens bigint, n_known bigint, base double, score double")
     return scored.groupBy("rid", "id", "held").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.sum("base").alias("base_score"),
                                                    F.sum("score").alias("score")).withColumn("train_tokens", F.lit(n_tokens).cast("bigint")).drop("rid")
@@ -366,6 +375,6 @@ def katz_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", block
 def katz_report(docs: DataFrame) -> DataFrame:
     """Scores of all documents; those whose crc32(doc_id as text) mod 7 is 2 are held out."""
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
-    s = katz_scores(docs.select("doc_id", "text"), held)
+    s = katz_scores(docs.select("doc_id", "text"), held, by_word=True)
     return s.select(F.col("id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("held").alias("held_out"),
                     "n_tokens", "n_known", "train_tokens", "base_score", "score")
