@@ -8,9 +8,9 @@ import zlib
 import numpy as np
 import pytest
 
-from tidewatch.llm import katz, passages
+from tidewatch.llm import katz, passages, simhash
 
-from .common import SF, classes, space_words, texts_of
+from .common import SF, classes, edge_table, space_words, texts_of
 
 
 def grams(t):
@@ -85,3 +85,13 @@ def test_katz_scores_words_not_their_class(spark):
         assert r.score == pytest.approx(by_class[i] - unknown * math.log10(members), abs=1e-6)
     each = [got[i].score / got[i].n_tokens for i in held - {junk} if got[i].n_tokens >= 50]
     assert got[junk].score / got[junk].n_tokens < min(each)
+
+
+def test_null_ids_keep_a_row_per_class(spark):
+    docs = edge_table(spark)
+    row = docs.where("doc_id = 5").first().asDict()
+    texts = ["one two three four", "one two three four", "quite another matter here", "and a third thing entirely", "alpha beta gamma"]
+    extra = spark.createDataFrame([{**row, "doc_id": None, "text": t} for t in texts], docs.schema)
+    kept = simhash.drop_near_duplicates(docs.unionByName(extra)).collect()
+    assert sorted(r.text for r in kept if r.doc_id is None) == sorted(set(texts[:4]))
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [1, 4, 5, 6, 7, 8]

@@ -37,12 +37,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<i8")[0])
 
 
-def with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+def _fingerprints(shingle: int):
     @F.pandas_udf("bigint")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for t in texts:
             yield t.map(lambda x: fingerprint(x, shingle)).astype("int64")
-    return docs.select("doc_id", fp("text").alias("fp"))
+    return fp
+
+
+def with_fingerprint(docs: DataFrame, shingle: int) -> DataFrame:
+    return docs.select("doc_id", _fingerprints(shingle)("text").alias("fp"))
 
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -200,6 +204,17 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, leaf_points: int = LEAF
     return sent.groupBy("leaf").applyInPandas(search, "u bigint, v bigint")
 
 
+def _classes(docs: DataFrame, shingle: int, max_bits: int, leaf_points: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
+    marked = with_fingerprint(docs.select("doc_id", "text"), shingle).checkpoint()
+    points = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    points = points.checkpoint()
+    roots = components(near_links(points.select("fp"), max_bits, leaf_points))
+    rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked, rooted.join(names, "root").select("fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf_points: int = LEAF_POINTS) -> DataFrame:
     """(doc_id, fp, component_id) per input row.
 
@@ -210,31 +225,31 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     never name a class unless it has no other.  Repeated rows give repeated
     results.  An empty table gives an empty result.
     """
-    marked = with_fingerprint(docs.select("doc_id", "text"), shingle).checkpoint()
-    points = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    points = points.checkpoint()
-    roots = components(near_links(points.select("fp"), max_bits, leaf_points))
-    rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.join(names, "root").select("fp", "component_id")
+    marked, classes = _classes(docs, shingle, max_bits, leaf_points)
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One document of each class: the one with the smallest doc_id.
 
-    Rows that repeat a doc_id (or have none) can't be told apart by it; of
-    those that stand for a class one row stays.
+    A class of null ids only keeps one row.  Rows that repeat an id can't be
+    told apart by it; of those that stand for a class one row stays.
     """
-    marked = near_duplicates(docs, shingle, max_bits)
-    stay = (marked.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id")
+    marked, classes = _classes(docs, shingle, max_bits, LEAF_POINTS)
+    classes = classes.checkpoint()
+    stay = (marked.join(classes, "fp").where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
             .agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("_id"), "n").checkpoint())
-    single = docs.join(stay.where("n = 1 and _id is not null"), F.col("doc_id") == F.col("_id"), "left_semi")
-    several = stay.where("n > 1 or _id is null")
-    if several.isEmpty():
-        return single
-    again = docs.join(several, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(again)
+    kept = docs.join(stay.where("n = 1"), F.col("doc_id") == F.col("_id"), "left_semi")
+    several = stay.where("n > 1")
+    if not several.isEmpty():
+        kept = kept.unionByName(docs.join(several, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
+    nameless = classes.where("component_id is null").select("fp", "root")
+    if not nameless.isEmpty():
+        # The rows travel as a struct: columns of docs may be called fp or root.
+        rows = (docs.where("doc_id is null").select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+                .select("row", _fingerprints(shingle)("text").alias("fp")))
+        kept = kept.unionByName(rows.join(nameless, "fp").dropDuplicates(["root"]).select("row.*"))
+    return kept
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
