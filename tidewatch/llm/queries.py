@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewatch.llm import chat, katz, licenses, packing, passages, pii, quality, secrets, simhash, winnow
+from tidewatch.llm import bpe, chat, fim, katz, licenses, merkle, packing, passages, pii, quality, secrets, simhash, winnow
 from tidewatch.llm.sql import ORACLE_SQL  # noqa: F401
 from tidewatch.session import ensure_checkpoint_dir
 
@@ -54,6 +54,19 @@ def op10_quality_rules(spark, sf_dir):
     return quality.quality_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark, sf_dir):
+    return fim.fim_report(_table(spark, sf_dir, "documents"))
+
+
+def op13_bpe(spark, sf_dir):
+    return bpe.bpe_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_substring_dedup, op3_packing, op4_pii, op5_license_scan, op6_chat_format,
-    op7_simhash_near_dedup, op8_katz_scores, op9_decontamination, op10_quality_rules)}
+    op7_simhash_near_dedup, op8_katz_scores, op9_decontamination, op10_quality_rules,
+    op11_merkle_manifest, op12_fill_in_middle, op13_bpe)}

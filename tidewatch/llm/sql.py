@@ -201,3 +201,72 @@ FROM documents d LEFT JOIN f USING (doc_id)
 
 
 ORACLE_SQL = {"op1_secret_scan": OP1, "op3_packing": OP3, "op4_pii": _pii(), "op9_decontamination": OP9, "op10_quality_rules": OP10}
+
+# CRC-32 of a decimal id: per byte an exclusive or, then eight shifts by the
+# reflected polynomial (-1 marks a shift).
+_CRC32 = """xor(4294967295::UBIGINT, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({0}, ''), lambda ch: [ascii(ch)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END)::UBIGINT)"""
+
+
+def _digest(n_chars: str) -> str:
+    def field(c):
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE concat(strlen({c}::VARCHAR), ':', {c}::VARCHAR) END"
+    return "sha256(concat(" + ", ".join(field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + "))"
+
+
+def _tree(name: str, start: str) -> str:
+    """CTE (key, lvl, idx, n, digest): all nodes of the trees over ``start``
+    (key, idx, n, digest); n counts the nodes of the level."""
+    return f"""
+{name} AS (
+  SELECT key, 0 AS lvl, idx, n, digest FROM {start}
+  UNION ALL
+  SELECT key, lvl + 1, idx // 2, any_value((n + 1) // 2), sha256(string_agg(digest, '' ORDER BY idx)) FROM {name}
+  WHERE n > 1 GROUP BY key, lvl, idx // 2)"""
+
+
+OP11 = f"""
+WITH RECURSIVE leaf AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce('=' || lang, '-') AS key, {_digest('n_chars')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND {_CRC32.format('doc_id::VARCHAR')} % 7 = 0 THEN {_digest('(n_chars::BIGINT + 1)')} ELSE {_digest('n_chars')} END AS other FROM documents),
+base AS (SELECT r, doc_id, leaf, other, key, leaf AS digest, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx,
+                count(*) OVER (PARTITION BY key) AS n FROM leaf),
+{_tree('low', 'base')},
+sub AS (SELECT '' AS key, key AS lang, digest, row_number() OVER (ORDER BY key) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1),
+{_tree('high', 'sub')},
+steps AS (
+  SELECT r, lvl AS depth, idx_at, (SELECT digest FROM low s WHERE s.key = x.key AND s.lvl = x.lvl AND s.idx = xor(x.idx_at, 1)) AS sib
+  FROM (SELECT b.r, b.key, l.lvl, b.idx >> l.lvl AS idx_at FROM base b JOIN (SELECT DISTINCT key, lvl FROM low WHERE n > 1) l USING (key)) x
+  UNION ALL
+  SELECT r, 1000 + lvl, idx_at, (SELECT digest FROM high s WHERE s.lvl = x.lvl AND s.idx = xor(x.idx_at, 1))
+  FROM (SELECT b.r, l.lvl, sub.idx >> l.lvl AS idx_at FROM base b JOIN sub ON sub.lang = b.key JOIN (SELECT DISTINCT lvl FROM high WHERE n > 1) l ON true) x),
+path AS (
+  SELECT r, list(CASE WHEN sib IS NULL THEN '' WHEN idx_at % 2 = 1 THEN 'L' || sib ELSE 'R' || sib END ORDER BY depth) AS p,
+         coalesce(string_agg(sib, '' ORDER BY depth), '') AS sibs FROM steps GROUP BY r),
+folded AS (
+  SELECT b.doc_id, b.leaf, sub.digest AS subroot, (SELECT digest FROM high WHERE n = 1) AS root, sha256(coalesce(sibs, '')) AS proof_sha256,
+         list_reduce(list_prepend(b.other, coalesce(p, [])), lambda acc, x: sha256(CASE WHEN x[1] = 'L' THEN x[2:] || acc ELSE acc || x[2:] END)) AS folded_root
+  FROM base b JOIN sub ON sub.lang = b.key LEFT JOIN path USING (r))
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+OP12 = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS UBIGINT) % (len(u) + 1) AS c1, CAST('0x' || h[9:16] AS UBIGINT) % (len(u) + 1) AS c2,
+         CAST('0x' || h[17:24] AS UBIGINT) % 100 AS form_at, CAST('0x' || h[25:32] AS UBIGINT) % 100 AS order_at FROM units),
+cut AS (
+  SELECT *, array_to_string(u[1:least(c1, c2)], '') AS pre, array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS mid,
+         array_to_string(u[greatest(c1, c2) + 1:], '') AS suf,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR form_at >= 90 THEN 'plain'
+              WHEN order_at < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid) ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+ORACLE_SQL |= {"op11_merkle_manifest": OP11, "op12_fill_in_middle": OP12}
