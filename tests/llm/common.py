@@ -90,6 +90,6 @@ def same(a: pd.DataFrame, b: pd.DataFrame) -> None:
     assert cols == sorted(b.columns)
 
     def rows(df):
-        return sorted((tuple(None if v is None or v != v else v.item() if isinstance(v, np.generic) else v for v in r)
+        return sorted((tuple(None if v is None or v is pd.NA or v != v else v.item() if isinstance(v, np.generic) else v for v in r)
                        for r in df[cols].itertuples(index=False, name=None)), key=str)
     assert rows(a) == rows(b)
