@@ -78,6 +78,7 @@ PRIORITY_FACTORS = {"low": 0.5, "normal": 1.0, "high": 2.0, "critical": 3.0}
 # Detector parameters.
 SHORT_WINDOW_S, MEDIUM_WINDOW_S, LONG_WINDOW_S = 300, 1800, 7200
 SHORT_CAP, MEDIUM_CAP, LONG_CAP = 100, 200, 500
+REFRESH_EVERY = 100  # posts between two baseline refreshes
 VOLUME_SPIKE_Z = 3.0
 SENTIMENT_SHIFT = 0.4
 KEYWORD_Z = 2.5

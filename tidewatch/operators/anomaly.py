@@ -5,12 +5,11 @@ every series is keyed (default key: ``country``) and ordered by event time
 (ts, post_seq), so reruns agree and the work spreads over the cluster.
 
 Hot keys.  A keyed window puts a key's rows in one task.  Because every
-detector frame is bounded by ``window_s`` seconds, rows are instead
-partitioned by (key, time chunk) and each chunk also receives a *halo*: a
-copy of the rows from the last ``window_s`` seconds of the previous chunk.
-Frames computed inside a chunk are then exact, and one key with a third of
-the rows is still split into many tasks.  Halo rows are dropped after the
-window pass.
+detector frame is bounded by ``cap`` rows, rows are instead numbered per key
+(``with_key_index``) and partitioned by (key, chunk of numbers); each chunk
+also receives a *halo*, a copy of the rows just before it.  Frames computed
+inside a chunk are then exact, and one key with a third of the rows is still
+split into many tasks.  Halo rows are dropped after the window pass.
 """
 from __future__ import annotations
 
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from tidewatch import constants as K
 from tidewatch.functions import text as tx
 from tidewatch.operators.lookups import map_lookup, small_side
+from tidewatch.session import ensure_checkpoint_dir
 
 MICROS = 1_000_000
 EPOCH_US = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
@@ -78,19 +78,31 @@ def with_metrics(df: DataFrame, sentiment: str = "sentiment_score") -> DataFrame
 
 # ---- C3, C18, C6, C7, C10: bounded frames -------------------------------------------
 
-def with_key_index(df: DataFrame, keys=("country",), chunk_s: int = 3600) -> DataFrame:
-    """Per-key post index ``g`` (1-based, order ts, post_seq) without a
-    key-wide sort: counts per (key, time chunk) give offsets on the small
-    chunk table, then a row number inside each chunk."""
-    keys = list(keys)
-    d = df.withColumn("_chunk", F.floor(ts_micros("ts") / (chunk_s * MICROS)))
-    counts = d.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
-    wo = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
-    w = Window.partitionBy(*keys, "_chunk").orderBy("ts", "post_seq")
-    return (d.join(offs, keys + ["_chunk"])
-             .withColumn("g", F.col("_off") + F.row_number().over(w))
-             .drop("_chunk", "_off"))
+def with_key_index(df: DataFrame, keys=("country",), order=("ts", "post_seq")) -> DataFrame:
+    """Per-key post index ``g`` (1-based, in ``order``) without a key-wide sort.
+
+    Rows are sorted once by ranges of (key, order), so a hot key, hour or
+    second spreads over tasks.  The counts per (key, task) give each task the
+    index at which it begins: a prefix sum over one small row per key and
+    task.  ``df`` is checkpointed before it is sampled and sorted, so it is
+    computed once, and again after, so task numbers stay what was counted.
+    Null keys are a key of their own.
+    """
+    keys, spark = list(keys), df.sparkSession
+    ensure_checkpoint_dir(spark)
+    by = [*[F.col(k).asc_nulls_first() for k in keys], *[F.col(o).asc_nulls_first() for o in order]]
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = (df.checkpoint().repartitionByRange(width, *by).sortWithinPartitions(*by)
+            .withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}).checkpoint())
+    sizes = rows.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = small_side(sizes.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_part").alias("_p"),
+                                     (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
+    same = F.col("_part") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return (rows.join(begins, same).withColumn("g", F.col("_at") + F.col("_shift"))
+            .drop("_part", "_at", "_p", "_shift", *[f"_k_{k}" for k in keys]))
 
 
 def index_chunks(df: DataFrame, chunk: int, halo: int) -> DataFrame:
@@ -151,17 +163,23 @@ def bucket_baselines(df: DataFrame, keys=("country",), bucket: str = "day",
     keys = list(keys)
     b = df.select(*keys, F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz").alias("bucket"),
                   *METRICS)
-    q = b.groupBy(*keys, "bucket").agg(
+    return fenced_statistics(b, [*keys, "bucket"], iqr_k, min_samples)
+
+
+def fenced_statistics(b: DataFrame, group: list[str], iqr_k: float = 1.5, min_samples: int = K.MIN_SAMPLES) -> DataFrame:
+    """n and, per metric, mean and population std (floor 0.01) of the values
+    inside the fence, for every group; null below ``min_samples`` rows."""
+    q = b.groupBy(*group).agg(
         F.count(F.lit(1)).alias("n"),
         *[F.percentile(m, [0.25, 0.75]).alias(f"_q_{m}") for m in METRICS])
-    j = b.join(q, keys + ["bucket"])
+    j = b.join(q, group)
     aggs = []
     for m in METRICS:
         q1, q3 = F.col(f"_q_{m}")[0], F.col(f"_q_{m}")[1]
         lo, hi = q1 - iqr_k * (q3 - q1), q3 + iqr_k * (q3 - q1)
         inside = F.when((F.col(m) >= lo) & (F.col(m) <= hi), F.col(m))
         aggs += [F.avg(inside).alias(f"{m}_mean"), F.stddev_pop(inside).alias(f"{m}_std")]
-    s = j.groupBy(*keys, "bucket").agg(F.first("n").alias("n"), *aggs)
+    s = j.groupBy(*group).agg(F.first("n").alias("n"), *aggs)
     ok = F.col("n") >= min_samples
     out = s
     for m in METRICS:
@@ -173,6 +191,57 @@ def bucket_baselines(df: DataFrame, keys=("country",), bucket: str = "day",
     return out
 
 
+def indexed_baselines(df: DataFrame, keys=("country",), every: int = K.REFRESH_EVERY, cap: int = K.LONG_CAP,
+                      window_s: int = K.LONG_WINDOW_S, after: DataFrame | None = None) -> DataFrame:
+    """One baseline per ``every``-th post of a key, as (keys, block,
+    b_<metric>_mean, b_<metric>_std).  Block j is refreshed at post j * every
+    (that post included) from the last ``cap`` posts of the key that are not
+    older than ``window_s`` seconds before it; a metric without a fence of
+    enough posts keeps what was in force.
+
+    ``df`` carries ``g``.  Every post is dealt to the blocks whose frame it is
+    in, so a group has ``cap`` rows at most and a hot key is many groups.
+    ``after`` (keys, block and the b_ columns) says what was in force when
+    ``df`` begins; only later blocks are computed then.
+    """
+    keys = list(keys)
+    frames = df.select(*keys, "g", ts_micros("ts").alias("_us"), *METRICS).withColumn(
+        "block", F.explode(F.sequence(F.ceil(F.col("g") / every), F.floor((F.col("g") + cap - 1) / every))))
+    ends = df.where(F.col("g") % every == 0).select(*keys, (F.col("g") / every).cast("bigint").alias("block"), ts_micros("ts").alias("_end"))
+    if after is not None:
+        known = after.select(*keys, F.col("block").alias("_known"))
+        ends = ends.join(known, keys, "left").where("_known is null or block > _known").drop("_known")
+    inside = frames.join(ends, [*keys, "block"]).where(F.col("_us") >= F.col("_end") - window_s * MICROS)
+    stats = fenced_statistics(inside.select(*keys, "block", *METRICS), [*keys, "block"])
+    named = stats.select(*keys, "block", *[F.col(f"{m}_{x}").alias(f"b_{m}_{x}") for m in METRICS for x in ("mean", "std")])
+    if after is not None:
+        named = named.unionByName(after.select(*named.columns))
+    return _carried(named, keys)
+
+
+def _carried(stats: DataFrame, keys: list[str], chunk: int = 10_000) -> DataFrame:
+    """Nulls of the b_ columns filled with the key's last value before them.
+    Blocks are carried inside chunks; what a chunk begins with comes from the
+    last values of the chunks before it (one row per chunk)."""
+    cols = [f"b_{m}_{x}" for m in METRICS for x in ("mean", "std")]
+    d = stats.withColumn("_c", F.floor(F.col("block") / chunk))
+    lasts = d.groupBy(*keys, "_c").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("block"))).alias(c) for c in cols])
+    wc = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
+    begin = lasts.select(*keys, "_c", *[F.last(c, ignorenulls=True).over(wc).alias("_" + c) for c in cols])
+    w = Window.partitionBy(*keys, "_c").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (d.join(begin, [*keys, "_c"]).select(*keys, "block", *[F.coalesce(F.last(c, ignorenulls=True).over(w), F.col("_" + c)).alias(c) for c in cols]))
+
+
+def attach_indexed_baselines(df: DataFrame, baselines: DataFrame, keys=("country",), every: int = K.REFRESH_EVERY) -> DataFrame:
+    """C5 as of: post g gets block floor(g / every), or the defaults."""
+    keys = list(keys)
+    j = df.withColumn("block", F.floor(F.col("g") / every)).join(baselines, [*keys, "block"], "left")
+    for m in METRICS:
+        for x, default in zip(("mean", "std"), K.DEFAULT_BASELINES[m]):
+            j = j.withColumn(f"b_{m}_{x}", F.coalesce(f"b_{m}_{x}", F.lit(default)))
+    return j
+
+
 def baselines_in_force(stats: DataFrame, keys=("country",)) -> DataFrame:
     """C5 + J4: the baseline applying to a bucket is the latest *earlier*
     bucket's statistics (carried forward), else the defaults.  Runs on the
@@ -225,6 +294,11 @@ def with_detectors(df: DataFrame, keys=("country",), window_s: int = K.SHORT_WIN
     force = small_side(baselines_in_force(bucket_baselines(df, keys), keys))
     f = (f.withColumn("bucket", F.date_trunc("day", F.col("ts")).cast("timestamp_ntz"))
           .join(force, list(keys) + ["bucket"], "left"))
+    return detector_scores(f)
+
+
+def detector_scores(f: DataFrame) -> DataFrame:
+    """C6, C7, C10 on frames with their baselines."""
     return f.withColumns({
         "volume_anomaly": volume_anomaly(F.col("n"), F.col("vol_last3"), F.col("b_volume_mean"),
                                          F.col("b_volume_std")),

@@ -142,11 +142,33 @@ def keyword_scores_in_force(bursts: DataFrame, keys=("country",)) -> DataFrame:
                          .alias("keyword_reported"))
 
 
+def index_bursts(occ: DataFrame, posts_g: DataFrame, keys=("country",), every: int = K.REFRESH_EVERY,
+                 decay: float = K.KEYWORD_DECAY, floor: float = K.KEYWORD_FLOOR) -> DataFrame:
+    """C8 + C9 by post number: (keys, block, keyword_score, keyword_reported).
+    The live counters after post j * every of a key are scored, and apply to
+    the posts of block j, those numbered j * every + 1 to (j + 1) * every.
+
+    A counter's value after its last occurrence in a block is carried to the
+    block ends that it can reach before it decays below the floor; where a
+    later occurrence has reached the same end, the later one counts.
+    """
+    keys = list(keys)
+    last = bucket_end_counts(occ, keys, every, decay, floor)
+    posts = F.greatest(F.ceil(F.log(F.greatest(F.col("c_last"), F.lit(floor)) / floor) / -math.log(decay)) + 1, F.lit(0))
+    held = last.withColumn("end", F.explode(F.sequence(F.col("bucket") + 1, F.greatest(F.col("bucket") + 1, F.floor((F.col("g_last") + posts) / every)))))
+    newest = held.groupBy(*keys, "keyword", "end").agg(F.max("g_last").alias("g_last"), F.max_by("c_last", "g_last").alias("c_last"))
+    ends = posts_g.where(F.col("g") % every == 0).select(*keys, (F.col("g") / every).cast("bigint").alias("end"))
+    live = (newest.join(ends, [*keys, "end"])
+            .withColumn("value", F.col("c_last") * F.pow(F.lit(decay), (F.col("end") * every - F.col("g_last")).cast("double")))
+            .where(F.col("value") >= floor).select(*keys, F.col("end").alias("bucket"), "keyword", "value"))
+    return keyword_bursts(live, keys).select(*keys, F.col("bucket").alias("block"), F.col("score").alias("keyword_score"), F.col("reported").alias("keyword_reported"))
+
+
 FOLD_STATE = ("struct<c:double,last_g:bigint,cur_b:timestamp_ntz,cur_h:boolean,"
               "out:array<struct<bucket:timestamp_ntz,g_last:bigint,c_last:double>>>")
 
 
-def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str = "day",
+def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str | int = "day",
                       decay: float = K.KEYWORD_DECAY, floor: float = K.KEYWORD_FLOOR,
                       chunk: int = CHUNK_POSTS) -> DataFrame:
     """C8, JVM-side: the counter value after the last occurrence of each
@@ -157,14 +179,16 @@ def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str = "day",
     (value, last index, current bucket, halo flag, outputs); a bucket's last
     value is appended when the bucket changes, so the output array grows
     once per bucket, not per occurrence.  Halo rows feed the value but never
-    emit."""
-    keys = list(keys)
-    b = occ.withColumn("bucket", F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"))
+    emit.  An integer ``bucket`` means blocks of so many posts."""
+    keys, by_index = list(keys), isinstance(bucket, int)
+    kind = "bigint" if by_index else "timestamp_ntz"
+    state = FOLD_STATE.replace("timestamp_ntz", kind)
+    b = occ.withColumn("bucket", F.floor((F.col("g") - 1) / bucket) if by_index else F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz"))
     grouped = _chunked(b, decay, floor, chunk).groupBy(*keys, "keyword", "_gchunk").agg(
         F.array_sort(F.collect_list(F.struct("g", "m", "bucket", "_halo"))).alias("_occ"))
     init = F.struct(F.lit(0.0).alias("c"), F.lit(None).cast("bigint").alias("last_g"),
-                    F.lit(None).cast("timestamp_ntz").alias("cur_b"), F.lit(True).alias("cur_h"),
-                    F.array().alias("out")).cast(FOLD_STATE)
+                    F.lit(None).cast(kind).alias("cur_b"), F.lit(True).alias("cur_h"),
+                    F.array().alias("out")).cast(state)
 
     def emit(acc):
         return F.concat(acc["out"], F.array(F.struct(acc["cur_b"].alias("bucket"),
@@ -178,7 +202,7 @@ def bucket_end_counts(occ: DataFrame, keys=("country",), bucket: str = "day",
         flush = acc["cur_b"].isNotNull() & (acc["cur_b"] != x["bucket"]) & ~acc["cur_h"]
         return F.struct((kept + x["m"]).alias("c"), x["g"].alias("last_g"),
                         x["bucket"].alias("cur_b"), x["_halo"].alias("cur_h"),
-                        F.when(flush, emit(acc)).otherwise(acc["out"]).alias("out")).cast(FOLD_STATE)
+                        F.when(flush, emit(acc)).otherwise(acc["out"]).alias("out")).cast(state)
 
     def finish(acc):
         return F.when(acc["cur_b"].isNotNull() & ~acc["cur_h"], emit(acc)).otherwise(acc["out"])

@@ -225,6 +225,31 @@ def c04_baselines(spark, sf):
                     *[r6(f"b_{c}").alias(f"b_{c}") for c in cols])
 
 
+INDEX = {"keys": ("region",), "window_s": WINDOW_S, "cap": CAP, "long_window_s": 30 * 86400}
+
+
+@query("c05_index_baselines")
+def c05_index_baselines(spark, sf):
+    """Baselines renewed at every 100th post of a region from its last 500."""
+    mg = sc.indexed_rows(_metrics(spark, sf), ("region",))
+    base = an.indexed_baselines(mg, ("region",), window_s=INDEX["long_window_s"])
+    j = an.attach_indexed_baselines(mg, base, ("region",))
+    return j.select("tweet_id", big("g").alias("g"), *[r6(f"b_{m}_{x}").alias(f"b_{m}_{x}") for m in an.METRICS for x in ("mean", "std")])
+
+
+@query("c05_index_scores")
+def c05_index_scores(spark, sf):
+    """C3-C12 with baselines and keyword bursts renewed by post number."""
+    s, _ = sc.score_by_index(sc.indexed_rows(_metrics(spark, sf), ("region",)), **INDEX)
+    return _index_scores(s)
+
+
+def _index_scores(s):
+    return s.select("tweet_id", "region", big("g").alias("g"), big("n").alias("n"), r6("volume_anomaly.score").alias("volume_score"),
+                    r6("sentiment_anomaly.score").alias("sentiment_score"), r6("keyword_anomaly.score").alias("keyword_score"),
+                    r6("engagement_anomaly.score").alias("engagement_score"), r6("composite_score").alias("composite"), "severity", "alert_required")
+
+
 def _detected(spark, sf):
     return an.with_detectors(sc.indexed_rows(_metrics(spark, sf)), window_s=WINDOW_S, cap=CAP)
 
@@ -494,6 +519,9 @@ FLAGSHIP = "flagship_country_alerts"
 
 import uuid as _uuid  # noqa: E402
 
+from pyspark.errors import StreamingQueryException  # noqa: E402
+
+from tidewatch.streaming import batches as mb  # noqa: E402
 from tidewatch.streaming import stream as sm  # noqa: E402
 
 
@@ -546,6 +574,21 @@ def s02_stream_buckets(spark, sf):
                       r6("mean_engagement").alias("mean_engagement"))
 
 
+PANE_SIZES = {"5 minutes": 5, "30 minutes": 30, "2 hours": 120}
+
+
+@query("s03_stream_three_sizes")
+def s03_stream_three_sizes(spark, sf):
+    """S3: 5 min, 30 min and 2 h windows of volume, sentiment and engagement
+    at once, merged from the stream's 1-minute panes."""
+    raw = _stream(spark, sf)
+    p = sm.enrich(sm.decoded_posts(raw, heartbeats=True)).withColumn("sentiment", F.col("sentiment.score"))
+    p = p.withColumn("volume", an.volume_score("priority", "engagement"))
+    out = sm.merge_panes(_run(spark, sm.panes(p)), PANE_SIZES)
+    return out.select("country", "size", "window_start", big("n").alias("n"),
+                      *[r6(f"{x}_{m}").alias(f"{x}_{m}") for m in sm.PANE_METRICS for x in ("mean", "std")])
+
+
 @query("s03_stream_sliding")
 def s03_stream_sliding(spark, sf):
     raw = _stream(spark, sf)
@@ -566,12 +609,88 @@ def s06_stream_dedupe(spark, sf):
 
 @query("s04_stream_detector")
 def s04_stream_detector(spark, sf):
-    raw = _stream(spark, sf)
-    e = sm.enrich(sm.decoded_posts(raw))
-    m = an.with_metrics(e.withColumn("sentiment_score", F.col("sentiment.score")).drop("sentiment"))
-    out = _run(spark, sm.keyed_detector(m))
-    return out.select("country", "tweet_id", big("n").alias("n"), r6("composite_score").alias("composite"),
-                      "severity", "alert_required")
+    """The detectors over the feed's micro-batches with little carried
+    state; equal to c05_index_scores."""
+    path = sm.scratch_path(spark, "detector", _uuid.uuid4().hex[:12])
+    det = mb.StreamDetector(mb.BatchState(path), **INDEX)
+    e = sm.enrich(sm.decoded_posts(_stream(spark, sf)))
+    sm.run_available(e, lambda batch, epoch: det.score(sc.metrics_of(batch), epoch), f"{path}/checkpoint")
+    return _index_scores(spark.read.parquet(f"{path}/scored").drop("epoch"))
+
+
+def _archive(spark):
+    path = sm.scratch_path(spark, "archive", _uuid.uuid4().hex[:12])
+    return mb.Archive(path, mb.StreamDetector(mb.BatchState(f"{path}/state"), **INDEX))
+
+
+@query("a11_runner")
+def a11_runner(spark, sf):
+    """A11 + D14 + B3: one stream, one analysis per micro-batch, three
+    archives.  Batch 3 dies after its first output; the restarted query runs it
+    again and goes on.  One row per post with what the archives hold of it."""
+    archive = _archive(spark)
+    to, checkpoint = archive.outputs(), f"{archive.path}/checkpoint"
+    feed = _feed(spark, sf)
+
+    def stream():
+        return sm.decoded_posts(sm.read_posts(spark, {"format": "json", "path": feed, "maxFilesPerTrigger": _feed_files(spark)}))
+
+    def dies(batch, epoch):
+        archive.write(batch, epoch, until="processed" if epoch == 3 else None)
+
+    try:
+        sm.run_available(stream(), dies, checkpoint)
+        raise AssertionError("batch 3 should have died")
+    except StreamingQueryException:
+        pass
+    sm.run_available(stream(), archive.sink(), checkpoint)
+    posts_ = spark.read.parquet(to["processed"])
+    anomalies = spark.read.parquet(to["anomalies"]).groupBy("tweet_id").agg(F.count(F.lit(1)).alias("n_anomalies"), F.max("anomaly.severity").alias("stored_severity"))
+    alerts = spark.read.parquet(to["alerts"]).groupBy(F.col("source_tweet.id").alias("tweet_id")).agg(
+        F.count(F.lit(1)).alias("n_alerts"), F.max("description").alias("description"))
+    j = posts_.join(anomalies, "tweet_id", "left").join(alerts, "tweet_id", "left")
+    return j.select("tweet_id", F.col("month").cast("string").alias("month"), "sentiment_label", r6("sentiment_score").alias("sentiment_score"),
+                    r6("sentiment_confidence").alias("confidence"), r6("anomaly_score").alias("anomaly_score"), "anomaly_severity", "is_anomaly",
+                    big(F.length("original_tweet.text")).alias("text_length"), F.col("original_tweet.region").alias("region"),
+                    big("original_tweet.likes").alias("likes"), joined("nlp_analysis.features.keywords").alias("keywords"),
+                    r6("anomaly_detection.volume_anomaly").alias("volume_score"),
+                    big(F.coalesce("n_anomalies", F.lit(0))).alias("n_anomalies"), "stored_severity",
+                    big(F.coalesce("n_alerts", F.lit(0))).alias("n_alerts"), "description")
+
+
+@query("s07_live_monitor")
+def s07_live_monitor(spark, sf):
+    """S7 + C15: the counters of every micro-batch, read as a run goes on, and
+    the batches a streaming listener heard of."""
+    archive, heard = _archive(spark), sm.ProgressCounters()
+    listener = heard.listener()
+    spark.streams.addListener(listener)
+    sm.run_available(sm.decoded_posts(_stream(spark, sf)), archive.sink(), f"{archive.path}/checkpoint")
+    spark.streams.removeListener(listener)
+    live = mb.live_summary(spark.read.parquet(archive.outputs()["counters"]))
+    last = live.agg(F.max("epoch").alias("epoch"), F.count(F.lit(1)).alias("batches"), F.sum("anomalies").alias("anomalies"), F.max("score_max").alias("score_max"))
+    return live.join(last.withColumnRenamed("score_max", "top").withColumnRenamed("anomalies", "all_anomalies"), "epoch").select(
+        big("batches").alias("batches"), big("total_posts").alias("posts"), big("all_anomalies").alias("anomalies"), big("total_alerts").alias("alerts"), r6("top").alias("score_max"))
+
+
+@query("s05_gate_fan_in")
+def s05_gate_fan_in(spark, sf):
+    """A10 + J7 + S5: alerts and anomaly records as two message feeds, with
+    broken messages among them, released in event order to the keyed gate."""
+    s = _scored(spark, sf)
+    feeds = []
+    for kind, rows in (("alert", al.build_alerts(s)), ("anomaly", al.alert_required(s))):
+        empty = s.limit(0)
+        both = al.fan_in(rows, empty) if kind == "alert" else al.fan_in(al.build_alerts(empty), rows)
+        msgs = mb.to_gate_messages(both)
+        broken = msgs.where(F.crc32("key") % 5 == 0).withColumn("value", F.substring("value", 1, 25))
+        path = sm.scratch_path(spark, "feed", _uuid.uuid4().hex[:12])
+        sm.write_slots(msgs.unionByName(broken), path, FEED_SLOTS, 2)
+        feeds.append(sm.read_posts(spark, {"format": "json", "path": path, "maxFilesPerTrigger": 2}))
+    path = sm.scratch_path(spark, "gate", _uuid.uuid4().hex[:12])
+    g = mb.StreamGate(mb.BatchState(path))
+    sm.run_available(mb.fan_in_stream(*feeds), g.write, f"{path}/checkpoint")
+    return g.decisions(spark).select("alert_id", "route", "should_send", joined("filters").alias("filters"), joined("reasons").alias("reasons"))
 
 
 # ---- U1, U2: pluggable model -----------------------------------------------------------------
@@ -682,12 +801,14 @@ def a03_quarantine(spark, sf):
 
 @query("a05_processed_archive")
 def a05_processed_archive(spark, sf):
-    """B3 + A5: processed-post records upserted by month in two batches that
+    """B3 + A5: whole processed-post records upserted by month in batches that
     share rows, and read back."""
     from tidewatch.sources.envelope import processed_post
     from tidewatch.sources.sinks import upsert_monthly
-    s = processed_post(_scored(spark, sf).withColumn("sentiment", F.struct(
-        F.col("sentiment_label").alias("label"), F.col("sentiment").alias("score")))).checkpoint()
+    analysed = st.with_text_analysis(posts(spark, sf)).checkpoint()
+    scored = sc.score_posts(sc.metrics_of(analysed), window_s=WINDOW_S, cap=CAP).select(
+        "tweet_id", "volume_anomaly", "sentiment_anomaly", "keyword_anomaly", "engagement_anomaly", "scored")
+    s = processed_post(analysed.join(scored, "tweet_id")).checkpoint()
     path = sm.scratch_path(spark, "processed", _uuid.uuid4().hex[:12])
     first = s.where(F.crc32("tweet_id") % 3 < 2).withColumn("sentiment_score", F.lit(9.0))
     upsert_monthly(spark, first, path, "tweet_id", "timestamp")
@@ -695,8 +816,12 @@ def a05_processed_archive(spark, sf):
     upsert_monthly(spark, s.where(F.crc32("tweet_id") % 3 == 0), path, "tweet_id", "timestamp")
     return spark.read.parquet(path).select(
         "tweet_id", F.col("month").cast("string").alias("month"), "sentiment_label", r6("sentiment_score").alias("sentiment_score"),
-        r6("anomaly_score").alias("anomaly_score"), "is_anomaly", "country", "priority",
-        (F.col("original_tweet.tweet_id") == F.col("tweet_id")).alias("nested_ok"))
+        r6("anomaly_score").alias("anomaly_score"), "anomaly_severity", "is_anomaly", "country", "priority",
+        (F.col("original_tweet.tweet_id") == F.col("tweet_id")).alias("nested_ok"),
+        big(F.length("original_tweet.text")).alias("text_length"), F.col("original_tweet.author").alias("author"),
+        big("original_tweet.likes").alias("likes"), r6("nlp_analysis.sentiment.confidence").alias("confidence"),
+        joined("nlp_analysis.features.keywords").alias("keywords"), joined("nlp_analysis.features.hashtags").alias("hashtags"),
+        r6("anomaly_detection.volume_anomaly").alias("volume_score"), r6("anomaly_detection.keyword_anomaly").alias("keyword_score"))
 
 
 @query("a06_anomaly_archive")

@@ -791,10 +791,12 @@ SELECT tweet_id AS key,
        CASE WHEN post_seq % 11 < 2 OR (post_seq % 11 = 2 AND post_seq % 22 = 2) THEN 'rejected' ELSE 'good' END AS status,
        NOT (post_seq % 11 < 2 OR (post_seq % 11 = 2 AND post_seq % 22 = 2)) AS has_time
 FROM posts"""
-ORACLE["a05_processed_archive"] = all_scored() + f"""
+ORACLE["a05_processed_archive"] = all_scored() + "," + keywords_cte() + f"""
 SELECT s.tweet_id, strftime(s.ts, '%Y-%m') AS month, t.label AS sentiment_label, {r6('s.sentiment')} AS sentiment_score,
-       {r6('s.composite')} AS anomaly_score, s.alert_required AS is_anomaly, p.country, p.priority, true AS nested_ok
-FROM scored s JOIN sent t USING (tweet_id) JOIN posts p USING (tweet_id)"""
+       {r6('s.composite')} AS anomaly_score, s.severity AS anomaly_severity, s.alert_required AS is_anomaly, p.country, p.priority, true AS nested_ok,
+       CAST(length(p.text) AS BIGINT) AS text_length, p.author, CAST(p.likes AS BIGINT) AS likes, {r6('t.confidence')} AS confidence, kw.keywords,
+       {jn(f"regexp_extract_all(p.text, {q(HASHTAG_RE)}, 1)")} AS hashtags, {r6('s.vol_score')} AS volume_score, {r6('s.kscore')} AS keyword_score
+FROM scored s JOIN sent t USING (tweet_id) JOIN posts p USING (tweet_id) JOIN kw USING (tweet_id)"""
 ORACLE["a06_anomaly_archive"] = all_scored() + f"""
 SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '_' || tweet_id AS anomaly_id, tweet_id, severity, {r6('composite')} AS composite
 FROM scored WHERE alert_required"""
@@ -802,3 +804,87 @@ FROM scored WHERE alert_required"""
 # Dictionaries as tables: the row forms' SQL.
 for _name in ("t10_organisations", "t11_places", "t12_keywords", "t18_trade"):
     ORACLE[_name + "_join"] = ORACLE[_name]
+
+
+# ---- C5 and what runs by post number (key: region) -------------------------------------
+
+def index_ctes() -> tuple:
+    """Baselines at every 100th post from the last 500 (30 days), keyword
+    counters scored there, frames as elsewhere."""
+    ms = ("volume", "sentiment", "engagement")
+    e, cap = K.REFRESH_EVERY, K.LONG_CAP
+    quart = ", ".join(f"quantile_cont({m}, [0.25, 0.75]) AS q_{m}" for m in ms)
+    aggs, force, get = [], [], []
+    for m in ms:
+        inside = f"{m} >= q_{m}[1] - 1.5 * (q_{m}[2] - q_{m}[1]) AND {m} <= q_{m}[2] + 1.5 * (q_{m}[2] - q_{m}[1])"
+        aggs += [f"CASE WHEN any_value(n) >= {K.MIN_SAMPLES} THEN avg({m}) FILTER (WHERE {inside}) END AS {m}_mean",
+                 f"CASE WHEN any_value(n) >= {K.MIN_SAMPLES} THEN greatest(stddev_pop({m}) FILTER (WHERE {inside}), 0.01) END AS {m}_std"]
+        for x, d in zip(("mean", "std"), K.DEFAULT_BASELINES[m]):
+            force.append(f"last_value({m}_{x} IGNORE NULLS) OVER wi AS b_{m}_{x}")
+            get.append(f"coalesce(b_{m}_{x}, {D(d)}) AS b_{m}_{x}")
+    keyed = KEYWORD_CTES.replace("country", "region").replace("m2", "mr")
+    start, end = keyed.index("dends AS"), keyed.index("kv AS")
+    keyed = keyed[:start] + f"dends AS (SELECT region, g // {e} AS bucket, g AS g_end FROM mg WHERE g % {e} = 0),\n" + keyed[end:keyed.index(",\nkforce AS")]
+    return ("mr AS (SELECT m2.*, p.region FROM m2 JOIN posts p USING (tweet_id))", FRAMES_CTE.replace("country", "region").replace("m2", "mr"), keyed, f"""
+iends AS (SELECT region, g // {e} AS block, ts AS ts_end FROM mg WHERE g % {e} = 0),
+ifr AS (SELECT x.region, x.block, i.volume, i.sentiment, i.engagement FROM iends x JOIN mg i
+        ON i.region = x.region AND i.g > x.block * {e} - {cap} AND i.g <= x.block * {e} AND i.ts >= x.ts_end - INTERVAL 30 DAYS),
+iq AS (SELECT region, block, count(*) AS n, {quart} FROM ifr GROUP BY region, block),
+istat AS (SELECT region, block, {", ".join(aggs)} FROM ifr JOIN iq USING (region, block) GROUP BY region, block),
+iforce AS (SELECT region, block, {", ".join(force)} FROM istat
+           WINDOW wi AS (PARTITION BY region ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+ibase AS (SELECT mg.tweet_id, mg.region, mg.g, {", ".join(get)} FROM mg LEFT JOIN iforce f ON f.region = mg.region AND f.block = mg.g // {e})""")
+
+
+def index_scored() -> str:
+    det = DETECT_CTE[DETECT_CTE.index("det AS ("):]
+    comp = COMPOSITE_CTE[COMPOSITE_CTE.index("scored AS ("):]
+    w = K.COMPOSITE_WEIGHTS
+    return with_posts(*metrics_ctes(), *index_ctes(), """
+det0 AS (SELECT fr.*, b.* EXCLUDE (tweet_id, region), (vol_last3 - b_volume_mean) / greatest(b_volume_std, 0.01) AS vz,
+                (eng_last3 - b_engagement_mean) / greatest(b_engagement_std, 0.01) AS ez, abs(sent_last5 - sent_hist) AS shift
+         FROM frames fr JOIN ibase b USING (tweet_id))""", det, f"""
+sc0 AS (SELECT det.*, coalesce(kb.score, 0.0) AS kscore,
+               vol_score * {w['volume']} + sent_score * {w['sentiment']} + coalesce(kb.score, 0.0) * {w['keyword']} + eng_score * {w['engagement']} AS raw
+        FROM det LEFT JOIN bursts2 kb ON kb.region = det.region AND kb.bucket = (det.g - 1) // {K.REFRESH_EVERY})""", comp)
+
+
+ORACLE["c05_index_baselines"] = with_posts(*metrics_ctes(), *index_ctes()) + f"""
+SELECT tweet_id, CAST(g AS BIGINT) AS g, {", ".join(f"{r6('b_' + c)} AS b_{c}" for c in _bcols)} FROM ibase"""
+ORACLE["c05_index_scores"] = index_scored() + f"""
+SELECT tweet_id, region, CAST(g AS BIGINT) AS g, CAST(n AS BIGINT) AS n, {r6('vol_score')} AS volume_score, {r6('sent_score')} AS sentiment_score,
+       {r6('kscore')} AS keyword_score, {r6('eng_score')} AS engagement_score, {r6('composite')} AS composite, severity, alert_required FROM scored"""
+ORACLE["s04_stream_detector"] = ORACLE["c05_index_scores"]
+ORACLE["a11_runner"] = index_scored() + "," + ALERTS_CTE + "," + keywords_cte() + f"""
+SELECT s.tweet_id, strftime(s.ts, '%Y-%m') AS month, t.label AS sentiment_label, {r6('s.sentiment')} AS sentiment_score, {r6('t.confidence')} AS confidence,
+       {r6('s.composite')} AS anomaly_score, s.severity AS anomaly_severity, s.alert_required AS is_anomaly, CAST(length(p.text) AS BIGINT) AS text_length,
+       s.region, CAST(p.likes AS BIGINT) AS likes, kw.keywords, {r6('s.vol_score')} AS volume_score,
+       CAST(CASE WHEN s.alert_required THEN 1 ELSE 0 END AS BIGINT) AS n_anomalies, CASE WHEN s.alert_required THEN s.severity END AS stored_severity,
+       CAST(CASE WHEN s.alert_required THEN 1 ELSE 0 END AS BIGINT) AS n_alerts, a.description
+FROM scored s JOIN sent t USING (tweet_id) JOIN posts p USING (tweet_id) JOIN kw USING (tweet_id) LEFT JOIN alerts a USING (tweet_id)"""
+ORACLE["s07_live_monitor"] = index_scored() + f"""
+SELECT CAST(6 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS posts, CAST(count(*) FILTER (WHERE composite >= {K.MEDIUM_CUT}) AS BIGINT) AS anomalies,
+       CAST(count(*) FILTER (WHERE alert_required) AS BIGINT) AS alerts, {r6('max(composite)')} AS score_max FROM scored"""
+
+# ---- S3: three window sizes ---------------------------------------------------------------
+_sizes = " UNION ALL ".join(f"SELECT country, '{n}' AS size, CAST(time_bucket(INTERVAL {m} MINUTES, ts, TIMESTAMP '1970-01-01') AS TIMESTAMP) AS window_start, volume, sentiment, engagement FROM m2"
+                            for n, m in (("5 minutes", 5), ("30 minutes", 30), ("2 hours", 120)))
+ORACLE["s03_stream_three_sizes"] = with_posts(*metrics_ctes()) + f"""
+SELECT country, size, window_start, CAST(count(*) AS BIGINT) AS n,
+       {", ".join(f"{r6(f'{a}({m})')} AS {x}_{m}" for m in ("volume", "sentiment", "engagement") for x, a in (("mean", "avg"), ("std", "stddev_pop")))}
+FROM ({_sizes}) GROUP BY country, size, window_start"""
+
+# ---- S5: the gate over alerts and anomaly records -------------------------------------------
+_start, _end = GATE_CTE.index("gsrc AS ("), GATE_CTE.index("gstep AS (")
+_tokens = "list_distinct(list_filter(string_split_regex(lower(description || printf('%.4f', round(score, 4))), '\\s+'), lambda x: x <> ''))"
+_both = f"""
+gall AS (
+  SELECT a.alert_id, p.region AS route, a.ts, {q(K.ALERT_TYPE)} AS type, a.severity, a.description, a.score FROM alerts a JOIN posts p USING (tweet_id)
+  UNION ALL
+  SELECT 'anomaly_' || s.tweet_id, p.region, s.ts, 'anomaly', s.severity, upper(s.severity) || ' anomaly on ' || s.tweet_id, s.composite
+  FROM scored s JOIN posts p USING (tweet_id) WHERE s.alert_required),
+gsrc AS (SELECT alert_id, route, ts, type, severity, {_tokens} AS toks, row_number() OVER (PARTITION BY route ORDER BY ts, alert_id) AS rn FROM gall),
+"""
+_fan_sql = all_scored() + "," + ALERTS_CTE + "," + _both + GATE_CTE[_end:]
+ORACLE["s05_gate_fan_in"] = "WITH RECURSIVE " + _fan_sql[len("WITH "):] + """
+SELECT alert_id, route, should_send, filters, reasons FROM gstep WHERE rn > 0"""
