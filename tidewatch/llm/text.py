@@ -94,23 +94,24 @@ def lower_alnum_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_ALNUM_TABLE).split() if text else []
 
 
-class _Digests(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
-
-
 class WordHasher:
     """64-bit word hashes with a bounded memo (it is emptied when full)."""
 
     def __init__(self, limit: int = 300_000):
-        self.memo = _Digests()
+        self.memo: dict[bytes, int] = {}
         self.limit = limit
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(self.memo) > self.limit:
-            self.memo.clear()
-        return np.fromiter(map(self.memo.__getitem__, words), np.uint64, len(words))
+        memo, digest = self.memo, xxhash.xxh64_intdigest
+        if len(memo) > self.limit:
+            memo.clear()
+        out = np.empty(len(words), dtype=np.uint64)
+        for i, w in enumerate(words):
+            h = memo.get(w)
+            if h is None:
+                h = memo[w] = digest(w)
+            out[i] = h
+        return out
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
