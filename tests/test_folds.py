@@ -108,30 +108,71 @@ def test_gate_chunks_equal_one_fold(spark):
     assert {"cooldown", "rate_limit", "duplicate", "override"} <= fired
 
 
+def gate_stream(spark, src, path, **kw):
+    """The gate over a stream of alert files, one file per micro-batch; the
+    second feed is a copy of the clock only."""
+    from pyspark.sql import functions as F
+    from tidewatch.streaming import batches as mb
+    from tidewatch.streaming import stream as sm
+    names = [c.split()[0] for c in mb.GATE_RECORD.split(", ")]
+    s = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    own = s.select(*[F.col(c) if c in s.columns else F.lit(None).cast("string").alias(c) for c in names], F.lit("alerts").alias("source"),
+                   F.lit(True).alias("good"), F.lit(False).alias("heartbeat"), F.lit(None).cast("string").alias("raw_value"))
+    clock = own.withColumns({"good": F.lit(False), "heartbeat": F.lit(True), "source": F.lit("anomalies")})
+    g = mb.StreamGate(mb.BatchState(f"{path}/state"), **kw)
+    sm.run_available(own.unionByName(clock), g.write, f"{path}/checkpoint")
+    return g
+
+
+def decided(df):
+    return {r["alert_id"]: (r["should_send"], r["filters"]) for r in df.collect()}
+
+
 def test_stream_gate_equals_batch(spark, tmp_path):
-    """The gate on a file stream (two micro-batches, state carried in
-    the state store) decides exactly as the batch gate."""
+    """The gate on a file stream (three micro-batches, out of order by up
+    to 9 minutes, the state carried, a restart between) decides exactly as the
+    batch gate."""
     import time
-    from tidewatch.streaming import stream as sm
     t0 = datetime(2024, 1, 1, 9, 0)
     rows = [{"alert_id": f"a{i:02d}", "route": "R" if i % 3 else "S",
              "timestamp": t0 + timedelta(minutes=3 * i), "type": "trade_sentiment_anomaly",
              "severity": ["high", "critical", "medium", "critical"][i % 4],
              "description": f"anomaly {i % 2} on desk", "score": 0.6 + (i % 5) / 100}
             for i in range(30)]
+    rows.append({**rows[-1], "alert_id": "end", "timestamp": t0 + timedelta(hours=5), "route": "Z"})
     pdf = pd.DataFrame(rows)
-    src = tmp_path / "alerts"
-    for part, chunk in enumerate((pdf.iloc[:15], pdf.iloc[15:])):
-        spark.createDataFrame(chunk).coalesce(1).write.mode("append").parquet(str(src))
+    mixed = [pdf.iloc[[*range(9), 10, 11]], pdf.iloc[[9, 12, *range(14, 20), 13]], pdf.iloc[20:]]
+    src, path = str(tmp_path / "alerts"), str(tmp_path / "gate")
+    for i, part in enumerate(mixed):
+        spark.createDataFrame(part).coalesce(1).write.mode("append").parquet(src)
+        if i != 0:
+            g = gate_stream(spark, src, path)         # a restart: the second run goes on from the first
+        time.sleep(1.1)
+    want = decided(al.gate(spark.createDataFrame(pdf)))
+    got = decided(g.decisions(spark))
+    assert got == {k: v for k, v in want.items() if k != "end"} and any(not v[0] for v in got.values())
+
+
+def test_idle_routes_lose_their_state(spark, tmp_path):
+    """After 24 h of event time without an alert a route has no state,
+    and decisions are those of the batch gate."""
+    import time
+    t0 = datetime(2024, 1, 1)
+
+    def alert(i, route, hours):
+        return {"alert_id": f"{route}{i}", "route": route, "timestamp": t0 + timedelta(hours=hours), "type": "t", "severity": "high",
+                "description": f"case {route} number {i} of its own kind {i * 7}", "score": 0.7}
+    batches = [[alert(i, r, i * 0.05) for r in "ABC" for i in range(5)], [alert(9, "A", 20)], [alert(10, "D", 60)], [alert(11, "E", 120)]]
+    src, path = str(tmp_path / "a"), str(tmp_path / "g")
+    for b in batches:
+        spark.createDataFrame(pd.DataFrame(b)).coalesce(1).write.mode("append").parquet(src)
         time.sleep(1.1)
-    schema = spark.read.parquet(str(src)).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(src))
-    out = str(tmp_path / "out")
-    sm.run_available(al.gate_stream(stream), out, str(tmp_path / "ckpt"))
-    got = {r["alert_id"]: (r["should_send"], r["filters"]) for r in spark.read.parquet(out).collect()}
-    want = {r["alert_id"]: (r["should_send"], r["filters"])
-            for r in al.gate(spark.createDataFrame(pdf)).collect()}
-    assert got == want
+    g = gate_stream(spark, src, path)
+    states = {e: {r.route for r in g.state.read(spark, "states", e).collect()} for e in (2, 3)}
+    assert states == {2: set(), 3: set()}
+    want = decided(al.gate(spark.createDataFrame(pd.DataFrame([r for b in batches for r in b]))))
+    got = decided(g.decisions(spark))
+    assert got == {k: v for k, v in want.items() if k != "E11"} and not all(v[0] for v in got.values())
 
 
 def test_native_chunked_fold_equals_python(spark):

@@ -20,33 +20,93 @@ def fixture(n=240):
     return pd.DataFrame(rows)
 
 
-def run(spark, src, out, ckpt):
-    schema = spark.read.parquet(src).schema
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
-    sm.run_available(sm.keyed_detector(s), out, ckpt)
+PARAMS = {"window_s": 3600, "cap": 40, "every": 20, "long_cap": 60, "long_window_s": 7200}
+
+
+def run(spark, src, path):
+    from tidewatch.streaming import batches as mb
+    det = mb.StreamDetector(mb.BatchState(path), **PARAMS)
+    s = spark.readStream.schema(spark.read.parquet(src).schema).option("maxFilesPerTrigger", 1).parquet(src)
+    sm.run_available(s, det.score, f"{path}/checkpoint")
+
+
+def scores(df):
+    cols = ["tweet_id", "g", "n", "composite_score", "severity", "alert_required"]
+    return df.select(*cols).toPandas().sort_values("tweet_id").reset_index(drop=True)
 
 
 def test_detector_restart_equals_single_run(spark, tmp_path):
+    """Micro-batches with a restart between them give the scores of one table,
+    and carry a bounded number of posts per key."""
+    from tidewatch.operators.anomaly import with_key_index
+    from tidewatch.plans.scoring import score_by_index
     pdf = fixture()
-    one, two = str(tmp_path / "one"), str(tmp_path / "two")
-    halves = (pdf.iloc[:120], pdf.iloc[120:])
-    for i, h in enumerate(halves):
-        spark.createDataFrame(h).coalesce(1).write.mode("append").parquet(one)
+    path, src = str(tmp_path / "run"), str(tmp_path / "src")
+    for lo, hi in ((0, 70), (70, 120), (120, 240)):
+        spark.createDataFrame(pdf.iloc[lo:hi]).coalesce(1).write.mode("append").parquet(src)
+        if lo != 0:
+            run(spark, src, path)                 # two batches, then a restart and one more
         time.sleep(1.1)
-    run(spark, one, str(tmp_path / "out1"), str(tmp_path / "ck1"))
-
-    spark.createDataFrame(halves[0]).coalesce(1).write.mode("append").parquet(two)
-    run(spark, two, str(tmp_path / "out2"), str(tmp_path / "ck2"))      # first run
-    time.sleep(1.1)
-    spark.createDataFrame(halves[1]).coalesce(1).write.mode("append").parquet(two)
-    run(spark, two, str(tmp_path / "out2"), str(tmp_path / "ck2"))      # restart
-
-    cols = ["tweet_id", "n", "composite_score", "severity", "alert_required"]
-    a = spark.read.parquet(str(tmp_path / "out1")).toPandas()[cols].sort_values("tweet_id")
-    b = spark.read.parquet(str(tmp_path / "out2")).toPandas()[cols].sort_values("tweet_id")
-    assert len(a) == len(pdf)
-    pd.testing.assert_frame_equal(a.reset_index(drop=True), b.reset_index(drop=True))
-    assert (a["n"] >= 10).any() and a["alert_required"].any()
+    a = scores(spark.read.parquet(f"{path}/scored"))
+    whole, _ = score_by_index(with_key_index(spark.createDataFrame(pdf)), **PARAMS)
+    pd.testing.assert_frame_equal(a, scores(whole), check_exact=False, rtol=1e-9)
+    assert len(a) == len(pdf) and (a["n"] >= 10).any() and a["alert_required"].any()
+
+
+def plain_baselines(values, times, every, cap, window_s):
+    """C5 post by post: {g: (mean, std)} of one metric in force for post g."""
+    import numpy as np
+    force, out = (10.0, 3.0), {}
+    for g in range(1, len(values) + 1):
+        if g % every == 0:
+            v = np.array([x for x, t in list(zip(values, times))[max(0, g - cap):g] if (times[g - 1] - t).total_seconds() <= window_s])
+            if len(v) >= 10:
+                q1, q3 = np.percentile(v, [25, 75])
+                inside = v[(v >= q1 - 1.5 * (q3 - q1)) & (v <= q3 + 1.5 * (q3 - q1))]
+                if len(inside):
+                    force = (inside.mean(), max(inside.std(), 0.01))
+        out[g] = force
+    return out
+
+
+def test_baselines_by_post_number(spark):
+    from tidewatch.operators import anomaly as an
+    pdf = fixture()
+    mg = an.with_key_index(spark.createDataFrame(pdf)).checkpoint()
+    rows = an.attach_indexed_baselines(mg, an.indexed_baselines(mg, every=20, cap=60, window_s=900), every=20).collect()
+    for key in ("A", "B"):
+        own = pdf[pdf.country == key]
+        want = plain_baselines(own.volume.tolist(), own.ts.tolist(), 20, 60, 900)
+        got = {r.g: (r.b_volume_mean, r.b_volume_std) for r in rows if r.country == key}
+        assert set(got) == set(want)
+        assert all(abs(x - y) < 1e-9 for g in want for x, y in zip(got[g], want[g]))
+
+
+def test_post_index_of_a_hot_second(spark):
+    """A third of all posts in one second of one key: the index is right, and no task sorts them all."""
+    from pyspark.sql import functions as F
+    from tidewatch.operators.anomaly import with_key_index
+    df = spark.range(9_000).select(F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 2 == 0, None).otherwise("cold").alias("country"),
+                                   F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("ts"), F.col("id").alias("post_seq"))
+    ix = with_key_index(df)
+    rows = ix.collect()
+    for key in ("HOT", "cold", None):
+        own = sorted((r.post_seq, r.g) for r in rows if r.country == key)
+        assert [g for _, g in own] == list(range(1, len(own) + 1))
+    assert max(r[1] for r in ix.groupBy(F.spark_partition_id()).count().collect()) < 3_000
+
+
+def test_three_sizes_from_panes(spark):
+    import numpy as np
+    pdf = fixture(300)
+    s = spark.createDataFrame(pdf).withColumn("event_ts", sm.F.col("ts").cast("timestamp"))
+    p = sm.panes(s, keys=("country",))
+    got = {(r.country, r["size"], r.window_start): r for r in sm.merge_panes(p, {"five": 5, "half": 30}).collect()}
+    for name, minutes in (("five", "5min"), ("half", "30min")):
+        for (key, start), own in pdf.groupby(["country", pdf.ts.dt.floor(minutes)]):
+            r = got.pop((key, name, start.to_pydatetime()))
+            assert r.n == len(own) and abs(r.mean_volume - own.volume.mean()) < 1e-9 and abs(r.std_sentiment - np.std(own.sentiment)) < 1e-7
+    assert not got
 
 
 def test_progress_counters(spark, tmp_path):

@@ -863,7 +863,7 @@ SELECT s.tweet_id, strftime(s.ts, '%Y-%m') AS month, t.label AS sentiment_label,
        CAST(CASE WHEN s.alert_required THEN 1 ELSE 0 END AS BIGINT) AS n_alerts, a.description
 FROM scored s JOIN sent t USING (tweet_id) JOIN posts p USING (tweet_id) JOIN kw USING (tweet_id) LEFT JOIN alerts a USING (tweet_id)"""
 ORACLE["s07_live_monitor"] = index_scored() + f"""
-SELECT CAST(6 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS posts, CAST(count(*) FILTER (WHERE composite >= {K.MEDIUM_CUT}) AS BIGINT) AS anomalies,
+SELECT CAST(count(*) AS BIGINT) AS posts, CAST(count(*) FILTER (WHERE composite >= {K.MEDIUM_CUT}) AS BIGINT) AS anomalies,
        CAST(count(*) FILTER (WHERE alert_required) AS BIGINT) AS alerts, {r6('max(composite)')} AS score_max FROM scored"""
 
 # ---- S3: three window sizes ---------------------------------------------------------------
