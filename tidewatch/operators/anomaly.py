@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tidewatch import constants as K
 from tidewatch.functions import text as tx
-from tidewatch.operators.lookups import map_lookup, small_side
+from tidewatch.operators.lookups import bounded_broadcast, map_lookup, small_side
+from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.session import ensure_checkpoint_dir
 
 MICROS = 1_000_000
@@ -158,21 +159,39 @@ def bucket_baselines(df: DataFrame, keys=("country",), bucket: str = "day",
     fewer than ``min_samples`` rows get null statistics.
 
     Two aggregations with map-side partial aggregation (exact percentile,
-    then fenced mean/std); the quartile table is one row per bucket.
+    then fenced mean/std); the quartile table is one row per bucket.  Buckets
+    of more than ``HOT_ROWS`` rows get their quartiles by rank selection, so
+    none holds its values in one task.
     """
     keys = list(keys)
     b = df.select(*keys, F.date_trunc(bucket, F.col("ts")).cast("timestamp_ntz").alias("bucket"),
                   *METRICS)
-    return fenced_statistics(b, [*keys, "bucket"], iqr_k, min_samples)
+    return fenced_statistics(b, [*keys, "bucket"], iqr_k, min_samples, HOT_ROWS)
 
 
-def fenced_statistics(b: DataFrame, group: list[str], iqr_k: float = 1.5, min_samples: int = K.MIN_SAMPLES) -> DataFrame:
+HOT_ROWS = 2_000_000
+
+
+def group_quartiles(b: DataFrame, group: list[str], hot_rows: int | None) -> DataFrame:
+    """(group, n, _q_<metric>): exact quartiles.  Groups of more than
+    ``hot_rows`` rows (None: there are none) go through rank selection."""
+    def plain(rows):
+        return rows.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), *[F.percentile(m, [0.25, 0.75]).alias(f"_q_{m}") for m in METRICS])
+
+    if hot_rows is None:
+        return plain(b)
+    sizes = b.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).checkpoint()   # at most rows / hot_rows groups
+    if sizes.isEmpty():
+        return plain(b)
+    hot = b.join(bounded_broadcast(sizes), group)
+    many = exact_quantiles(hot.drop("n"), group, METRICS).join(sizes, group)
+    return plain(b.join(bounded_broadcast(sizes.select(*group)), group, "left_anti")).unionByName(many)
+
+
+def fenced_statistics(b: DataFrame, group: list[str], iqr_k: float = 1.5, min_samples: int = K.MIN_SAMPLES, hot_rows: int | None = None) -> DataFrame:
     """n and, per metric, mean and population std (floor 0.01) of the values
     inside the fence, for every group; null below ``min_samples`` rows."""
-    q = b.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile(m, [0.25, 0.75]).alias(f"_q_{m}") for m in METRICS])
-    j = b.join(q, group)
+    j = b.join(group_quartiles(b, group, hot_rows), group)
     aggs = []
     for m in METRICS:
         q1, q3 = F.col(f"_q_{m}")[0], F.col(f"_q_{m}")[1]
