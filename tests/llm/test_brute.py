@@ -173,7 +173,7 @@ def test_chat_chunks_are_exact(spark, monkeypatch):
     model = chat.fit(c)
 
     def rows():
-        return sorted(map(tuple, chat.decode(c, model).select("conv_id", "turn", "role", "new_turn").collect()))
+        return sorted(map(tuple, chat.decode(c, model).select("conv_id", "turn", "line", "role", "new_turn").collect()))
     whole = rows()
     monkeypatch.setattr(chat, "CHUNK", 2)
     assert rows() == whole
@@ -186,6 +186,35 @@ def test_chat_markers(spark):
     assert "".join(r.rendered for r in out) == "<|user|>\nhello\n<|assistant|>\nI am fine\n<|user|>\nbye\n"
 
 
+def test_speakers_change_inside_one_text(spark):
+    c = spark.read.parquet(f"{SF}/conversations.parquet")
+    talk = "User: hi, can you help?\nIt is about rates.\n\nAssistant: yes, of course.\nWhat do you need?\nUser: thanks"
+    d = spark.createDataFrame([(1, 0, talk), (2, 0, "[Human]: one\ntwo"), (2, 1, "AI> three")], "conv_id int, turn int, text string")
+    out = chat.render(chat.decode(d, chat.fit(c))).orderBy("conv_id", "pos").collect()
+    assert "".join(r.rendered for r in out if r.conv_id == 1) == (
+        "<|user|>\nhi, can you help?\nIt is about rates.\n<|assistant|>\nyes, of course.\nWhat do you need?\n<|user|>\nthanks\n")
+    assert "".join(r.rendered for r in out if r.conv_id == 2) == "<|user|>\none\ntwo\n<|assistant|>\nthree\n"
+
+
+@pytest.mark.parametrize("chunk", [2, 512])
+def test_chat_equals_the_best_of_all_paths(spark, monkeypatch, chunk):
+    """Every path of states of short conversations, scored one by one."""
+    c = spark.read.parquet(f"{SF}/conversations.parquet")
+    model = chat.fit(c)
+    texts = [["User: hi?\nand more", "a\nb c d e f g\n?"], ["x", "AI: y\nHuman: z?", "w w w w w w w w w"], ["System: be brief", "ok\nno"]]
+    d = spark.createDataFrame([(i, t, x) for i, ts in enumerate(texts) for t, x in enumerate(ts)], "conv_id int, turn int, text string")
+    monkeypatch.setattr(chat, "CHUNK", chunk)
+    got = {(r.conv_id, r.pos): r.role for r in chat.decode(d, model).collect()}
+    feats = {}
+    for r in chat.with_features(chat.row_lines(d)).collect():
+        feats.setdefault(r.conv_id, []).append((r.turn, r.line, {f: r[f] for f in chat.FEATURES}))
+    for conv, lines in feats.items():
+        seen = [f for *_, f in sorted(lines, key=lambda x: x[:2])]
+        best = max(itertools.product(range(chat.STATES), repeat=len(seen)), key=lambda p: (
+            model.start[p[0]] + sum(model.step[a, b] for a, b in zip(p, p[1:])) + sum(model.emit[k][s, f[k]] for s, f in zip(p, seen) for k in f)))
+        assert [got[(conv, i)] for i in range(len(seen))] == [chat.ROLES[s // 2] for s in best]
+
+
 def test_disclosing_terms_are_replaced(spark):
     rows = [(i, f"Zephyrine writes from boss@corp{i % 2}.com about thing{'abcdefghij'[i]}") for i in range(6)] + [(100 + i, "about other matters") for i in range(40)]
     rows = [(i, t.replace("corp0", "corp").replace("corp1", "corp")) for i, t in rows]

@@ -104,6 +104,11 @@ def test_chat(spark):
     assert {x.conv_id: x.role for x in out if x.conv_id == 2} == {2: "assistant"}
     assert {x.rendered for x in out if x.conv_id == 2} == {"<|assistant|>\nfine\n"}
     assert chat.chat_report(c.limit(0)).count() == 0
+    # Very long texts, one conversation of null ids, columns named like internal ones.
+    long = [(None, None, "user", "word " * 30_000 + "\n" + "\n".join(f"line {i}" for i in range(3_000)), 7, "x")] + [(None, i, "assistant", f"t{i}", 7, "x") for i in range(50)]
+    d = spark.createDataFrame(long, "conv_id int, turn int, role string, text string, line int, row string")
+    got = chat.chat_report(d).collect()
+    assert len(got) == 3_051 and sorted(x.pos for x in got) == list(range(3_051))
 
 
 def test_empty_tables(spark, bench):
