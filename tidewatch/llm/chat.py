@@ -34,7 +34,7 @@ SMOOTH = 0.05             # weight of even shares in every table, so rare states
 # What a line shows, before any data is seen; half the weight of the model's
 # tables.  A beginning line has its role's marker, none, or another's; a line
 # that goes on has none, and is not the first of its text.
-OWN_MARKER, NO_MARKER, OTHER_MARKER, STRAY = 0.4998, 0.5, 1e-4, 1e-6
+OWN_MARKER, NO_MARKER, OTHER_MARKER, STRAY = 0.499998, 0.5, 1e-6, 1e-8
 FIRST = 0.7
 
 
