@@ -170,6 +170,7 @@ def bucket_baselines(df: DataFrame, keys=("country",), bucket: str = "day",
 
 
 HOT_ROWS = 2_000_000
+FENCE_EDGE = 1e-9   # a value on the fence is inside, whatever the last bits of the quartiles
 
 
 def group_quartiles(b: DataFrame, group: list[str], hot_rows: int | None) -> DataFrame:
@@ -195,7 +196,7 @@ def fenced_statistics(b: DataFrame, group: list[str], iqr_k: float = 1.5, min_sa
     aggs = []
     for m in METRICS:
         q1, q3 = F.col(f"_q_{m}")[0], F.col(f"_q_{m}")[1]
-        lo, hi = q1 - iqr_k * (q3 - q1), q3 + iqr_k * (q3 - q1)
+        lo, hi = q1 - iqr_k * (q3 - q1) - FENCE_EDGE, q3 + iqr_k * (q3 - q1) + FENCE_EDGE
         inside = F.when((F.col(m) >= lo) & (F.col(m) <= hi), F.col(m))
         aggs += [F.avg(inside).alias(f"{m}_mean"), F.stddev_pop(inside).alias(f"{m}_std")]
     s = j.groupBy(*group).agg(F.first("n").alias("n"), *aggs)

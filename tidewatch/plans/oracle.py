@@ -350,8 +350,8 @@ def baseline_ctes() -> str:
     q_cols = ", ".join(f"quantile_cont({m}, [0.25, 0.75]) AS q_{m}" for m in ("volume", "sentiment", "engagement"))
     aggs, stats, force = [], [], []
     for m in ("volume", "sentiment", "engagement"):
-        inside = (f"{m} >= q_{m}[1] - 1.5 * (q_{m}[2] - q_{m}[1]) "
-                  f"AND {m} <= q_{m}[2] + 1.5 * (q_{m}[2] - q_{m}[1])")
+        inside = (f"{m} >= q_{m}[1] - 1.5 * (q_{m}[2] - q_{m}[1]) - 1e-9 "
+                  f"AND {m} <= q_{m}[2] + 1.5 * (q_{m}[2] - q_{m}[1]) + 1e-9")
         aggs.append(f"avg({m}) FILTER (WHERE {inside}) AS {m}_mean, "
                     f"stddev_pop({m}) FILTER (WHERE {inside}) AS {m}_std")
         stats.append(f"CASE WHEN n >= {K.MIN_SAMPLES} THEN {m}_mean END AS {m}_mean, "
@@ -816,7 +816,7 @@ def index_ctes() -> tuple:
     quart = ", ".join(f"quantile_cont({m}, [0.25, 0.75]) AS q_{m}" for m in ms)
     aggs, force, get = [], [], []
     for m in ms:
-        inside = f"{m} >= q_{m}[1] - 1.5 * (q_{m}[2] - q_{m}[1]) AND {m} <= q_{m}[2] + 1.5 * (q_{m}[2] - q_{m}[1])"
+        inside = f"{m} >= q_{m}[1] - 1.5 * (q_{m}[2] - q_{m}[1]) - 1e-9 AND {m} <= q_{m}[2] + 1.5 * (q_{m}[2] - q_{m}[1]) + 1e-9"
         aggs += [f"CASE WHEN any_value(n) >= {K.MIN_SAMPLES} THEN avg({m}) FILTER (WHERE {inside}) END AS {m}_mean",
                  f"CASE WHEN any_value(n) >= {K.MIN_SAMPLES} THEN greatest(stddev_pop({m}) FILTER (WHERE {inside}), 0.01) END AS {m}_std"]
         for x, d in zip(("mean", "std"), K.DEFAULT_BASELINES[m]):
