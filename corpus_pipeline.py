@@ -5,10 +5,12 @@ kept, and returns the columns of documents; the last returns packed sequences.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import packing, pii, quality, simhash, winnow
-from tidewatch.session import ensure_checkpoint_dir
+from tidewatch.session import ensure_checkpoint_dir, shared_path
 
 SHINGLE, MAX_BITS = 3, 2  # of the SimHash contract
 
@@ -45,8 +47,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents.
+
+    What a stage keeps is written as Parquet to a folder of this run in the
+    shared folder and read again, so no stage is computed twice and a lost
+    executor costs no earlier stage.  The folders stay until that folder is cleared.
+    """
     ensure_checkpoint_dir(spark)
+    folder = shared_path(spark, f"pipeline-{uuid.uuid4().hex}")
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
