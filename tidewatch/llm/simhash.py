@@ -204,15 +204,14 @@ def near_links(fps: DataFrame, max_bits: int = MAX_BITS, leaf_points: int = LEAF
     return sent.groupBy("leaf").applyInPandas(search, "u bigint, v bigint")
 
 
-def _classes(docs: DataFrame, shingle: int, max_bits: int, leaf_points: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (fp, root, component_id) of every fingerprint."""
-    marked = with_fingerprint(docs.select("doc_id", "text"), shingle).checkpoint()
+def _classes(marked: DataFrame, max_bits: int, leaf_points: int) -> DataFrame:
+    """(fp, root, component_id) of every fingerprint of ``marked`` (checkpointed: doc_id, fp)."""
     points = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     points = points.checkpoint()
     roots = components(near_links(points.select("fp"), max_bits, leaf_points))
     rooted = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked, rooted.join(names, "root").select("fp", "root", "component_id")
+    return rooted.join(names, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, leaf_points: int = LEAF_POINTS) -> DataFrame:
@@ -225,31 +224,35 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     never name a class unless it has no other.  Repeated rows give repeated
     results.  An empty table gives an empty result.
     """
-    marked, classes = _classes(docs, shingle, max_bits, leaf_points)
+    marked = with_fingerprint(docs.select("doc_id", "text"), shingle).checkpoint()
+    classes = _classes(marked, max_bits, leaf_points)
     return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """One document of each class: the one with the smallest doc_id.
+    """One document of each class: the one with the smallest doc_id (null ids
+    last), of equal ids the one whose whole row has the smallest SHA-256.
 
-    A class of null ids only keeps one row.  Rows that repeat an id can't be
-    told apart by it; of those that stand for a class one row stays.
+    So every class keeps a row, whatever its ids, and the choice depends on
+    the rows alone, not on their order or on how often the plan runs.  Of
+    wholly identical rows one stays.  Only ids and digests are grouped, per
+    fingerprint first, so a large class is no hot key.
     """
-    marked, classes = _classes(docs, shingle, max_bits, LEAF_POINTS)
-    classes = classes.checkpoint()
-    stay = (marked.join(classes, "fp").where(F.col("doc_id") == F.col("component_id")).groupBy("doc_id")
-            .agg(F.count(F.lit(1)).alias("n")).select(F.col("doc_id").alias("_id"), "n").checkpoint())
-    kept = docs.join(stay.where("n = 1"), F.col("doc_id") == F.col("_id"), "left_semi")
-    several = stay.where("n > 1")
+    # Nulls are left out of the JSON text, each field has its name: no two rows read alike.
+    content = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256)
+    marked = (docs.select("doc_id", content.alias("content"), _fingerprints(shingle)("text").alias("fp")).checkpoint())
+    classes = _classes(marked, max_bits, LEAF_POINTS)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "content")).alias("first")
+    firsts = (marked.groupBy("fp").agg(first).join(classes, "fp").groupBy("root").agg(F.min("first").alias("first"))
+              .select(F.col("first.content").alias("content")))
+    stay = marked.join(firsts, "content", "left_semi").groupBy("content").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("content", "_c").checkpoint()
+    # The rows travel as a struct: columns of docs may have any name.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), content.alias("_c"))
+    kept = rows.join(stay.where("_n = 1"), "_c", "left_semi")
+    several = stay.where("_n > 1")
     if not several.isEmpty():
-        kept = kept.unionByName(docs.join(several, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
-    nameless = classes.where("component_id is null").select("fp", "root")
-    if not nameless.isEmpty():
-        # The rows travel as a struct: columns of docs may be called fp or root.
-        rows = (docs.where("doc_id is null").select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-                .select("row", _fingerprints(shingle)("text").alias("fp")))
-        kept = kept.unionByName(rows.join(nameless, "fp").dropDuplicates(["root"]).select("row.*"))
-    return kept
+        kept = kept.unionByName(rows.join(several, "_c", "left_semi").dropDuplicates(["_c"]))
+    return kept.select("row.*")
 
 
 def simhash_report(docs: DataFrame) -> DataFrame:
