@@ -47,7 +47,7 @@ def test_pii(docs):
 
 def test_licenses(spark, docs):
     rows = licenses.license_report(docs, spark).collect()
-    assert len(rows) == N - 1                      # the repeated row is judged once
+    assert len(rows) == N                          # judged once, returned per row
     assert {x.doc_id: x.labels for x in rows}[8] == "mit"
     assert {x.doc_id: (x.n_words, x.first_word, x.score) for x in rows}[1] == (0, None, 0.0)
 
@@ -67,13 +67,27 @@ def test_simhash(docs):
 
 def test_winnow(docs, bench):
     rows = winnow.decontamination_report(docs, bench).collect()
-    assert len(rows) == N - 1
+    assert len(rows) == N and sum(x.doc_id == 4 and x.n_words == 3 for x in rows) == 2
     hit = {(x.doc_id, x.n_words): x.n_hit for x in rows if x.contaminated}
     assert hit == {(4, 2): 2}                      # null item ids are ignored
     kept = winnow.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns and kept.count() == N - 1
 
 
+def test_winnow_blocks_are_bounded(spark, bench):
+    """A preamble that all items share: every block within its bytes, same result as one block."""
+    pre = " ".join(f"pre{i}" for i in range(14))
+    items = spark.createDataFrame([(i, f"{pre} item{i} " + " ".join(f"t{i}x{j}" for j in range(12))) for i in range(300)], "item_id int, text string")
+    d = spark.createDataFrame([(1, f"so {pre} it goes"), (2, "nothing here at all"), (3, "see item7 " + " ".join(f"t7x{j}" for j in range(12)))], "doc_id int, text string")
+
+    def rows(**kw):
+        return {x.key.id: (x.n_words, x.n_hit, tuple(x["items"])) for x in winnow.contaminated_words(d, items, **kw).collect()}
+
+    got = rows(block_bytes=100_000)
+    assert got == rows()
+    assert got["1"][:2] == (17, 14) and len(got["1"][2]) == 300 and got["2"] == (4, 0, ()) and got["3"] == (14, 13, ("7",))
+
+
 def test_packing(docs):
     rows = packing.pack(docs).collect()
     assert sum(x.n_tokens for x in rows if x.doc_id == 5) == 40_000
@@ -136,3 +150,20 @@ def test_stages_on_edges(spark, docs, tmp_path):
         else:
             assert got.columns == docs.columns, name
         assert stage(spark, empty_table(spark), bench_dir).count() == 0, name
+
+
+def test_quality_bounds_follow_the_source(spark):
+    """The same text, in a source where its symbols are usual and in one where they are not."""
+    prose = " ".join(f"word{i}" for i in range(60))
+
+    def text(n):
+        return prose + " " + " ".join(["#tag"] * n) + " " + " ".join(f"z{i}" for i in range(40))
+
+    rows = [(s * 100 + i, text(20 + i if s else 0), "en", f"s{s}") for s in (0, 1) for i in range(40)]
+    rows += [(900, text(100), "en", "s0"), (901, text(100), "en", "s1")]
+    d = spark.createDataFrame(rows, "doc_id int, text string, lang string, source string")
+    got = {x.doc_id: (x.kept, x.failed_rules) for x in quality.judge(quality.with_measures(d)).collect()}
+    assert not got[900][0] and "symbol_share_high" in got[900][1]
+    assert "symbol_share_high" not in got[901][1]
+    assert all("symbol_share_high" not in got[100 + i][1] for i in range(40))
+    assert quality.fit_bounds(quality.with_measures(d)).where("level = 0").count() == 2

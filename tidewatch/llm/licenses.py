@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewatch.llm.text import WordHasher, gram_hashes, lower_alnum_words
+from tidewatch.llm.text import WordHasher, gram_hashes, lower_alnum_words, per_row
 
 # Fixed phrases of the base scan and their labels.
 PHRASES = {
@@ -141,15 +141,16 @@ def scan_licenses(docs: DataFrame, spark: SparkSession, phrases=PHRASES, templat
 
 def license_report(docs: DataFrame, spark: SparkSession) -> DataFrame:
     """Digest columns per document; score is 1 for a whole phrase, else the
-    best coverage of a verified template span, else 0."""
-    d = scan_licenses(docs.select("doc_id", "text"), spark)
+    best coverage of a verified template span, else 0.  Repeated rows give
+    repeated results."""
+    d = per_row(docs, scan_licenses(docs.select("doc_id", "text"), spark))
 
     def labels(x):
         return F.transform(x, lambda s: s["label"])
 
     best = F.array_max(F.transform("spans", lambda s: s["coverage"]))
     return d.select(
-        F.col("key.id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("n_words").cast("bigint").alias("n_words"),
+        "doc_id", F.col("n_words").cast("bigint").alias("n_words"),
         F.size("base").cast("bigint").alias("n_base"), F.array_min(F.transform("base", lambda s: s["start"])).alias("first_word"),
         F.array_max(F.transform("base", lambda s: s["start"])).alias("last_word"),
         F.array_join(F.array_sort(F.array_distinct(labels(F.col("base")))), ",").alias("base_labels"),

@@ -7,12 +7,6 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 16 << 20
 
 
-def fixed_width_blocks(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> int:
-    """How many blocks of at most ``limit`` bytes a checkpointed table of
-    ``row_bytes``-wide rows makes (at least 1)."""
-    return max(1, -(-df.count() * row_bytes // limit))
-
-
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a checkpointed table for broadcast if its rows, ``row_bytes`` wide
     at most, fit the limit; otherwise the join stays a shuffle join, whose

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -76,6 +76,14 @@ def spans(text: Column, pattern: str, gate: str | None = None) -> Column:
     return F.when(hit, found).otherwise(F.array().cast(kind))
 
 
+def per_row(docs: DataFrame, judged: DataFrame) -> DataFrame:
+    """doc_id of every row of ``docs`` with the result of its (id, text), which
+    ``judged`` holds once under ``key`` struct<id string, h = xxhash64(text)>.
+    Only ids and hashes of the documents are shuffled."""
+    rows = docs.select("doc_id", F.col("doc_id").cast("string").alias("_id"), F.xxhash64("text").alias("_h"))
+    return rows.join(judged, F.col("_id").eqNullSafe(F.col("key.id")) & (F.col("_h") == F.col("key.h")))
+
+
 def span_digest(labelled: Column) -> Column:
     """'kind:start:end' strings of an array of structs (kind, s, e), joined by commas."""
     return F.array_join(F.transform(labelled, lambda x: F.concat_ws(

@@ -8,8 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.sizes import fixed_width_blocks
-from tidewatch.llm.text import WordHasher, gram_hashes, lower_alnum_words
+from tidewatch.llm.sizes import BROADCAST_BYTES
+from tidewatch.llm.text import WordHasher, gram_hashes, lower_alnum_words, per_row
 
 WINDOW = 10   # words of a shared span that must be found
 GRAM = 5      # words hashed together
@@ -71,9 +71,10 @@ def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """(key, n_words, item_id, s, n): places where a window of an item occurs;
     one row without an item per document besides.
 
-    ``items`` is one broadcast block of (k, f, p, item_id, words).  A shared
-    gram fixes the diagonal; every window of the item that holds the gram is
-    compared word by word with the document there.  A list of the document's
+    ``items`` is one broadcast block of (k, f, p, item_id, words): a gram with
+    the words of the item that a window around it can reach, and its place
+    among them.  A shared gram fixes the diagonal; every window that holds the
+    gram is compared word by word with the document there.  A list of the document's
     grams is exploded and looked up in one stage, so only matches carry words on.
     """
     grams = docs.select("key", "n_words", "words", F.explode(F.concat("fps", F.array(F.struct(
@@ -90,7 +91,22 @@ def _hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
         F.col("ip").isNotNull(), F.transform(starts, lambda s: F.col("g.p") - F.col("ip") + s))).alias("s")).where("item_id is null or s is not null")
 
 
-def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id") -> DataFrame:
+def _blocks(items: DataFrame, row_bytes: int, limit: int) -> tuple[DataFrame, int]:
+    """``items`` with a column ``block``, and the number of blocks, none of
+    which holds more than ``limit`` bytes by a count of its rows.  Rows are
+    dealt by all their values, so a gram that very many items share lies in
+    every block like any other."""
+    n = max(1, -(-items.count() * row_bytes // limit))
+    while True:
+        dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "k", "f", "p", "words"), F.lit(n)).cast("int"))
+        most = dealt.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+        if n == 1 or most * row_bytes <= limit:
+            return dealt, n
+        n += -(-n // 4)
+
+
+def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
+                       block_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(key, n_words, n_hit, items) per distinct (id, text).
 
     ``key`` is struct<id string, h = xxhash64(text)>, so repeated rows are
@@ -99,21 +115,25 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     inside any occurrence.  Null or empty texts have no words; an empty
     benchmark marks nothing; null item ids are ignored.
 
-    The benchmark's kept grams are checkpointed and cut into blocks of a
-    proven byte size; the documents meet one broadcast block after another,
-    so neither side's size changes the plan.
+    The benchmark's kept grams are checkpointed and cut into blocks whose
+    byte size is counted; a row holds the item's words around one gram, less
+    than two windows whatever the item's length.  The documents meet one
+    broadcast block after another, so neither side's size changes the plan.
     """
+    from_word = F.greatest(F.col("g.p") - (window - F.abs("g.k")), F.lit(0))
     items = (_keyed(benchmark.where(F.col("item_id").isNotNull()), "item_id")
              .mapInArrow(_marks([], window, gram, True), _SCHEMA).select(F.col("key.id").alias("item_id"), "words", F.explode("fps").alias("g"))
-             .select("item_id", "words", "g.*").distinct().checkpoint())
-    short = sorted(-r.k for r in items.where("k < 0").select("k").distinct().collect())
-    width = 40 + 8 * (items.agg(F.max(F.size("words"))).first()[0] or 0) + 24
-    n = fixed_width_blocks(items, width)
+             .select("item_id", F.slice("words", from_word + 1, F.col("g.p") + window - from_word).alias("words"), F.col("g.k").alias("k"),
+                     (F.col("g.p") - from_word).alias("p"), F.col("g.f").alias("f")).distinct().checkpoint())
+    short = sorted(-r.k for r in items.where("k < 0").select("k").distinct().collect())  # lengths below a window
+    id_bytes = items.agg(F.max(F.octet_length("item_id"))).first()[0] or 0
+    items, n = _blocks(items, 64 + id_bytes + 8 * 2 * window, block_bytes)
     marked = _keyed(docs, id_col).mapInArrow(_marks(short, window, gram, False), _SCHEMA)
+    if n > 1:
+        marked = marked.checkpoint()
     hits = None
     for i in range(n):
-        block = items.where(F.pmod(F.xxhash64("f"), F.lit(n)) == i) if n > 1 else items
-        part = _hits(marked, block, window)
+        part = _hits(marked, items.where(F.col("block") == i), window)
         hits = part if hits is None else hits.unionByName(part)
     rows = hits.select("key", "n_words", "item_id", F.explode_outer(F.sequence("s", F.col("s") + F.col("n") - 1)).alias("w"))
     return rows.groupBy("key", "n_words").agg(F.count_distinct("w").alias("n_hit"), F.array_sort(F.collect_set("item_id")).alias("items"))
@@ -127,8 +147,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDO
 
 
 def decontamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated."""
-    d = contaminated_words(docs, benchmark)
-    return d.select(F.col("key.id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), F.col("n_words").cast("bigint").alias("n_words"),
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated.
+    Repeated rows give repeated results."""
+    d = per_row(docs, contaminated_words(docs, benchmark))
+    return d.select("doc_id", F.col("n_words").cast("bigint").alias("n_words"),
                     F.col("n_hit").cast("bigint").alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                     F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
