@@ -18,7 +18,8 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 TERM = r"[\p{L}\p{M}]{4,}+"
 BLOCK = 4096           # code points per block a text is cut into for slicing
 WINDOW = 80            # code points of context on either side of an entity
-MIN_SUPPORT = 3        # documents a term and an entity must share
+MIN_SUPPORT = 2        # documents a term must share with an entity's generalisation
+PRIOR = 1.0            # documents' worth of belief in the estimate by the generalisation
 GENERALISE_SHARE = 0.5  # P(entity | term) from which a term is generalised
 REMOVE_SHARE = 0.8     # ... and from which it is removed
 
@@ -96,12 +97,16 @@ def _context(blocks: Column, n: Column, x: Column) -> Column:
 
 
 def disclosing_terms(frozen: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
-    """(value, t, remove): terms that reveal an entity.
-
-    All probabilities are shares of documents: P(t) over the whole corpus,
-    P(t, e) over documents that hold t in the window of e.  A term reveals e
-    if PMI(t; e) reaches the information content of e's generalisation, it
-    shares MIN_SUPPORT documents with e, and P(e | t) reaches a share bound.
+    """(general, t, remove): terms that reveal an entity of a generalisation.
+
+    All counts are of documents: n_t hold the term, n_te hold it in the window
+    of the entity e, n_tg in the window of any entity that generalises to g
+    (its domain, network, issuer or prefix); n_e and n_g hold e and g.  How
+    strongly t reveals e is P(e | t), which for a rare entity is backed off to
+    its generalisation: (n_te + PRIOR * P(g | t) * P(e | g)) / (n_t + PRIOR).
+    t reveals e if that reaches a share bound, the PMI by the same estimate
+    reaches the information content of g, and t shares MIN_SUPPORT documents
+    with g: a term of one document tells no more than the document itself.
     Every count is taken from distinct values per document and pre-aggregated
     by the tasks, so a frequent entity or term is no hot key.
     """
@@ -109,20 +114,24 @@ def disclosing_terms(frozen: DataFrame, docs: DataFrame, n_docs: int) -> DataFra
         x = frozen.select(F.explode(F.array_distinct(values)).alias("x"))
         return x.select("x.*" if len(names) > 1 else F.col("x").alias(names[0])).groupBy(*names).count()
 
-    n_pair = counted(F.flatten(F.transform("ents", lambda e: F.transform(
-        e["terms"], lambda t: F.struct(e["value"].alias("value"), e["general"].alias("general"), t["t"].alias("t"))))),
-        "value", "general", "t").withColumnRenamed("count", "n_te").where(F.col("n_te") >= MIN_SUPPORT)
-    n_value = counted(F.transform("ents", lambda e: e["value"]), "value").withColumnRenamed("count", "n_e")
-    n_general = counted(F.transform("ents", lambda e: e["general"]), "general").withColumnRenamed("count", "n_g")
-    n_term = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("t"))
-              .groupBy("t").agg(F.count(F.lit(1)).alias("n_t")))
+    def pairs(*fields):
+        return F.flatten(F.transform("ents", lambda e: F.transform(
+            e["terms"], lambda t: F.struct(*[e[f].alias(f) for f in fields], t["t"].alias("t")))))
+
+    n_te = counted(pairs("value", "general"), "value", "general", "t").withColumnRenamed("count", "n_te")
+    n_tg = counted(pairs("general"), "general", "t").withColumnRenamed("count", "n_tg").where(F.col("n_tg") >= MIN_SUPPORT)
+    n_e = counted(F.transform("ents", lambda e: e["value"]), "value").withColumnRenamed("count", "n_e")
+    n_g = counted(F.transform("ents", lambda e: e["general"]), "general").withColumnRenamed("count", "n_g")
+    n_t = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("t"))
+           .groupBy("t").agg(F.count(F.lit(1)).alias("n_t")))
     n = F.lit(float(n_docs))
-    share = F.col("n_te") / F.greatest(F.col("n_t"), F.col("n_te"))
-    pmi = F.log2(F.col("n_te") * n / (F.greatest(F.col("n_t"), F.col("n_te")) * F.col("n_e")))
-    ic = -F.log2(F.col("n_g") / n)
-    return (n_pair.join(n_term, "t").join(n_value, "value").join(n_general, "general")
-            .where((share >= GENERALISE_SHARE) & (pmi >= ic - 1e-9))
-            .select("value", "t", (share >= REMOVE_SHARE).alias("remove")))
+    terms = F.greatest(F.col("n_t"), F.col("n_tg")).cast("double")
+    share = (F.col("n_te") + F.lit(PRIOR) * (F.col("n_tg") / terms) * (F.col("n_e") / F.col("n_g"))) / (terms + F.lit(PRIOR))
+    pmi, content = F.log2(share * n / F.col("n_e")), -F.log2(F.col("n_g") / n)
+    return (n_te.join(n_tg, ["general", "t"]).join(n_t, "t").join(n_e, "value").join(n_g, "general")
+            .withColumn("share", share)
+            .where((F.col("share") >= GENERALISE_SHARE - 1e-9) & (pmi >= content - 1e-9))
+            .groupBy("general", "t").agg(F.max(F.col("share") >= REMOVE_SHARE - 1e-9).alias("remove")))
 
 
 def _redacted(text: Column, marks: Column) -> Column:
@@ -160,7 +169,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     """Adds ``pii``: array<struct<k, s, e, kind>> by kind, then start (base
     spans, then disclosing terms as kind ``term``), and ``clean``: the text
     with entities replaced by their kind and disclosing terms generalised or
-    removed.
+    removed wherever they stand in a text that holds the entity or its
+    generalisation.
 
     Rows without an entity are untouched and take no part in any shuffle of
     texts.  The rows with entities are checkpointed once (spark.checkpoint.dir)
@@ -179,10 +189,19 @@ def sanitise(docs: DataFrame) -> DataFrame:
                   _context(F.col("blocks"), F.col("n"), x).alias("terms"))))
               .select(F.monotonically_increasing_id().alias("rid"), "row", "text", "ents").checkpoint())
     told = disclosing_terms(frozen, docs.select("text"), docs.count())
-    near = frozen.select("rid", F.explode("ents").alias("x")).select("rid", "x.value", F.explode("x.terms").alias("w")).select("rid", "value", "w.t", "w.s", "w.e")
-    marked = (near.join(told, ["value", "t"]).groupBy("rid", "s", "e").agg(F.max("remove").alias("remove"))
+    # (rid, t) of the terms that a text with an entity of that generalisation holds anywhere.
+    has = frozen.select("rid", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("t"))
+    kinds = frozen.select("rid", F.explode(F.array_distinct(F.transform("ents", lambda e: e["general"]))).alias("general"))
+    found = (has.join(told, "t").join(kinds, ["rid", "general"])
+             .groupBy("rid", "t").agg(F.max("remove").alias("remove")).checkpoint())
+    # Every place of such a term; texts without one take no part.
+    places = (frozen.join(found.select("rid").distinct(), "rid", "left_semi")
+              .select("rid", F.explode_outer(spans(F.col("text"), TERM)).alias("w")).select("rid", F.lower("w.m").alias("t"), "w.s", "w.e"))
+    marked = (places.join(found, ["rid", "t"])
               .groupBy("rid").agg(F.collect_list(F.struct("s", "e", "remove")).alias("terms")))
     held = frozen.join(marked, "rid", "left").withColumn("terms", F.coalesce("terms", F.array().cast("array<struct<s:bigint,e:bigint,remove:boolean>>")))
+    # Letters inside an entity go with the entity.
+    held = held.withColumn("terms", F.filter("terms", lambda t: ~F.exists("ents", lambda x: (x["s"] < t["e"]) & (t["s"] < x["e"]))))
     pii = F.array_sort(F.concat(
         F.transform("ents", lambda x: F.struct(x["k"], x["s"], x["e"], x["kind"])),
         F.transform("terms", lambda t: F.struct(F.lit(len(KINDS)).alias("k"), t["s"], t["e"], F.lit("term").alias("kind")))))

@@ -15,27 +15,36 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
 
+# Shares of rows at which a group's sketch is read, from the median outwards:
+# the tail is halved at each step (all are exact binary fractions).
+STEPS = (0.5, 0.75, 0.875, 0.9375, 0.96875)
+TAIL_RATIO = 3.0
+
+
 @dataclass(frozen=True)
 class Rule:
     """An adaptive bound on one measure.
 
-    A document fails when its measure lies above q3 + max(reach * (q3 - q1),
-    spread) of its group, or, for ``low``, as far below q1.  ``spread`` is the
-    least distance that counts as unusual, so groups without any variation
-    don't reject small deviations.
+    ``_edge`` walks a group's quantiles from the median outwards for as long as
+    the next one is at most TAIL_RATIO times as far from the median as the one
+    before, or within ``floor`` of the median: where the tail breaks away from
+    the body, the body ends.  A document fails when it lies further out than
+    the body's end by more than ``reach`` times the body's width.  ``floor`` is
+    the least distance from the median that counts as unusual; it decides only
+    in groups whose body has hardly any width.  ``low`` looks at the lower side.
     """
     measure: str
-    spread: float
+    floor: float
     reach: float = 6.0
     low: bool = False
 
 
 RULES = (
     Rule("symbol_share", 0.06),
-    Rule("dup_line_share", 0.50),
-    Rule("repeat_share", 0.40),
-    Rule("word_length", 4.0, low=False),
-    Rule("word_length", 2.5, low=True),
+    Rule("dup_line_share", 0.35),
+    Rule("repeat_share", 0.25),
+    Rule("word_length", 2.0),
+    Rule("word_length", 1.0, low=True),
 )
 # Groups smaller than this take the bounds of their language, then of all rows.
 MIN_GROUP = 20
@@ -90,28 +99,45 @@ def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def fit_bounds(measured: DataFrame, rules=RULES) -> DataFrame:
-    """Quartiles per (lang, source), per lang and overall, in one pass.
+    """Quantiles per (lang, source), per lang and overall, in one pass.
 
     ``approx_percentile`` is a mergeable quantile sketch: each task sketches
     its rows, only the sketches are shuffled, so a source with a third of all
     rows costs no more than any other.  Columns: level (0 group, 1 language,
-    2 all), lang, source, n, q (struct of one quartile array per measure).
+    2 all), lang, source, n, q (struct of one array per measure: the quantiles
+    of the lower tail, the median, those of the upper tail, ascending).
     """
     names = list(dict.fromkeys(r.measure for r in rules))
-    sketch = [F.percentile_approx(m, [0.25, 0.75], ACCURACY).alias(m) for m in names]
+    shares = [1 - p for p in STEPS[:0:-1]] + list(STEPS)
+    sketch = [F.percentile_approx(m, shares, ACCURACY).alias(m) for m in names]
     rolled = (measured.select("lang", "source", *names).rollup("lang", "source")
               .agg(F.grouping_id().alias("gid"), F.count(F.lit(1)).alias("n"), F.struct(*sketch).alias("q")))
     level = F.when(F.col("gid") == 0, 0).when(F.col("gid") == 1, 1).otherwise(2)
     return rolled.select(level.alias("level"), "lang", "source", "n", "q")
 
 
-def _fails(q: Column, rules) -> Column:
-    """Names of the rules a row breaks under the quartiles ``q``."""
+def _edge(q: Column, rule: Rule) -> Column:
+    """The value beyond which a row breaks ``rule``, from its group's quantiles."""
+    mid, sign = len(STEPS) - 1, -1 if rule.low else 1
+    median = q[mid]
+
+    def away(i):
+        return (q[mid + sign * i] - median) * sign
+
+    def body(i):
+        if i == len(STEPS) - 1:
+            return away(i)
+        joined = away(i + 1) <= F.greatest(F.lit(TAIL_RATIO) * away(i), F.lit(rule.floor))
+        return F.when(joined, body(i + 1)).otherwise(away(i))
+
+    return median + F.greatest(body(1) * (1 + rule.reach), F.lit(rule.floor)) * sign
+
+
+def _fails(edges: Column, rules) -> Column:
+    """Names of the rules a row breaks, given the edge of every rule."""
     found = []
-    for r in rules:
-        lo, hi = q[r.measure][0], q[r.measure][1]
-        reach = F.greatest(F.lit(r.reach) * (hi - lo), F.lit(r.spread))
-        broken = F.col(r.measure) < lo - reach if r.low else F.col(r.measure) > hi + reach
+    for i, r in enumerate(rules):
+        broken = F.col(r.measure) < edges[i] if r.low else F.col(r.measure) > edges[i]
         found.append(F.when(broken, F.lit(r.measure + ("_low" if r.low else "_high"))))
     return F.filter(F.array(*found), lambda x: x.isNotNull())
 
@@ -133,8 +159,9 @@ def judge(measured: DataFrame, rules=RULES, min_group: int = MIN_GROUP) -> DataF
     # One row per (lang, source): the fallbacks are settled on this small table first.
     table = (groups.join(langs, F.col("_l").eqNullSafe(F.col("_l1")), "left").join(whole, F.lit(True), "left")
              .select("_l", "_s", F.when(F.col("_n0") >= min_group, F.col("_q0"))
-                     .when(F.col("_n1") >= min_group, F.col("_q1")).otherwise(F.col("_q2")).alias("_q")))
-    table = broadcast_if_small(table.checkpoint(), 200 + 50 * len(rules))
+                     .when(F.col("_n1") >= min_group, F.col("_q1")).otherwise(F.col("_q2")).alias("_q"))
+             .select("_l", "_s", F.array(*[_edge(F.col("_q")[r.measure], r) for r in rules]).alias("_q")))
+    table = broadcast_if_small(table.checkpoint(), 200 + 10 * len(rules))
     joined = measured.join(table, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * F.col("n_words"))
     return (joined.withColumn("base_failed", base_failed).withColumn("failed_rules", _fails(F.col("_q"), rules))

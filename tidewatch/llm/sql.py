@@ -115,18 +115,24 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 
 def _quality() -> str:
     names = list(dict.fromkeys(r.measure for r in quality.RULES))
+    steps = quality.STEPS
+
     # The sketch returns the value at rank ceil(p * n), n without nulls.
     def q(m, p):
-        return f"list_sort(list({m}))[CAST(ceil({p} * count({m})) AS BIGINT)]"
+        return f"list_sort(list({m}))[CAST(ceil({p}::DOUBLE * count({m})) AS BIGINT)]"
 
-    quart = ", ".join(f"{q(m, 0.25)} AS {m}_lo, {q(m, 0.75)} AS {m}_hi" for m in names)
-    pick = ", ".join(f"CASE WHEN g.n >= {quality.MIN_GROUP} THEN g.{m}_{s} WHEN l.n >= {quality.MIN_GROUP} THEN l.{m}_{s} ELSE a.{m}_{s} END AS {m}_{s}"
-                     for m in names for s in ("lo", "hi"))
+    shares = [1 - p for p in steps[:0:-1]] + list(steps)
+    quart = ", ".join(f"[{', '.join(q(m, p) for p in shares)}] AS {m}_q" for m in names)
+    pick = ", ".join(f"CASE WHEN g.n >= {quality.MIN_GROUP} THEN g.{m}_q WHEN l.n >= {quality.MIN_GROUP} THEN l.{m}_q ELSE a.{m}_q END AS {m}_q" for m in names)
     fails = []
     for r in quality.RULES:
-        reach = f"greatest({r.reach} * ({r.measure}_hi - {r.measure}_lo), {r.spread})"
-        test = f"{r.measure} < {r.measure}_lo - {reach}" if r.low else f"{r.measure} > {r.measure}_hi + {reach}"
-        fails.append(f"CASE WHEN {test} THEN '{r.measure}_{'low' if r.low else 'high'}' END")
+        mid, sign = len(steps), -1 if r.low else 1
+        away = [f"(({r.measure}_q[{mid + sign * i}] - {r.measure}_q[{mid}]) * {sign})" for i in range(len(steps))]
+        body = away[-1]
+        for i in range(len(steps) - 2, 0, -1):
+            body = f"CASE WHEN {away[i + 1]} <= greatest({quality.TAIL_RATIO}::DOUBLE * {away[i]}, {r.floor}::DOUBLE) THEN {body} ELSE {away[i]} END"
+        edge = f"{r.measure}_q[{mid}] + greatest(({body}) * {1 + r.reach}::DOUBLE, {r.floor}::DOUBLE) * {sign}"
+        fails.append(f"CASE WHEN {r.measure} {'<' if r.low else '>'} {edge} THEN '{r.measure}_{'low' if r.low else 'high'}' END")
     return rf"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS text, {_SPACE_WORDS.format('text')} AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
@@ -185,14 +191,20 @@ raw AS (SELECT *, unnest(regexp_extract_all(x, '[\\p{{L}}\\p{{M}}]{{4,}}')) AS t
 term AS (SELECT *, sum(length(g) + length(coalesce(t, ''))) OVER (PARTITION BY sid ORDER BY i) AS e FROM raw),
 near AS (SELECT doc_id, value, general, lower(t) AS t, CAST(org + e - length(t) AS BIGINT) AS s, CAST(org + e AS BIGINT) AS e FROM term
          WHERE t IS NOT NULL AND NOT (e = length(t) AND cut_l) AND NOT (e = n AND cut_r)),
-n_pair AS (SELECT value, general, t, count(DISTINCT doc_id) AS n_te FROM near GROUP BY ALL HAVING count(DISTINCT doc_id) >= {pii.MIN_SUPPORT}),
+n_te AS (SELECT value, general, t, count(DISTINCT doc_id) AS n_te FROM near GROUP BY ALL),
+n_tg AS (SELECT general, t, count(DISTINCT doc_id) AS n_tg FROM near GROUP BY ALL HAVING count(DISTINCT doc_id) >= {pii.MIN_SUPPORT}),
 n_value AS (SELECT value, count(DISTINCT doc_id) AS n_e FROM named GROUP BY value),
 n_general AS (SELECT general, count(DISTINCT doc_id) AS n_g FROM named GROUP BY general),
 n_term AS (SELECT t, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{M}}]{{4,}}'))) AS t FROM documents) GROUP BY t),
-told AS (SELECT value, t FROM n_pair JOIN n_value USING (value) JOIN n_general USING (general) JOIN n_term USING (t), (SELECT count(*) AS n FROM documents)
-         WHERE n_te / greatest(n_t, n_te) >= {pii.GENERALISE_SHARE}
-           AND log2(n_te * n / (greatest(n_t, n_te) * n_e)) >= -log2(n_g / n) - 1e-9),
-every AS (SELECT doc_id, kind, k, s, e FROM ents UNION ALL SELECT DISTINCT doc_id, 'term', 4, s, e FROM near JOIN told USING (value, t)),
+judged AS (SELECT *, (n_te + {pii.PRIOR}::DOUBLE * (n_tg / greatest(n_t, n_tg)) * (n_e / n_g)) / (greatest(n_t, n_tg) + {pii.PRIOR}::DOUBLE) AS share
+           FROM n_te JOIN n_tg USING (general, t) JOIN n_value USING (value) JOIN n_general USING (general) JOIN n_term USING (t)),
+told AS (SELECT DISTINCT general, t FROM judged, (SELECT count(*) AS n FROM documents)
+         WHERE share >= {pii.GENERALISE_SHARE}::DOUBLE - 1e-9 AND log2(share * n / n_e) >= -log2(n_g / n) - 1e-9),
+{_spans('word', 'term', 4, '[\\p{L}\\p{M}]{4,}', '(SELECT doc_id, text FROM documents WHERE doc_id IN (SELECT doc_id FROM named JOIN told USING (general)))')},
+every AS (SELECT doc_id, kind, k, s, e FROM ents UNION ALL
+          SELECT doc_id, kind, k, s, e FROM word
+          WHERE EXISTS (SELECT 1 FROM told JOIN named USING (general) WHERE told.t = lower(word.m) AND named.doc_id = word.doc_id)
+            AND NOT EXISTS (SELECT 1 FROM ents WHERE ents.doc_id = word.doc_id AND ents.s < word.e AND word.s < ents.e)),
 f AS (SELECT doc_id, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS t, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k < 4) AS bt,
              {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in (*pii.KINDS, 'term'))} FROM every GROUP BY doc_id)
 SELECT d.doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in (*pii.KINDS, 'term'))}, sha256(coalesce(bt, '')) AS base_sha256, coalesce(t, '') AS spans
