@@ -167,3 +167,16 @@ def test_quality_bounds_follow_the_source(spark):
     assert "symbol_share_high" not in got[901][1]
     assert all("symbol_share_high" not in got[100 + i][1] for i in range(40))
     assert quality.fit_bounds(quality.with_measures(d)).where("level = 0").count() == 2
+
+
+def test_packing_one_id_of_most_rows(spark):
+    """A repeated id, or null, with most of the rows: places without gaps, the same on another partitioning."""
+    rows = [(None if i % 3 else 7, " ".join(["w"] * (1 + i % 5))) for i in range(3_000)] + [(i, "a b") for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    def packed(d):
+        return sorted(map(str, packing.pack(d, buckets=2, batch_tokens=50).collect()))
+    got = packing.pack(docs, buckets=2, batch_tokens=50).collect()
+    for bucket in {x.bucket for x in got}:
+        per = max(50 // bucket, 1)
+        assert sorted(x.batch * per + x.slot for x in got if x.bucket == bucket) == list(range(sum(x.bucket == bucket for x in got)))
+    assert len(got) == len(rows) and packed(docs) == packed(docs.repartition(7))

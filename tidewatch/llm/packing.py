@@ -3,15 +3,16 @@ histogram, then token-budget batches inside each bucket."""
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.merkle import placed
 from tidewatch.llm.text import space_words
 
 MAX_LEN = 2048       # tokens of a sequence; longer texts become several
 BUCKETS = 8
 BATCH_TOKENS = 16_384
-SHARD_CHARS = 2      # hex digits of the shard a sequence is numbered in
+SHARD_CHARS = 2      # hex digits of the MD5 that mix the order of a bucket
 
 
 def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
@@ -62,14 +63,15 @@ def pack(docs: DataFrame, n_tokens: Column | None = None, max_len: int = MAX_LEN
 
     The histogram has at most ``max_len`` rows whatever the corpus size; only
     it reaches the driver.  A batch holds batch_tokens // bucket sequences (at
-    least one).  A bucket may hold most of the rows, so sequences are numbered
-    in shards (two hex digits of the MD5 of id and piece) and shifted by the
-    row counts of the shards before, a table of buckets x 256 rows.  The order
-    inside a shard is (doc_id, piece).  The sequences are checkpointed, so the
-    texts are read once.
+    least one).  A bucket's sequences are numbered in the order of (first two
+    hex digits of the MD5 of id and piece, doc_id, piece, n_tokens) by one sort
+    by ranges and the row counts of the ranges before, so neither a bucket with
+    most of the rows nor an id that many rows repeat, null included, is one
+    task's.  The sequences are checkpointed, so the texts are read once.
 
-    Null and empty texts make no sequence; null ids are packed (they sort
-    first); repeated rows are packed each, in any order among themselves.
+    Null and empty texts make no sequence; null ids are packed (before others
+    of their digits); repeated rows are packed each, and as they are equal in
+    all columns but batch and slot, the result is the same whatever their order.
     """
     shard = F.substring(F.md5(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("piece").cast("string"))), 1, SHARD_CHARS)
     seqs = sequences(docs, n_tokens, max_len).withColumn("shard", shard).checkpoint()
@@ -78,14 +80,7 @@ def pack(docs: DataFrame, n_tokens: Column | None = None, max_len: int = MAX_LEN
     bucket = F.lit(None).cast("bigint")
     for b in reversed(bounds):
         bucket = F.when(F.col("n_tokens") <= b, F.lit(b).cast("bigint")).otherwise(bucket)
-    placed = seqs.withColumn("bucket", bucket)
-    counts = placed.groupBy("bucket", "shard").count()
-    before = F.broadcast(counts.select(  # len(bounds) x 256 rows at most
-        F.col("bucket").alias("_b"), F.col("shard").alias("_s"),
-        F.coalesce(F.sum("count").over(Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before")))
-    rank = F.row_number().over(Window.partitionBy("bucket", "shard").orderBy("doc_id", "piece")) - 1
-    numbered = (placed.withColumn("_rank", rank).join(before, (F.col("bucket") == F.col("_b")) & (F.col("shard") == F.col("_s")))
-                .withColumn("_rank", F.col("_rank") + F.col("_before")))
+    numbered = placed(seqs.withColumn("bucket", bucket), "bucket", ["shard", "doc_id", "piece", "n_tokens"])
     per_batch = F.greatest(F.floor(F.lit(batch_tokens) / F.col("bucket")), F.lit(1)).cast("bigint")
     return numbered.select("doc_id", "piece", "start_token", "n_tokens", "bucket",
-                           F.floor(F.col("_rank") / per_batch).cast("bigint").alias("batch"), (F.col("_rank") % per_batch).cast("bigint").alias("slot"))
+                           F.floor(F.col("pos") / per_batch).cast("bigint").alias("batch"), (F.col("pos") % per_batch).cast("bigint").alias("slot"))
