@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import constants as K
+from tidewatch.functions import learned
 from tidewatch.functions import sentiment as st
 from tidewatch.functions import text as tx
 from tidewatch.operators import lookups as lk
@@ -692,25 +693,22 @@ def s05_gate_fan_in(spark, sf):
 
 # ---- U1, U2: pluggable model -----------------------------------------------------------------
 
-def load_stub_model():
-    """A deterministic stand-in for a caller's model (tests and queries)."""
-    def predict(texts):
-        out = []
-        for t in texts:
-            lt = t.lower()
-            if "growth" in lt or "deal" in lt:
-                out.append(("POS", 0.9))
-            elif "crisis" in lt or "disruption" in lt:
-                out.append(("NEG", 0.8))
-            else:
-                out.append(("NEU", 0.5))
-        return out
-    return predict
+def sentiment_labels(spark, sf):
+    """(text, label): labelled documents as training rows of U1.  Toxic ones
+    stand for negative, others of good quality for positive, the rest for neutral."""
+    docs, labels = load_table(spark, sf, "documents").select("doc_id", "text"), load_table(spark, sf, "labels")
+    label = F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive").otherwise("neutral")
+    return docs.join(labels, "doc_id").select("text", label.alias("label"))
+
+
+def learned_model(spark, sf):
+    """U1's model, fitted on the labelled documents."""
+    return learned.loader(learned.fit_counts(sentiment_labels(spark, sf)))
 
 
 @query("u01_model_scorer")
 def u01_model_scorer(spark, sf):
-    p = posts(spark, sf).withColumn("m", st.model_scorer(load_stub_model)(F.col("text")))
+    p = posts(spark, sf).withColumn("m", st.model_scorer(learned_model(spark, sf))(F.col("text")))
     m = F.col("m")
     return p.select("tweet_id", m["label"].alias("label"), r6(m["score"]).alias("score"))
 
@@ -718,7 +716,7 @@ def u01_model_scorer(spark, sf):
 @query("u02_three_methods")
 def u02_three_methods(spark, sf):
     a = st.with_text_analysis(posts(spark, sf))
-    a = a.withColumn("model", st.model_scorer(load_stub_model)(F.col("text")))
+    a = a.withColumn("model", st.model_scorer(learned_model(spark, sf))(F.col("text")))
     a = a.withColumn("e", st.ensemble({"model": F.col("model"),
                                        "valence": F.col("sentiment.methods.valence"),
                                        "trade": F.col("sentiment.methods.trade")},

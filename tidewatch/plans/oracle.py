@@ -686,20 +686,38 @@ ORACLE["s06_stream_dedupe"] = with_posts() + "\nSELECT tweet_id, country FROM po
 
 # ---- U1, U2 -------------------------------------------------------------------------------------
 
-STUB_CTE = """
+def _class_sum(at: int) -> str:
+    """Log posterior (up to the prior and a constant) of a class for the words of a text."""
+    pooled = "65536 * (coalesce(sl.n0 + sl.n1 + sl.n2, 0) + 1) / (nw.t0 + nw.t1 + nw.t2 + 65536)"
+    return f"sum(pw.k * ln((coalesce(sl.n{at}, 0) + {pooled}) / (nw.t{at} + 65536))) AS s{at}"
+
+
+MODEL_CTE = f"""
+train AS (
+  SELECT d.text, CASE WHEN l.toxic = 1 THEN 2 WHEN l.quality = 1 THEN 1 ELSE 0 END AS c FROM documents d JOIN labels l USING (doc_id)),
+tw AS (
+  SELECT c, substr(md5(lower(w)), 1, 4) AS slot, count(*) AS n
+  FROM (SELECT c, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+')) AS w FROM train) GROUP BY 1, 2),
+sl AS (SELECT slot, {", ".join(f"coalesce(sum(n) FILTER (c = {i}), 0) AS n{i}" for i in range(3))} FROM tw GROUP BY slot),
+nw AS (SELECT {", ".join(f"coalesce(sum(n) FILTER (c = {i}), 0) AS t{i}" for i in range(3))} FROM tw),
+nd AS (SELECT {", ".join(f"ln((count(*) FILTER (c = {i}) + 1) / (count(*) + 3)) AS p{i}" for i in range(3))} FROM train),
+pw AS (
+  SELECT tweet_id, substr(md5(lower(w)), 1, 4) AS slot, count(*) AS k
+  FROM (SELECT tweet_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+')) AS w FROM posts) GROUP BY 1, 2),
+ps AS (
+  SELECT tweet_id, {", ".join(_class_sum(i) for i in range(3))}
+  FROM pw LEFT JOIN sl USING (slot) CROSS JOIN nw GROUP BY tweet_id),
+pp AS (
+  SELECT p.tweet_id, {", ".join(f"coalesce(s{i}, 0) + p{i} AS s{i}" for i in range(3))}
+  FROM posts p LEFT JOIN ps USING (tweet_id) CROSS JOIN nd),
 model AS (
-  SELECT tweet_id,
-         CASE WHEN contains(lower(text), 'growth') OR contains(lower(text), 'deal') THEN 'positive'
-              WHEN contains(lower(text), 'crisis') OR contains(lower(text), 'disruption') THEN 'negative'
-              ELSE 'neutral' END AS ml,
-         CASE WHEN contains(lower(text), 'growth') OR contains(lower(text), 'deal') THEN 0.9
-              WHEN contains(lower(text), 'crisis') OR contains(lower(text), 'disruption') THEN 0.8
-              ELSE 0.5 END AS mc
-  FROM posts),
+  SELECT tweet_id, CASE WHEN s0 >= s1 AND s0 >= s2 THEN 'neutral' WHEN s1 >= s2 THEN 'positive' ELSE 'negative' END AS ml,
+         1 / (exp(s0 - greatest(s0, s1, s2)) + exp(s1 - greatest(s0, s1, s2)) + exp(s2 - greatest(s0, s1, s2))) AS mc
+  FROM pp),
 model2 AS (SELECT *, CASE ml WHEN 'positive' THEN mc WHEN 'negative' THEN -mc ELSE 0.0 END AS ms FROM model)"""
-ORACLE["u01_model_scorer"] = with_posts(STUB_CTE) + f"\nSELECT tweet_id, ml AS label, {r6('ms')} AS score FROM model2"
+ORACLE["u01_model_scorer"] = with_posts(MODEL_CTE) + f"\nSELECT tweet_id, ml AS label, {r6('ms')} AS score FROM model2"
 _w = K.THREE_METHOD_WEIGHTS
-ORACLE["u02_three_methods"] = with_posts(valence_cte(), trade_cte(), ensemble_cte(), STUB_CTE) + f"""
+ORACLE["u02_three_methods"] = with_posts(valence_cte(), trade_cte(), ensemble_cte(), MODEL_CTE) + f"""
 , u0 AS (
   SELECT s.tweet_id, m.ml, m.ms, m.mc, s.vl, s.vs, s.vc, s.tl, s.ts, s.tc,
          ((m.ms + s.vs) + s.ts) / 3.0 AS mu
