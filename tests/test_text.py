@@ -71,3 +71,45 @@ def test_valence_negation_and_caps(spark):
     loud = one(spark, "markets are GOOD today", st.valence_scores("text"))["compound"]
     quiet = one(spark, "markets are good today", st.valence_scores("text"))["compound"]
     assert loud > quiet
+
+
+ODD = ["", "  GOOD war\x1cbad\x85not  good", "--war-- «crisis» isn't—good. _x_", "été très GOOD de\u00a0al deal\tno ⚠️ growth!", "ΣΑΣ war ß 𝐀up up", "日本語 war, x² A b"]
+
+
+def test_tokens_of_the_one_pass_equal_the_token_column(spark):
+    df = spark.createDataFrame([(t,) for t in ODD], "text string")
+    rows = df.select("text", st.valence_tokens("text").alias("t"), st.valence_hits("text", ["war", "good"], ["no", "très"]).alias("h")).collect()
+    for r in rows:
+        assert r["h"]["n"] == len(r["t"])
+        assert [h["w"] for h in r["h"]["hits"]] == [w.lower() for w in r["t"] if w.lower() in ("war", "good")]
+    h = next(r["h"]["hits"] for r in rows if r["text"].startswith("été"))
+    assert (h[0]["w"], h[0]["caps"], h[0]["p1"]) == ("good", True, "très")
+
+
+def test_one_pass_counts_equal_those_of_the_cleaned_text(spark):
+    df = spark.createDataFrame([(t, "fr") for t in ODD + ["#économie @José http://a.b Œuvre. Zwölf Œuvre", None]], "text string, lang string")
+    c = tx.clean_text("text")
+    for r in df.select(tx.clean_counts("text").alias("n"), c.alias("c"), tx.word_count(c).alias("w"), tx.sentence_count(c).alias("s"),
+                       tx.post_keywords("text", "lang").alias("k"), tx.top_keywords(c, "lang").alias("k2")).collect():
+        assert (r["n"]["words"], r["n"]["chars"], r["n"]["sentences"]) == (r["w"], len(r["c"]), r["s"]) and r["k"] == r["k2"]
+
+
+def test_a_letter_beyond_the_basic_plane_belongs_to_the_word(spark):
+    assert one(spark, "𝐀up 𝐀crisis up", tx.movements("text")) == ["up"]
+    assert one(spark, "up𝐀", tx.movements("text")) == []
+
+
+def test_text_analysis_has_no_regex_over_the_tokens(spark):
+    """Every post's text went through a look-around regex and per-token lambdas."""
+    df = st.with_text_analysis(spark.createDataFrame([("war", "en")], "text string, language string")).select("sentiment")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan and "split(" not in plan
+
+
+def test_few_grams_and_many_give_the_same_names(spark, monkeypatch):
+    from tidewatch.operators import lookups as lk
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate([*ODD, None, "Xwarx AB"])], "tweet_id string, text string")
+    names = spark.createDataFrame([(0, "war"), (1, "Good"), (2, "é"), (3, "AB"), (4, "")], "pos int, name string")
+    few = {r[0]: r[1] for r in lk.substring_matches(df, names, lower=True).select("tweet_id", "matches").collect()}
+    monkeypatch.setattr(lk, "FEW_GRAMS", 0)
+    assert few == {r[0]: r[1] for r in lk.substring_matches(df, names, lower=True).select("tweet_id", "matches").collect()}
