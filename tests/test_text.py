@@ -78,12 +78,12 @@ ODD = ["", "  GOOD war\x1cbad\x85not  good", "--war-- «crisis» isn't—good. _
 
 def test_tokens_of_the_one_pass_equal_the_token_column(spark):
     df = spark.createDataFrame([(t,) for t in ODD], "text string")
-    rows = df.select("text", st.valence_tokens("text").alias("t"), st.valence_hits("text", ["war", "good"], ["no", "très"]).alias("h")).collect()
+    rows = df.select("text", st.valence_tokens("text").alias("t"), st.valence_hits("text", {"war": 1, "good": 2}, {"très": 3}, ["no", "not"]).alias("h")).collect()
     for r in rows:
         assert r["h"]["n"] == len(r["t"])
-        assert [h["w"] for h in r["h"]["hits"]] == [w.lower() for w in r["t"] if w.lower() in ("war", "good")]
+        assert [h["v"] for h in r["h"]["hits"]] == [{"war": 1, "good": 2}[w.lower()] for w in r["t"] if w.lower() in ("war", "good")]
     h = next(r["h"]["hits"] for r in rows if r["text"].startswith("été"))
-    assert (h[0]["w"], h[0]["caps"], h[0]["p1"]) == ("good", True, "très")
+    assert (h[0]["v"], h[0]["caps"], h[0]["b1"], h[0]["b2"], h[0]["negated"]) == (2.0, True, 3.0, 0.0, False)
 
 
 def test_one_pass_counts_equal_those_of_the_cleaned_text(spark):
