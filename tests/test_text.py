@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import sentiment as st
 from tidewatch.functions import text as tx
+from tidewatch.functions import words as wf
 
 
 def one(spark, text, col):
@@ -113,3 +114,25 @@ def test_few_grams_and_many_give_the_same_names(spark, monkeypatch):
     few = {r[0]: r[1] for r in lk.substring_matches(df, names, lower=True).select("tweet_id", "matches").collect()}
     monkeypatch.setattr(lk, "FEW_GRAMS", 0)
     assert few == {r[0]: r[1] for r in lk.substring_matches(df, names, lower=True).select("tweet_id", "matches").collect()}
+
+
+def test_facts_of_one_pass_equal_those_of_each_function(spark):
+    names = ["war", "é", "A B", "", "Bank of America", "x²"]
+    odd = ODD + [None, "a Bank of America", "xBank of Americas, Bank  of America", "É URGENT 🚨⚠️ Up!! İ σας ΣΑΣ crisis\x1cDOWN", "so very not\tgood - ! bad"]
+    df = spark.createDataFrame([(t,) for t in odd], "text string").withColumn("f", wf.text_facts("text", {"found": (names, False), "low": ([n.lower() for n in names], True)}))
+    for r in df.select("f", tx.urgency_score("text").alias("u"), tx.urgency_of("text", F.col("f")).alias("u1"), tx.movements("text").alias("m"),
+                       tx.contained("text", names, "int").alias("n"), tx.contained("text", [n.lower() for n in names], "int", lower=True).alias("l")).collect():
+        assert (r["f"]["moves"], r["f"]["found"], r["f"]["low"], r["u1"]) == (r["m"], r["n"], r["l"], r["u"])
+    h = df.where("text like 'so very%'").first()["f"]["hits"]
+    assert [(x["b1"], x["b2"], x["b3"], x["negated"]) for x in h] == [(0.0, 0.293, 0.293, True), (0.0, 0.0, 0.293, True)]
+
+
+def test_metric_rows_hand_a_text_to_one_function_once(spark):
+    """Sentiment, urgency, movements and every list of names each read the whole text."""
+    from tidewatch.plans import scoring
+    posts = spark.createDataFrame([("post_1", 1, "war", "en", 1, 2, 3)], "tweet_id string, post_seq long, text string, language string, likes int, retweets int, replies int")
+    posts = posts.selectExpr("*", "timestamp_ntz'2024-01-01' as ts", "'a' as author", "'CHINA' as country", "'ASIA' as region", "'high' as priority",
+                             "'normal' as scenario", "false as is_anomaly")
+    plan = scoring.metric_rows(posts)._jdf.queryExecution().optimizedPlan().toString()
+    passes = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert len(passes) == 1 and passes[0].count("run") == 1
