@@ -1,6 +1,11 @@
 """Micro-fixtures for the text functions (regex dialect, Unicode, edges)."""
+import random
+from collections import Counter
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from tidewatch import constants as K
 from tidewatch.functions import sentiment as st
 from tidewatch.functions import text as tx
 from tidewatch.functions import words as wf
@@ -136,3 +141,38 @@ def test_metric_rows_hand_a_text_to_one_function_once(spark):
     plan = scoring.metric_rows(posts)._jdf.queryExecution().optimizedPlan().toString()
     passes = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
     assert len(passes) == 1 and passes[0].count("run") == 1
+
+
+def test_few_words_are_looked_at():
+    """A name in capitals, or a word that must stand alone, doesn't make its lower case or a part of it looked at."""
+    memo = wf._look([("GE", False), ("war", True)], {}, {}, frozenset())
+    text = "legend bridges upper GEx Software (UP) lost downs a"
+    (n, marks), = memo.of(pa.array([text]))
+    assert n == 9 and [(i, f[7:9]) for i, f in marks] == [(3, ((), (0,))), (4, ((), (1,))), (5, (("UP",), ())), (6, (("lost",), ())), (8, ((), ()))]
+    assert set(memo) == {"GEx", "Software", "(UP)", "lost", "a"} and marks[-1][1] is wf.ONLY_SHORT
+
+
+def test_best_words_equal_a_full_count():
+    rng = random.Random(3)
+    words = ["this", "avec", "alpha", "beta", "x1yz", "été", "œuvre", "abc", "", "Gamma", "gamma", "delta", "omega's"]
+    for k in (0, 1, 3, 10):
+        best = tx._best_words(k, None)
+        for _ in range(300):
+            text, lang = " ".join(rng.choice(words) for _ in range(rng.randrange(40))), rng.choice(["en", "fr", None])
+            stop = K.STOP_WORDS_FRENCH if lang == "fr" else K.STOP_WORDS_ENGLISH
+            n = Counter(w for w in text.lower().split(" ") if len(w) > 3 and w.isalpha() and w not in stop)
+            assert best(text, lang) == [w for w, _ in n.most_common(k)]
+    looked = []
+
+    class Word(str):
+        def isalpha(self):
+            looked.append(self)
+            return True
+
+    class Text(str):
+        def lower(self):
+            return self
+
+        def split(self, by):
+            return [Word(f"word{i % 400}") for i in range(500)]
+    assert tx._best_words(5, None)(Text(), "en") == [f"word{i}" for i in range(5)] and len(looked) == 5
